@@ -15,7 +15,7 @@ from feedloom import settings
 from feedloom.functions.dates import lenient_timestamp
 from feedloom.functions.html import clean_html
 from feedloom.functions.requirements import (
-    contacts, coordinate, experience_required, is_must, scope_default, weight_split)
+    contacts, coordinate, experience_required, scope_default)
 from feedloom.functions.text import null_if_empty, null_safe, remote_work
 from feedloom.operators.joins import lookup_join
 from feedloom.operators.keywords import with_keywords
@@ -45,45 +45,40 @@ WEIGHTED_LISTS = {
 SIDES = ("must_have", "nice_to_have")
 
 
-def _empty(element: str) -> Column:
-    return F.array().cast(f"array<{element}>")
+def _empty(element: str) -> str:
+    return f"CAST(array() AS array<{element}>)"
 
 
-def _mention(slot, type_: str, pos: Column, value: Column, weight: Column | None = None) -> Column:
-    return F.struct(
-        (slot if isinstance(slot, Column) else F.lit(slot)).alias("slot"),
-        F.lit(settings.SLOT_TYPES[type_]).alias("lookup_type"), pos.cast("int").alias("pos"),
-        value.alias("concept_id"),
-        (F.lit(None) if weight is None else weight).cast("int").alias("weight")).cast(MENTION)
+def _mention(slot: str, type_: str, pos: str, value: str, weight: str = "NULL") -> str:
+    return (f"named_struct('slot', {slot}, 'lookup_type', '{settings.SLOT_TYPES[type_]}', "
+            f"'pos', {pos}, 'concept_id', {value}, 'weight', CAST({weight} AS INT))")
 
 
-def _weighted_mention(slot: str, type_: str):
-    return lambda v, i: _mention(slot, type_, i, v["varde"], v["vikt"])
-
-
-def mentions(ad: Column) -> Column:
-    """All coded values of an ad as one array. Its rows name the slot they belong to."""
-    zero = F.lit(0)
-    single = [_mention(out, type_, zero, ad[raw]["varde"])
+def mentions_sql() -> str:
+    """All coded values of ``ad`` as one array. Its rows name the slot they belong to."""
+    single = [_mention(f"'{out}'", type_, "0", f"ad.{raw}.varde")
               for out, (raw, type_) in CODED.items()]
-    single += [_mention(out, raw, zero, ad["arbetsplatsadress"][raw]["varde"])
+    single += [_mention(f"'{out}'", raw, "0", f"ad.arbetsplatsadress.{raw}.varde")
                for out, raw in PLACES.items()]
-    lists = [F.transform(ad["korkort"], lambda v, i: _mention(
-        "driving_license", "korkort", i, v["varde"]))]
+    licence = _mention("'driving_license'", "korkort", "i", "v.varde")
+    parts = [f"transform(ad.korkort, (v, i) -> {licence})"]
+    must = f"coalesce(m.vikt, 0) >= {settings.MUST_HAVE_WEIGHT}"
     for out, (raw, type_) in WEIGHTED_LISTS.items():
-        for side, items in zip(SIDES, weight_split(ad[raw])):
-            lists.append(F.transform(items, _weighted_mention(f"{side}.{out}", type_)))
+        for side, test in zip(SIDES, (must, f"NOT ({must})")):
+            item = _mention(f"'{side}.{out}'", type_, "i", "v.varde", "v.vikt")
+            parts.append(f"transform(filter(ad.{raw}, m -> {test}), (v, i) -> {item})")
     # The weight of the education field decides where field and level go.
-    field = ad["utbildningsinriktning"]
-    side = F.when(is_must(field["vikt"]), F.lit(SIDES[0])).otherwise(F.lit(SIDES[1]))
-    education = F.array(*[
-        _mention(F.concat(side, F.lit(f".{out}")), raw, zero, ad[raw]["varde"], ad[raw]["vikt"])
+    field = "ad.utbildningsinriktning"
+    side = (f"if(coalesce({field}.vikt, 0) >= {settings.MUST_HAVE_WEIGHT}, "
+            f"'{SIDES[0]}', '{SIDES[1]}')")
+    education = ", ".join(
+        _mention(f"{side} || '.{out}'", raw, "0", f"ad.{raw}.varde", f"ad.{raw}.vikt")
         for out, raw in (("education", "utbildningsinriktning"),
-                         ("education_level", "utbildningsniva"))])
-    given = F.coalesce(field["varde"], field["namn"], field["vikt"].cast("string")).isNotNull()
-    lists.append(F.when(given, education))
-    empty = _empty(MENTION)
-    return F.concat(F.array(*single), *[F.coalesce(part, empty) for part in lists])
+                         ("education_level", "utbildningsniva")))
+    given = f"coalesce({field}.varde, {field}.namn, CAST({field}.vikt AS STRING)) IS NOT NULL"
+    parts.append(f"if({given}, array({education}), NULL)")
+    optional = ", ".join(f"coalesce({p}, {_empty(MENTION)})" for p in parts)
+    return f"concat(array({', '.join(single)}), {optional})"
 
 
 def resolve_mentions(ads: DataFrame, concepts: DataFrame, pairs: DataFrame,
@@ -100,54 +95,60 @@ def resolve_mentions(ads: DataFrame, concepts: DataFrame, pairs: DataFrame,
         lambda x: x["e"]).alias("equivalents")).withColumn("lookup_type", F.lit("skill"))
     table = table.join(swaps.withColumnRenamed("for_id", "concept_id"),
                        ["lookup_type", "concept_id"], "left")
-    rows = ads.select("id", F.inline(mentions(F.col("ad"))))
+    rows = ads.select("id", F.inline(F.expr(mentions_sql())))
     found = lookup_join(rows, table, ["lookup_type", "concept_id"], "left", limit)
     return found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(
         "slot", "pos", F.col("entry").cast(CONCEPT).alias("entry"), "weight",
-        F.coalesce("equivalents", _empty(WEIGHTED)).alias("equivalents")))).alias("found"))
+        F.coalesce("equivalents", F.expr(_empty(WEIGHTED))).alias("equivalents")))).alias("found"))
 
 
-def _in_slot(slot: str) -> Column:
-    return F.filter(F.col("found"), lambda m: m["slot"] == slot)
+def _in_slot(slot: str) -> str:
+    return f"filter(found, m -> m.slot = '{slot}')"
 
 
-def _weighted(slot: str) -> Column:
+def _weighted(slot: str) -> str:
     """Resolved list of a slot. Unknown values stay, with null id and label."""
     items = _in_slot(slot)
-    listed = F.transform(items, lambda m: F.struct(
-        m["entry"]["concept_id"].alias("concept_id"), m["entry"]["label"].alias("label"),
-        m["weight"].alias("weight"),
-        m["entry"]["legacy_ams_taxonomy_id"].alias("legacy_ams_taxonomy_id")).cast(WEIGHTED))
+    listed = (f"transform({items}, m -> CAST(named_struct('concept_id', m.entry.concept_id, "
+              f"'label', m.entry.label, 'weight', m.weight, 'legacy_ams_taxonomy_id', "
+              f"m.entry.legacy_ams_taxonomy_id) AS {WEIGHTED}))")
     if slot.endswith(".skills"):
-        listed = F.concat(listed, F.flatten(F.transform(items, lambda m: m["equivalents"])))
-    return F.coalesce(listed, _empty(WEIGHTED))
+        listed = f"concat({listed}, flatten(transform({items}, m -> m.equivalents)))"
+    return f"coalesce({listed}, {_empty(WEIGHTED)})"
+
+
+def _requirements(side: str) -> Column:
+    fields = [*WEIGHTED_LISTS, "education", "education_level"]
+    return F.expr("named_struct({})".format(", ".join(
+        f"'{f}', {_weighted(f'{side}.{f}')}" for f in fields))).alias(side)
+
+
+def _coded(slot: str) -> str:
+    return f"get({_in_slot(slot)}, 0).entry"
 
 
-def _coded(slot: str) -> Column:
-    return F.get(_in_slot(slot), F.lit(0))["entry"]
+def _or_default(value: str, default: str) -> str:
+    return f"coalesce(nullif({value}, ''), '{default}')"
 
 
-def workplace_address(ad: Column, given: Column) -> Column:
+def workplace_address() -> Column:
     """Ids and names come from the ad, codes from the taxonomy; Sweden is the default country."""
-    address = ad["arbetsplatsadress"]
-    place = {out: address[raw] for out, raw in PLACES.items()}
-    code = {out: _coded(out)["legacy_ams_taxonomy_id"] for out in PLACES}
-    default = lambda c, v: F.coalesce(null_if_empty(c), F.lit(v))
-    return F.struct(
-        code["municipality"].alias("municipality_code"),
-        place["municipality"]["varde"].alias("municipality_concept_id"),
-        place["municipality"]["namn"].alias("municipality"),
-        code["region"].alias("region_code"),
-        place["region"]["varde"].alias("region_concept_id"),
-        place["region"]["namn"].alias("region"),
-        default(code["country"], settings.DEFAULT_COUNTRY_CODE).alias("country_code"),
-        default(place["country"]["varde"], settings.DEFAULT_COUNTRY_CONCEPT)
-        .alias("country_concept_id"),
-        default(place["country"]["namn"], settings.DEFAULT_COUNTRY_NAME).alias("country"),
-        F.when(given["street"], address["gatuadress"]).otherwise("").alias("street_address"),
-        address["postnr"].alias("postcode"), address["postort"].alias("city"),
-        F.array(coordinate(address["longitud"]), coordinate(address["latitud"]))
-        .alias("coordinates"))
+    address = "ad.arbetsplatsadress"
+    fields = {}
+    for out, raw in PLACES.items():
+        fields[f"{out}_code"] = f"{_coded(out)}.legacy_ams_taxonomy_id"
+        fields[f"{out}_concept_id"] = f"{address}.{raw}.varde"
+        fields[out] = f"{address}.{raw}.namn"
+    for name, default in (("country_code", settings.DEFAULT_COUNTRY_CODE),
+                          ("country_concept_id", settings.DEFAULT_COUNTRY_CONCEPT),
+                          ("country", settings.DEFAULT_COUNTRY_NAME)):
+        fields[name] = _or_default(fields[name], default)
+    fields["street_address"] = f"if(given.street, {address}.gatuadress, '')"
+    fields["postcode"] = f"{address}.postnr"
+    fields["city"] = f"{address}.postort"
+    columns = [F.expr(sql).alias(name) for name, sql in fields.items()]
+    place = F.array(coordinate(F.col(f"{address}.longitud")), coordinate(F.col(f"{address}.latitud")))
+    return F.struct(*columns, place.alias("coordinates")).alias("workplace_address")
 
 
 def normalise_ads(raw: DataFrame, concepts: DataFrame, pairs: DataFrame, run_date: dt.date,
@@ -171,13 +172,11 @@ def normalise_ads(raw: DataFrame, concepts: DataFrame, pairs: DataFrame, run_dat
     given = F.col("given")
     hours = ad["arbetstidTyp"]["varde"]
     least, most = scope_default(hours)
-    pick = lambda **names: F.struct(*[ad[raw_].alias(n) for n, raw_ in names.items()])
-    side = lambda s: F.struct(*[_weighted(f"{s}.{f}").alias(f) for f in (
-        *WEIGHTED_LISTS, "education", "education_level")])
+    pick = lambda **names: F.expr("named_struct({})".format(
+        ", ".join(f"'{n}', ad.{key}" for n, key in names.items())))
     live = ~null_safe(ad["avpublicerad"], False)
-    licences = F.transform(
-        F.filter(_in_slot("driving_license"), lambda m: m["entry"].isNotNull()),
-        lambda m: m["entry"])
+    licences = F.expr("transform(filter(found, m -> m.slot = 'driving_license' AND "
+                      "m.entry IS NOT NULL), m -> m.entry)")
     needs_licence = null_safe(F.size(ad["korkort"]) > 0, False)
     out = ads.select(
         "id", ad["externtAnnonsId"].alias("external_id"), ad["annonsrubrik"].alias("headline"),
@@ -188,7 +187,7 @@ def normalise_ads(raw: DataFrame, concepts: DataFrame, pairs: DataFrame, run_dat
             ad["ftgInfo"].alias("company_information"), ad["beskrivningBehov"].alias("needs"),
             ad["beskrivningKrav"].alias("requirements"),
             ad["villkorsbeskrivning"].alias("conditions")).alias("description"),
-        *[_coded(c).alias(c) for c in CODED],
+        *[F.expr(_coded(c)).alias(c) for c in CODED],
         ad["lonebeskrivning"].alias("salary_description"),
         F.struct(
             F.when(given["scope_min"], ad["arbetstidOmfattningFran"]).otherwise(least).alias("min"),
@@ -208,9 +207,9 @@ def normalise_ads(raw: DataFrame, concepts: DataFrame, pairs: DataFrame, run_dat
         needs_licence.alias("driving_license_required"),
         F.when(needs_licence, licences).alias("driving_license"),
         "occupation", "occupation_group", "occupation_field",
-        workplace_address(ad, given).alias("workplace_address"),
-        *[side(s).alias(s) for s in SIDES],
-        contacts(F.coalesce(ad["kontaktpersoner"], _empty(PERSON))).alias("application_contact"),
+        workplace_address(), *[_requirements(s) for s in SIDES],
+        contacts(F.coalesce(ad["kontaktpersoner"], F.expr(_empty(PERSON))))
+        .alias("application_contact"),
         "publication_date", "last_publication_date", ad["avpublicerad"].alias("removed"),
         "removed_date", ad["kallaTyp"].alias("source_type"), ad["updatedAt"].alias("timestamp"),
         ad["logo_url"].alias("logo_url"), "removed_ad_filter",
