@@ -209,12 +209,13 @@ ADS_SQL = f"""
 """
 
 
-def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer with the names of its nation and region."""
+def places(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """customer, or rows that hold its columns, with the names of nation and region."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     where = nation.join(small_side(region), F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_regionkey", "r_name")
-    return lookup_join(table(spark, sf_dir, "customer"), where, "c_nationkey", "inner")
+    who = table(spark, sf_dir, "customer") if rows is None else rows
+    return lookup_join(who, where, "c_nationkey", "inner")
 
 
 PLACES_SQL = """
@@ -225,8 +226,8 @@ PLACES_SQL = """
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ads with an occupation and an address, in the shape snapshots hold."""
-    who = places(spark, sf_dir).withColumnRenamed("c_custkey", "o_custkey")
-    joined = lookup_join(ads(spark, sf_dir), who, "o_custkey", "inner")
+    who = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    joined = places(spark, sf_dir, lookup_join(ads(spark, sf_dir), who, "o_custkey", "inner"))
     one = lambda c, p, label: F.array(F.struct(
         text(c, p).alias("concept_id"), F.col(label).alias("label"),
         F.lit(None).cast("string").alias("legacy_ams_taxonomy_id")))

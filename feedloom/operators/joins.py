@@ -48,10 +48,14 @@ def hot_keys(df: DataFrame, key: Column, share: float | None = None) -> list[int
 
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
                 limit: int | None = None, unique: bool = True) -> DataFrame:
-    """Join ``right``, which holds one row per key unless ``unique`` is false."""
+    """Join ``right``, which holds one row per key unless ``unique`` is false.
+
+    Looking for hot keys reads the key columns of the left side once; it is left out where that
+    side is small as a whole. ``limit=0`` asks for it in any case.
+    """
     if fits_broadcast(right, limit):
         return left.join(F.broadcast(right), on, how)
-    if not unique:
+    if not unique or (limit != 0 and fits_broadcast(left, settings.SKEW_CHECK_BYTES)):
         return left.join(right, on, how)
     on = [on] if isinstance(on, str) else list(on)
     # Equal keys must have equal hashes on both sides.

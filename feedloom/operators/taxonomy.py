@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from feedloom.functions.text import slugify
 from feedloom.operators.joins import lookup_join
 from feedloom.operators.snapshot import batch_dedup
+from feedloom.session import materialise
 
 
 @dataclass(frozen=True)
@@ -148,7 +149,9 @@ def assign_extract_ids(extracts: dict[str, DataFrame], ids: DataFrame) -> dict[s
     order = [n for n in ID_ORDER if n in extracts]
     places = reduce(DataFrame.unionByName, [
         extracts[n].select(F.lit(i).alias("ordinal"), "pos") for i, n in enumerate(order)])
-    given = concept_id_assign(places, ids).select("ordinal", "pos", "uuid_id")
+    # Read once per category below, so it is worked out once and written.
+    given = materialise(
+        concept_id_assign(places, ids).select("ordinal", "pos", "uuid_id"), "concept-ids")
     return {
         n: lookup_join(extracts[n], given.where(F.col("ordinal") == i).drop("ordinal"), "pos")
         for i, n in enumerate(order)}
@@ -218,14 +221,20 @@ def parent_entries(concepts: DataFrame) -> DataFrame:
 
 
 def build_categories(extracts: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Concepts of every given category; parents are built before their children."""
+    """Concepts of every given category; parents are built before their children.
+
+    A category others hang on is written when it is built: it is read again by each of them, and
+    its size on disk decides how it is joined.
+    """
     built: dict[str, DataFrame] = {}
+    shared = {BY_NAME[n].parent for n in extracts}
 
     def build(name: str) -> DataFrame:
         if name not in built:
             spec = BY_NAME[name]
             parents = parent_entries(build(spec.parent)) if spec.parent else None
-            built[name] = build_category(extracts[name], spec, parents)
+            rows = build_category(extracts[name], spec, parents)
+            built[name] = materialise(rows, name) if name in shared else rows
         return built[name]
 
     for spec in CATEGORIES:

@@ -108,3 +108,5 @@ LOCAL_ZONE = "Europe/Stockholm"
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A key with this share of the rows is joined apart from the others where no side fits above.
 HOT_KEY_SHARE = 0.005
+# Left sides planned below this size are not searched for hot keys: one task can hold any of them.
+SKEW_CHECK_BYTES = 1024 * 1024 * 1024
