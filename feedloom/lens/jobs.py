@@ -57,12 +57,11 @@ RAW = f"""
 def raw_ads(spark, sf_dir) -> DataFrame:
     """(id, body): one JSON ad per order; medium priority says its scope has no upper end."""
     customer = t.table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
-    rows = lookup_join(t.table(spark, sf_dir, "orders"), customer, "o_custkey", "inner")
-    body = F.expr(RAW)
-    open_end = F.when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(
-        F.expr(f"left({RAW}, length({RAW}) - 1)"), F.lit(', "arbetstidOmfattningTill": null}'))
-    ).otherwise(body)
-    return rows.select(t.text("o_orderkey").alias("id"), open_end.alias("body"))
+    orders = t.texts(spark, sf_dir, "orders", "o_orderkey")
+    rows = lookup_join(orders, customer, "o_custkey", "inner").withColumn("body", F.expr(RAW))
+    open_end = F.expr("left(body, length(body) - 1) || ', \"arbetstidOmfattningTill\": null}'")
+    body = F.when(F.col("o_orderpriority") == "3-MEDIUM", open_end).otherwise(F.col("body"))
+    return rows.select(t.text("o_orderkey").alias("id"), body.alias("body"))
 
 
 def parsed(spark, sf_dir) -> DataFrame:
@@ -209,7 +208,7 @@ def extracted_keywords(spark, sf_dir):
 def keyword_sets(spark, sf_dir):
     """The documents hold no white space but blanks and line ends."""
     values = F.array_distinct(words(F.lower("text")))
-    return t.table(spark, sf_dir, "documents").select(
+    return t.texts(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.size(values).cast("long").alias("keywords"))
 
 

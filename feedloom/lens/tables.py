@@ -6,12 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.operators.joins import lookup_join, small_side
 from feedloom.operators.snapshot import FILTER_TYPE
+from feedloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A table whose rows take long to process."""
+    return spread(table(spark, sf_dir, name), *keys)
+
+
 def text(c: str, prefix: str = "") -> Column:
     value = F.col(c).cast("string")
     return F.concat(F.lit(prefix), value) if prefix else value

@@ -35,7 +35,7 @@ PHRASES = ["license", "and the", ". src1", "remote work"]
 """)
 def remote_work(spark, sf_dir):
     flag = x.remote_work(F.col("text"), F.col("source"), PHRASES)
-    return t.table(spark, sf_dir, "documents").select("doc_id", flag.alias("remote"))
+    return t.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", flag.alias("remote"))
 
 
 @query("p10_strip_nul", """
@@ -48,7 +48,7 @@ def strip_nul(spark, sf_dir):
     plain = x.strip_nul(spoilt)
     body = x.strip_nul_json(F.to_json(F.struct(spoilt.alias("text"))))
     parsed = F.from_json(body, "text string")["text"]
-    return t.table(spark, sf_dir, "documents").select(
+    return t.texts(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.length(plain).cast("long").alias("plain_length"),
         F.md5(plain).alias("plain_md5"), F.md5(parsed).alias("json_md5"))
 
@@ -57,13 +57,13 @@ def strip_nul(spark, sf_dir):
     SELECT doc_id, CASE WHEN length(text) <= 256 THEN text END AS keyword FROM documents
 """)
 def keyword_cap(spark, sf_dir):
-    return t.table(spark, sf_dir, "documents").select(
+    return t.texts(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", x.keyword_cap(F.col("text")).alias("keyword"))
 
 
 @query("k1_clean_html")
 def clean_html(spark, sf_dir):
-    return t.table(spark, sf_dir, "pages").select(
+    return t.texts(spark, sf_dir, "pages", "page_id").select(
         "page_id", html.clean_html(F.col("html")).alias("text"))
 
 
@@ -99,7 +99,7 @@ NOISE_SQL = rf"^([0-9\-]|.+,|{WORD}+-\p{{Nd}}|\(|.*\)|{WORD}*\p{{Nd}})"
     FROM documents
 """)
 def trim_location(spark, sf_dir):
-    return t.table(spark, sf_dir, "documents").select(
+    return t.texts(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", x.trim_location(F.col("text")).alias("place"))
 
 
@@ -166,7 +166,7 @@ LABEL_STRIPPED = strip_sql("replace(text, 'm.fl.', '')")
     FROM (SELECT doc_id, {LABEL_STRIPPED} AS label FROM documents WHERE length(text) > 0)
 """)
 def label_split(spark, sf_dir):
-    return t.table(spark, sf_dir, "documents").select(
+    return t.texts(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.explode(x.label_split(F.col("text"))).alias("keyword"))
 
 
@@ -192,7 +192,7 @@ def epoch_format(spark, sf_dir):
 
 @query("x3_slugify", "SELECT doc_id, nullif(translate(lower(text), 'åäö ', 'aao_'), '') AS slug FROM documents")
 def slugify(spark, sf_dir):
-    return t.table(spark, sf_dir, "documents").select("doc_id", x.slugify(F.col("text")).alias("slug"))
+    return t.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", x.slugify(F.col("text")).alias("slug"))
 
 
 # --- Candidates ---
@@ -304,8 +304,11 @@ DOCS_SIMPLE = simple_sql("text", "documents")
 COUNT = "count(*) AS occurrences"
 
 
+KEYS = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"]}
+
+
 def _docs(spark, sf_dir, name="documents"):
-    return t.table(spark, sf_dir, name)
+    return t.texts(spark, sf_dir, name, *KEYS[name]) if name in KEYS else t.table(spark, sf_dir, name)
 
 
 @query("t1_char_normalise", f"SELECT doc_id, {NORMALISED.format('text')} AS text FROM documents")

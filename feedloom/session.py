@@ -56,3 +56,12 @@ def materialise(df, name: str):
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df, *keys: str):
+    """Give costly per-row work one task per core where the scan has fewer splits than that.
+
+    A scan of many files comes back as it is; only input too small to split is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
