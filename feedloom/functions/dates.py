@@ -7,7 +7,6 @@ import datetime as dt
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-ISO = "yyyy-MM-dd'T'HH:mm:ss"
 # The forms dates have in the feed.
 ISO_TIME = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}$"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
@@ -30,7 +29,8 @@ def usual_date(c: Column) -> Column:
     """ISO text of the usual forms, null for anything else. Never sees the session zone."""
     iso = (F.when(F.rlike(c, F.lit(ISO_TIME)) | F.rlike(c, F.lit(ISO_DATE)), c)
            .when(F.rlike(c, F.lit(US_TIME)), _us_as_iso(c)))
-    return F.date_format(iso.try_cast("timestamp_ntz"), ISO)
+    # As text: formatting functions would take the time through the session zone.
+    return F.replace(iso.try_cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T"))
 
 
 def lenient_date(c: Column, run_date: dt.date) -> Column:

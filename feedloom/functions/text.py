@@ -126,4 +126,5 @@ def epoch_to_local(ms: Column, zone: str = settings.LOCAL_ZONE) -> Column:
     instant = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(
         secs=(ms / 1000).cast("decimal(18,6)"))
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), instant)
-    return F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss")
+    # As text: formatting functions would take the time through the session zone.
+    return F.replace(F.left(local.cast("string"), F.lit(19)), F.lit(" "), F.lit("T"))

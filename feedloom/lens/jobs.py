@@ -69,10 +69,11 @@ def parsed(spark, sf_dir) -> DataFrame:
 
 
 def normalised(spark, sf_dir) -> DataFrame:
-    """The concept table is stored first, as it would be: its size then decides the joins."""
+    """Concepts and typed ads are stored first, as they would be."""
     concepts = materialise(t.concepts(spark, sf_dir), "concepts")
     pairs = t.skill_pairs(spark, sf_dir).unionByName(t.occupation_pairs(spark, sf_dir))
-    return n.normalise_ads(parsed(spark, sf_dir), concepts, pairs, RUN_DATE)
+    typed = materialise(parsed(spark, sf_dir), "typed-ads")
+    return n.normalise_ads(typed, n.prepare_taxonomy(concepts, pairs), RUN_DATE)
 
 
 JOINED = """
@@ -226,9 +227,9 @@ BODY = """
 def inputs(spark, sf_dir) -> imports.Inputs:
     customer = t.table(spark, sf_dir, "customer")
     raw = customer.select(F.col("c_custkey").alias("annonsId"), F.expr(BODY).alias("body"))
-    return imports.Inputs(
-        raw=raw, concepts=materialise(t.occupations(spark, sf_dir), "occupations"),
-        pairs=t.occupation_pairs(spark, sf_dir).where("false"), run_date=RUN_DATE)
+    concepts = materialise(t.occupations(spark, sf_dir), "occupations")
+    none = t.occupation_pairs(spark, sf_dir).where("false")
+    return imports.Inputs(raw, n.prepare_taxonomy(concepts, none), run_date=RUN_DATE)
 
 
 def import_feed(spark, sf_dir) -> DataFrame:

@@ -15,7 +15,7 @@ from feedloom.operators.candidates import enrichment_attach
 from feedloom.operators.snapshot import (
     FILTER_TYPE, batch_dedup, is_removed, last_timestamp, missing_live_rows, route_tombstones,
     size_gate, tombstone_enrich)
-from feedloom.plans.normalise import normalise_ads
+from feedloom.plans.normalise import Taxonomy, normalise_ads
 from feedloom.plans.snapshots import (
     ensure_table, next_batch, publish_snapshot, read_current, view_paths, write_base, write_batch)
 from feedloom.session import materialise
@@ -31,16 +31,19 @@ class Inputs:
     """Landed tables a run reads. ``raw`` holds ``annonsId, body``."""
 
     raw: DataFrame
-    concepts: DataFrame
-    pairs: DataFrame
+    taxonomy: Taxonomy
     logos: DataFrame | None = None
     candidates: DataFrame | None = None
     run_date: dt.date = dt.date(1970, 1, 1)
     zone: str = settings.LOCAL_ZONE
 
 
-def live_documents(batch: DataFrame, inputs: Inputs) -> DataFrame:
-    """Normalised, enriched ads of the live rows of a batch (one row per id)."""
+def live_documents(batch: DataFrame, inputs: Inputs, store: bool = True) -> DataFrame:
+    """Normalised, enriched ads of the live rows of a batch (one row per id).
+
+    The typed ads are stored, so that JSON is parsed once and later steps read the columns they
+    need. ``store=False`` runs no job, for a look at the schema.
+    """
     raw = parse_raw(attach_raw(batch, inputs.raw))
     raw = raw.select(F.col("annonsId").cast("string").alias("id"), "given", F.col("ad")
                      .withField("updatedAt", F.col("updatedAt")).alias("ad"))
@@ -49,7 +52,8 @@ def live_documents(batch: DataFrame, inputs: Inputs) -> DataFrame:
                            F.col("ad.organisationsnummer"))
         raw = raw.withColumn("ad", F.col("ad").withField("logo_url", F.col("logo_url"))).drop(
             "logo_url")
-    ads = normalise_ads(mask_ad(raw), inputs.concepts, inputs.pairs, inputs.run_date)
+    typed = materialise(mask_ad(raw), "typed-ads") if store else mask_ad(raw)
+    ads = normalise_ads(typed, inputs.taxonomy, inputs.run_date)
     if inputs.candidates is not None:
         ads = enrichment_attach(ads, inputs.candidates)
     return ads
@@ -64,11 +68,11 @@ def removed_documents(batch: DataFrame, current: DataFrame, inputs: Inputs) -> D
         .alias("removed_ad_filter"))
 
 
-def documents(feed: DataFrame, current: DataFrame | None, inputs: Inputs
+def documents(feed: DataFrame, current: DataFrame | None, inputs: Inputs, store: bool = True
               ) -> tuple[DataFrame, DataFrame]:
     """(main rows, removed rows) of a set of feed rows."""
     batch = batch_rows(feed)
-    live = live_documents(batch, inputs)
+    live = live_documents(batch, inputs, store)
     known = live.limit(0) if current is None else current
     gone = removed_documents(batch, known, inputs)
     both = live.unionByName(gone, allowMissingColumns=True)
@@ -79,7 +83,7 @@ def documents(feed: DataFrame, current: DataFrame | None, inputs: Inputs
 
 
 def document_schemas(feed: DataFrame, inputs: Inputs):
-    main, removed = documents(feed, None, inputs)
+    main, removed = documents(feed, None, inputs, store=False)
     return main.schema, removed.schema
 
 

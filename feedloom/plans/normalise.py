@@ -8,6 +8,7 @@ join and folded back per ad. An ad is one document, so what is folded is bounded
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,6 +23,7 @@ from feedloom.operators.keywords import with_keywords
 from feedloom.operators.lookup import lookup_table
 from feedloom.operators.replacements import equivalents, occupation_cards
 from feedloom.operators.snapshot import FILTER_TYPE
+from feedloom.session import materialise
 from feedloom.sources.feed import PERSON
 
 CONCEPT = "struct<concept_id:string,label:string,legacy_ams_taxonomy_id:string>"
@@ -81,21 +83,42 @@ def mentions_sql() -> str:
     return f"concat(array({', '.join(single)}), {optional})"
 
 
-def resolve_mentions(ads: DataFrame, concepts: DataFrame, pairs: DataFrame,
-                     limit: int | None = None) -> DataFrame:
-    """(id, found): the resolved mentions of each ad, in slot and position order.
+def mention_table(concepts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(lookup_type, concept_id, entry, equivalents): all a mention needs to know.
 
-    Equivalents of skills come along with the skill they belong to.
+    Made at the size of the taxonomy and written: its size on disk then decides the join, and the
+    ads are not read to find that out.
     """
-    table = lookup_table(concepts)
     swaps = equivalents(pairs).groupBy("for_id").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("list_pos", "new_version", F.struct(
             "concept_id", "label", F.lit(None).cast("int").alias("weight"),
             F.lit(None).cast("string").alias("legacy_ams_taxonomy_id")).alias("e")))),
         lambda x: x["e"]).alias("equivalents")).withColumn("lookup_type", F.lit("skill"))
-    table = table.join(swaps.withColumnRenamed("for_id", "concept_id"),
-                       ["lookup_type", "concept_id"], "left")
-    rows = ads.select("id", F.inline(F.expr(mentions_sql())))
+    table = lookup_table(concepts).join(
+        swaps.withColumnRenamed("for_id", "concept_id"), ["lookup_type", "concept_id"], "left")
+    return materialise(table, "mention-table")
+
+
+@dataclass
+class Taxonomy:
+    """What ads are joined with, written once per run however many batches it has."""
+
+    cards: DataFrame
+    mentions: DataFrame
+
+
+def prepare_taxonomy(concepts: DataFrame, pairs: DataFrame) -> Taxonomy:
+    cards = occupation_cards(concepts, pairs, settings.SLOT_TYPES["yrkesroll"])
+    return Taxonomy(materialise(cards, "occupation-cards"), mention_table(concepts, pairs))
+
+
+def resolve_mentions(ads: DataFrame, table: DataFrame, limit: int | None = None) -> DataFrame:
+    """(id, found): the resolved mentions of each ad, in slot and position order.
+
+    Equivalents of skills come along with the skill they belong to.
+    """
+    rows = ads.select("id", F.inline(F.expr(mentions_sql()))).where("concept_id IS NOT NULL OR "
+                                                                    "slot LIKE '%.%'")
     found = lookup_join(rows, table, ["lookup_type", "concept_id"], "left", limit)
     return found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(
         "slot", "pos", F.col("entry").cast(CONCEPT).alias("entry"), "weight",
@@ -151,14 +174,16 @@ def workplace_address() -> Column:
     return F.struct(*columns, place.alias("coordinates")).alias("workplace_address")
 
 
-def normalise_ads(raw: DataFrame, concepts: DataFrame, pairs: DataFrame, run_date: dt.date,
+def normalise_ads(raw: DataFrame, taxonomy: Taxonomy, run_date: dt.date,
                   limit: int | None = None) -> DataFrame:
-    """Normalised ads of parsed raw ads (``id, ad, given`` and, for tombstones, a filter)."""
+    """Normalised ads of parsed raw ads (``id, ad, given`` and, for tombstones, a filter).
+
+    ``raw`` is read twice, once for the coded values alone: store it parsed where that is costly.
+    """
     if "removed_ad_filter" not in raw.columns:
         raw = raw.withColumn("removed_ad_filter", F.lit(None).cast(FILTER_TYPE))
-    cards = occupation_cards(concepts, pairs, settings.SLOT_TYPES["yrkesroll"])
-    ads = lookup_join(raw.withColumn("for_id", F.col("ad.yrkesroll.varde")), cards, "for_id",
-                      "left", limit).drop("for_id")
+    ads = lookup_join(raw.withColumn("for_id", F.col("ad.yrkesroll.varde")), taxonomy.cards,
+                      "for_id", "left", limit).drop("for_id")
     # Python sees only the text and the odd date; what follows works on its result.
     ad = F.col("ad")
     ads = ads.withColumns({
@@ -168,7 +193,7 @@ def normalise_ads(raw: DataFrame, concepts: DataFrame, pairs: DataFrame, run_dat
         "last_publication_date": lenient_timestamp(ad["sistaPubliceringsdatum"], run_date),
         "removed_date": lenient_timestamp(ad["avpubliceringsdatum"], run_date),
     })
-    ads = ads.join(resolve_mentions(raw, concepts, pairs, limit), "id", "left")
+    ads = ads.join(resolve_mentions(raw, taxonomy.mentions, limit), "id", "left")
     given = F.col("given")
     hours = ad["arbetstidTyp"]["varde"]
     least, most = scope_default(hours)
