@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom import settings
 from feedloom.functions.text import null_safe
-from feedloom.operators.keywords import as_set
 
 
 def _by_type(values: dict) -> Column:
@@ -21,11 +20,15 @@ def _by_type(values: dict) -> Column:
     return chosen
 
 
-def candidate_filter(candidates: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:
-    """Candidates over the threshold of their type, or in the headline for types that allow it."""
+def counting(thresholds: dict[str, float] | None = None) -> Column:
+    """Whether a candidate counts: sure enough for its type, or in the headline where that does."""
     sure = F.col("prediction") >= _by_type(thresholds or settings.CANDIDATE_THRESHOLDS)
     headline = F.col("type").isin(settings.HEADLINE_TYPES) & (F.col("sentence_index") == 0)
-    return candidates.where(sure | headline)
+    return null_safe(sure | headline, False)
+
+
+def candidate_filter(candidates: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:
+    return candidates.where(counting(thresholds))
 
 
 def _listed(candidates: DataFrame) -> DataFrame:
@@ -51,16 +54,6 @@ def compound_terms(terms: DataFrame) -> DataFrame:
     return terms.where(F.col("list").isin(settings.COMPOUND_LISTS))
 
 
-def term_lists(terms: DataFrame) -> DataFrame:
-    """One row per document with a struct of sorted term lists. ``terms`` are distinct rows."""
-    names = list(settings.KEYWORD_LISTS.values())
-    gathered = terms.groupBy("doc_id").agg(*[
-        F.array_sort(F.collect_list(F.when(F.col("list") == n, F.col("term")))).alias(n)
-        for n in names])
-    compound = F.concat(*[F.col(n) for n in settings.COMPOUND_LISTS]).alias("compound")
-    return gathered.select("doc_id", F.struct(*names, compound).alias("terms"))
-
-
 def headline_input(ads: DataFrame) -> Column:
     """city | municipality | region | country | occupation labels | headline, nulls as empty."""
     place = [null_safe(F.col(f"workplace_address.{f}"), "")
@@ -80,31 +73,43 @@ def enrichment_input(ads: DataFrame) -> DataFrame:
         F.col("description.text_formatted").alias("doc_text"))
 
 
+def answered_lists(candidates: DataFrame, typeahead: bool = True) -> DataFrame:
+    """One row per answered document with ``enriched`` and ``enriched_typeahead_terms``.
+
+    The candidates are read once and shuffled once; sets are merged per task before that. A
+    document none of whose candidates counts has empty lists.
+    """
+    counts = counting()
+    label, spelt = F.lower("concept_label"), F.when(~F.col("term_misspelled"), F.lower("term"))
+    sets = []
+    for source, name in settings.KEYWORD_LISTS.items():
+        here = counts & (F.col("type") == source)
+        sets.append(F.collect_set(F.when(here, label)).alias(f"label_{name}"))
+        if typeahead:
+            sets.append(F.collect_set(F.when(here, spelt)).alias(f"term_{name}"))
+    found = candidates.groupBy("doc_id").agg(*sets)
+
+    def lists(of) -> Column:
+        named = {n: F.array_sort(of(n)) for n in settings.KEYWORD_LISTS.values()}
+        compound = F.concat(*[named[n] for n in settings.COMPOUND_LISTS])
+        return F.struct(*[c.alias(n) for n, c in named.items()], compound.alias("compound"))
+
+    columns = [lists(lambda n: F.col(f"label_{n}")).alias("enriched")]
+    if typeahead:
+        columns.append(lists(lambda n: F.array_union(f"label_{n}", f"term_{n}"))
+                       .alias("enriched_typeahead_terms"))
+    return found.select("doc_id", *columns)
+
+
 def enrichment_attach(ads: DataFrame, candidates: DataFrame, typeahead: bool = True) -> DataFrame:
     """Add ``keywords.enriched`` and ``keywords.enriched_typeahead_terms``.
 
     A document the enrichment answered gets lists, empty if nothing counted; any other ad passes
     unchanged, with nulls there.
     """
-    answered = candidates.select("doc_id").distinct()
-    enriched = term_lists(enriched_terms(candidates)).withColumnRenamed("terms", "enriched")
-    lists = answered.join(enriched, "doc_id", "left")
-    empty = F.struct(*[F.array().cast("array<string>").alias(n)
-                       for n in [*settings.KEYWORD_LISTS.values(), "compound"]])
-    columns = ["enriched"]
-    if typeahead:
-        spoken = term_lists(typeahead_terms(candidates)).withColumnRenamed(
-            "terms", "enriched_typeahead_terms")
-        lists = lists.join(spoken, "doc_id", "left")
-        columns.append("enriched_typeahead_terms")
-    lists = lists.select(F.col("doc_id").alias("id"),
-                         *[F.coalesce(F.col(c), empty).alias(c) for c in columns])
-    joined = ads.join(lists, "id", "left")
+    lists = answered_lists(candidates, typeahead).withColumnRenamed("doc_id", "id")
+    columns = [c for c in lists.columns if c != "id"]
     keywords = F.col("keywords")
     for c in columns:
         keywords = keywords.withField(c, F.col(c))
-    return joined.withColumn("keywords", keywords).drop(*columns)
-
-
-def sets_from(values: Column) -> Column:
-    return as_set(F.transform(values, lambda v: F.lower(v)))
+    return ads.join(lists, "id", "left").withColumn("keywords", keywords).drop(*columns)

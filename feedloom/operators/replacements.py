@@ -39,7 +39,7 @@ def replaced_by_expand(mentions: DataFrame, pairs: DataFrame, concept_id: str =
     found = equivalents(pairs).select(
         F.col("for_id").alias(concept_id), "list_pos",
         F.col("concept_id").alias("added_id"), F.col("label").alias("added_label"), "new_version")
-    return lookup_join(mentions, found, concept_id, "inner", limit)
+    return lookup_join(mentions, found, concept_id, "inner", limit, unique=False)
 
 
 def occupation_rows(concepts: DataFrame, pairs: DataFrame,
@@ -86,7 +86,7 @@ def occupation_hierarchy(ads: DataFrame, concepts: DataFrame, pairs: DataFrame,
     """Occupation, group and field rows per ad, in long form. Unknown occupations give none."""
     rows = occupation_rows(concepts, pairs)
     keyed = ads.withColumnRenamed(concept_id, "for_id")
-    return lookup_join(keyed, rows, "for_id", "inner", limit).drop("for_id")
+    return lookup_join(keyed, rows, "for_id", "inner", limit, unique=False).drop("for_id")
 
 
 def occupation_cards(concepts: DataFrame, pairs: DataFrame,

@@ -53,15 +53,6 @@ def label_tokens(df: DataFrame, doc_id: Column, text: Column) -> DataFrame:
     return _grams(_words(df, doc_id, t.label_words(text)), t.label_grams(F.col("word")))
 
 
-KINDS = {
-    "words": word_tokens,
-    "prefix": prefix_tokens,
-    "suffix": suffix_tokens,
-    "shingles": shingle_tokens,
-    "reversed": reversed_tokens,
-    "label": label_tokens,
-}
-
 # The token tables of each field of an ad.
 FIELD_PLAN = {
     "headline": ["words", "prefix", "suffix"],
@@ -71,18 +62,53 @@ FIELD_PLAN = {
 }
 
 
+def _tagged(kind: str, terms: Column) -> Column:
+    return F.transform(terms, lambda term: F.struct(F.lit(kind).alias("kind"), term.alias("term")))
+
+
+def _simple_kinds(df: DataFrame, doc_id: Column, text: Column, kinds: list[str]) -> DataFrame:
+    """Words, prefixes and suffixes of a text that is cut once."""
+    of = {"words": F.array("word"), "prefix": t.prefix_grams(F.col("word")),
+          "suffix": t.suffix_grams(F.col("word"))}
+    none = F.array().cast("array<string>")
+    terms = F.concat(*[_tagged(k, F.coalesce(of[k], none)) for k in kinds])
+    return _words(df, doc_id, t.simple_words(text)).select("doc_id", "pos", F.inline(terms))
+
+
+def _standard_kinds(df: DataFrame, doc_id: Column, text: Column, kinds: list[str]) -> DataFrame:
+    """Shingles and reversed words of a text that is cut once."""
+    cut = df.select(doc_id.alias("doc_id"), t.standard_words(text).alias("words"))
+    starts = cut.select("doc_id", F.posexplode(t.shingles(F.col("words"))).alias("pos", "grams"))
+    of = {"shingles": F.col("grams"), "reversed": F.array(F.reverse(F.get("grams", F.lit(0))))}
+    terms = F.concat(*[_tagged(k, of[k]) for k in kinds])
+    return starts.select("doc_id", "pos", F.inline(terms)).where(~t.is_stopword(F.col("term")))
+
+
+def _label_kinds(df: DataFrame, doc_id: Column, text: Column, kinds: list[str]) -> DataFrame:
+    return label_tokens(df, doc_id, text).select("doc_id", "pos", F.lit("label").alias("kind"), "term")
+
+
+# Kinds that are cut from the same words, and so from one pass over the text.
+FAMILIES = [(_simple_kinds, ["words", "prefix", "suffix"]),
+            (_standard_kinds, ["shingles", "reversed"]), (_label_kinds, ["label"])]
+
+
 def token_table(df: DataFrame, plan: dict[str, list[str]] | None = None,
                 doc_id: str = "id") -> DataFrame:
-    """Union of the token tables a plan names. A field holding an array is taken per element."""
+    """Union of the token tables a plan names. A field holding an array is taken per element.
+
+    A field is read once for all kinds that share its words.
+    """
     parts = []
-    for field, kinds in (plan or FIELD_PLAN).items():
+    for field, wanted in (plan or FIELD_PLAN).items():
         one = df.select(F.col(doc_id).alias("__id"), F.col(field).alias("__text"))
         if one.schema["__text"].dataType.typeName() == "array":
             one = one.select("__id", F.explode("__text").alias("__text"))
-        for kind in kinds:
-            rows = KINDS[kind](one, F.col("__id"), F.col("__text"))
-            parts.append(rows.select(
-                "doc_id", F.lit(field).alias("field"), F.lit(kind).alias("kind"), "pos", "term"))
+        for cut, members in FAMILIES:
+            kinds = [k for k in members if k in wanted]
+            if kinds:
+                rows = cut(one, F.col("__id"), F.col("__text"), kinds)
+                parts.append(rows.select("doc_id", F.lit(field).alias("field"), "kind", "pos", "term"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -259,7 +259,11 @@ def test_candidates_by_threshold_or_headline(spark):
         "prediction double, sentence_index int")
     got = c.candidate_filter(df).groupBy("type").count()
     assert dict(rows(got)) == {"occupations": 5, "competencies": 6, "traits": 6, "geos": 6}
-    terms = c.term_lists(c.typeahead_terms(df)).first()["terms"]
+    lists = c.answered_lists(df.unionByName(df.limit(1).withColumn("doc_id", F.lit("e")).withColumn(
+        "sentence_index", F.lit(3)))).orderBy("doc_id").collect()
+    assert [len(v) for v in lists[1]["enriched"]] == [0, 0, 0, 0, 0]
+    assert lists[0]["enriched"]["trait"] == ["l0.5", "l0.7", "l0.8"]
+    terms = lists[0]["enriched_typeahead_terms"]
     assert terms["trait"] == ["l0.5", "l0.7", "l0.8", "t"]
     assert len(terms["compound"]) == len(terms["occupation"]) + len(terms["skill"]) + len(terms["location"])
 
