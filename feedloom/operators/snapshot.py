@@ -100,31 +100,28 @@ def tombstones(documents: DataFrame) -> DataFrame:
         .alias("workplace_address"))
 
 
-def shaped_like(removed: DataFrame, schema: T.StructType) -> DataFrame:
-    """Slim rows in the columns of an ad. Filter ids take the place of the fields they came from,
-    so both kinds of row answer the same filters."""
-
-    def entries(name, array_type):
-        return F.transform(F.col(name)["concept_id"], lambda i: F.struct(*[
-            (i if f.name == "concept_id" else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in array_type.elementType.fields])).cast(array_type)
-
-    def address(struct_type):
-        held = removed.schema["workplace_address"].dataType.fieldNames()
-        return F.struct(*[
-            (F.col("workplace_address")[f.name] if f.name in held else F.lit(None))
-            .cast(f.dataType).alias(f.name) for f in struct_type.fields])
-
-    columns = []
-    for f in schema.fields:
+def shaped_sql(removed: T.StructType, ad: T.StructType) -> list[str]:
+    """Select list that shows a slim row in the columns of an ad. Filter ids take the place of the
+    fields they came from, so both kinds of row answer the same filters."""
+    out = []
+    for f in ad.fields:
         if f.name in ("occupation", "occupation_group", "occupation_field"):
-            c = entries(f.name, f.dataType)
+            fields = ", ".join(f"'{e.name}', " + ("i" if e.name == "concept_id" else "NULL")
+                               for e in f.dataType.elementType.fields)
+            value = f"transform({f.name}.concept_id, i -> named_struct({fields}))"
         elif f.name == "workplace_address":
-            c = address(f.dataType)
+            held = removed[f.name].dataType.fieldNames()
+            value = "named_struct({})".format(", ".join(
+                f"'{e.name}', " + (f"{f.name}.{e.name}" if e.name in held else "NULL")
+                for e in f.dataType.fields))
         else:
-            c = (F.col(f.name) if f.name in removed.columns else F.lit(None)).cast(f.dataType)
-        columns.append(c.alias(f.name))
-    return removed.select(*columns)
+            value = f"`{f.name}`" if f.name in removed.fieldNames() else "NULL"
+        out.append(f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`")
+    return out
+
+
+def shaped_like(removed: DataFrame, schema: T.StructType) -> DataFrame:
+    return removed.selectExpr(*shaped_sql(removed.schema, schema))
 
 
 def route_tombstones(documents: DataFrame) -> tuple[DataFrame, DataFrame]:

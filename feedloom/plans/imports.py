@@ -14,10 +14,11 @@ from feedloom.functions.dates import lenient_timestamp
 from feedloom.operators.candidates import enrichment_attach
 from feedloom.operators.snapshot import (
     FILTER_TYPE, batch_dedup, is_removed, last_timestamp, missing_live_rows, route_tombstones,
-    size_gate, tombstone_enrich)
+    size_gate, tombstone_enrich, tombstones)
 from feedloom.plans.normalise import Taxonomy, normalise_ads
 from feedloom.plans.snapshots import (
-    ensure_table, next_batch, publish_snapshot, read_current, view_paths, write_base, write_batch)
+    ensure_table, next_batch, path_exists, publish_snapshot, read_current, view_paths, write_base,
+    write_batch)
 from feedloom.session import materialise
 from feedloom.sources.feed import (
     attach_raw, batch_rows, feed_changes, is_unpublished, logo_resolve, mask_ad, parse_raw)
@@ -76,10 +77,8 @@ def documents(feed: DataFrame, current: DataFrame | None, inputs: Inputs, store:
     known = live.limit(0) if current is None else current
     gone = removed_documents(batch, known, inputs)
     both = live.unionByName(gone, allowMissingColumns=True)
-    main, _ = route_tombstones(both)
-    _, removed = route_tombstones(
-        live.limit(0).unionByName(gone, allowMissingColumns=True))
-    return main, removed
+    # The table of removed ads needs nothing of the live ones.
+    return route_tombstones(both)[0], tombstones(gone)
 
 
 def document_schemas(feed: DataFrame, inputs: Inputs):
@@ -87,6 +86,16 @@ def document_schemas(feed: DataFrame, inputs: Inputs):
     return main.schema, removed.schema
 
 
+def ensure_tables(spark: SparkSession, feed: DataFrame, main: str, deleted: str,
+                  inputs: Inputs) -> None:
+    """Empty main and removed tables, where there are none."""
+    if path_exists(spark, f"{main}/batches") and path_exists(spark, f"{deleted}/batches"):
+        return
+    main_schema, deleted_schema = document_schemas(feed, inputs)
+    ensure_table(spark, main, main_schema)
+    ensure_table(spark, deleted, deleted_schema)
+
+
 def cursor(snapshot: DataFrame, manual: int | None = None) -> int:
     """Feed time to load from: the newest in the snapshot unless one is given."""
     return last_timestamp(snapshot).first()[0] if manual is None else manual
@@ -130,24 +139,27 @@ def reconcile(load: Callable[[DataFrame], object], feed: DataFrame,
 
 
 def incremental_import(spark: SparkSession, feed: DataFrame, main: str, deleted: str,
-                       inputs: Inputs, manual_cursor: int | None = None) -> bool:
-    """Import what changed since the snapshot's newest row. False if the size gate fails."""
-    main_schema, deleted_schema = document_schemas(feed, inputs)
-    ensure_table(spark, main, main_schema)
-    ensure_table(spark, deleted, deleted_schema)
+                       inputs: Inputs, manual_cursor: int | None = None,
+                       prefix: str | None = None) -> bool:
+    """Import what changed since the snapshot's newest row. False if the size gate fails.
+
+    The gate compares with what is published under ``prefix``.
+    """
+    ensure_tables(spark, feed, main, deleted, inputs)
     since = cursor(read_current(spark, main), manual_cursor)
     changed = feed_changes(feed, since)
     reconcile(lambda rows: load_batch(spark, rows, main, deleted, inputs), changed,
               lambda: read_current(spark, main))
-    return gate(spark, main)
+    return gate(spark, main, prefix)
 
 
 def gate(spark: SparkSession, main: str, prefix: str | None = None,
          share: float = settings.NEW_SNAPSHOT_SHARE) -> bool:
     """Size of a snapshot against the published one. With nothing published it passes."""
     paths = view_paths(spark, prefix + settings.READ_SUFFIX) if prefix else []
-    current = read_current(spark, paths[0]) if paths else None
-    return size_gate(read_current(spark, main), current, share).first()["passed"]
+    if not paths:
+        return True
+    return size_gate(read_current(spark, main), read_current(spark, paths[0]), share).first()["passed"]
 
 
 def version_name(prefix: str, at: dt.datetime) -> str:

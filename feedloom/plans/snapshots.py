@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from feedloom import settings
-from feedloom.operators.snapshot import batch_dedup, upsert
+from feedloom.operators.snapshot import batch_dedup, shaped_sql, upsert
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -92,26 +92,6 @@ def current_select(path: str, held: list[str], columns: list[str] | None = None,
         f"FROM parquet.`{path}/batches` GROUP BY {key}))")
 
 
-def _as_ad(deleted: T.StructType, ad: T.StructType) -> list[str]:
-    """Select list that shows a removed row in the columns of an ad."""
-    out = []
-    for f in ad.fields:
-        kind = f.dataType.simpleString()
-        if f.name in ("occupation", "occupation_group", "occupation_field"):
-            fields = ", ".join(f"'{e.name}', " + ("i" if e.name == "concept_id" else "NULL")
-                               for e in f.dataType.elementType.fields)
-            value = f"transform({f.name}.concept_id, i -> named_struct({fields}))"
-        elif f.name == "workplace_address":
-            held = deleted[f.name].dataType.fieldNames()
-            value = "named_struct({})".format(", ".join(
-                f"'{e.name}', " + (f"{f.name}.{e.name}" if e.name in held else "NULL")
-                for e in f.dataType.fields))
-        else:
-            value = f"`{f.name}`" if f.name in deleted.fieldNames() else "NULL"
-        out.append(f"CAST({value} AS {kind}) AS `{f.name}`")
-    return out
-
-
 def publish_snapshot(spark: SparkSession, prefix: str, main: str, deleted: str) -> None:
     """Move the read, stream and write names to a snapshot. A missing one fails before any moves."""
     for path in (main, deleted):
@@ -121,7 +101,7 @@ def publish_snapshot(spark: SparkSession, prefix: str, main: str, deleted: str)
     slim = spark.read.parquet(f"{deleted}/base").schema
     live = current_select(main, ad.fieldNames())
     gone = current_select(deleted, slim.fieldNames())
-    gone_as_ad = current_select(deleted, slim.fieldNames(), _as_ad(slim, ad))
+    gone_as_ad = current_select(deleted, slim.fieldNames(), shaped_sql(slim, ad))
     point_view(spark, prefix + settings.READ_SUFFIX, [live], [main])
     point_view(spark, prefix + settings.STREAM_SUFFIX, [live, gone_as_ad], [main, deleted])
     point_view(spark, prefix + settings.DELETED_SUFFIX, [gone], [deleted])

@@ -12,8 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from feedloom.plans.imports import Inputs, document_schemas, load_batch
-from feedloom.plans.snapshots import ensure_table
+from feedloom.plans.imports import Inputs, ensure_tables, load_batch
 from feedloom.sources.feed import FEED_SCHEMA
 
 
@@ -31,13 +30,17 @@ def run_stream(stream: DataFrame, each_batch: Callable[[DataFrame, int], None],
     return writer.start()
 
 
-def stream_import(spark: SparkSession, stream: DataFrame, main: str, deleted: str, inputs: Inputs,
-                  checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Upsert feed batches into a snapshot. A later batch wins over an earlier one."""
+def stream_import(spark: SparkSession, stream: DataFrame, main: str, deleted: str,
+                  inputs: Inputs | Callable[[], Inputs], checkpoint: str,
+                  available_now: bool = True) -> StreamingQuery:
+    """Upsert feed batches into a snapshot. A later batch wins over an earlier one.
+
+    A stream that stays up should get ``inputs`` as a function: it is called for every batch and so
+    sees bodies that landed meanwhile. An ad whose body has not landed is left to ``reconcile``.
+    """
+    given = inputs if callable(inputs) else lambda: inputs
     empty = spark.createDataFrame([], stream.schema)
-    main_schema, deleted_schema = document_schemas(empty, inputs)
-    ensure_table(spark, main, main_schema)
-    ensure_table(spark, deleted, deleted_schema)
+    ensure_tables(spark, empty, main, deleted, given())
     return run_stream(
-        stream, lambda rows, number: load_batch(spark, rows, main, deleted, inputs, number),
+        stream, lambda rows, number: load_batch(spark, rows, main, deleted, given(), number),
         checkpoint, available_now)

@@ -81,6 +81,20 @@ def test_size_gate(spark):
     assert gate(ads(0, False), ads(10, None)) and gate(ads(0, False), None)
 
 
+def test_a_shrunken_rebuild_is_not_published(spark):
+    root = fresh_path(spark, "gate")
+    ads = lambda n: spark.range(n).select(F.col("id").cast("string").alias("id"),
+                                          F.lit(False).alias("removed"))
+    for name, size in (("old", 10), ("small", 7), ("new", 8)):
+        snapshots.write_base(ads(size), f"{root}/{name}")
+    assert imports.gate(spark, f"{root}/small", "gated")
+    snapshots.point_view(spark, "gated_read", [snapshots.current_select(f"{root}/old", ["id", "removed"])],
+                         [f"{root}/old"])
+    assert spark.table("gated_read").count() == 10
+    assert not imports.gate(spark, f"{root}/small", "gated")
+    assert imports.gate(spark, f"{root}/new", "gated")
+
+
 def test_a_batch_written_again_replaces_itself(spark):
     path = fresh_path(spark, "t")
     row = lambda i, v: spark.createDataFrame([(i, v)], "id string, v int")
@@ -297,7 +311,8 @@ def test_stream_equals_batches_and_a_finished_stream_adds_nothing(spark, concept
     for i, changes in enumerate(feeds):
         (landing / f"{i}.json").write_text("\n".join(json.dumps(dict(zip(keys, r))) for r in changes))
         source = stream.feed_stream(spark, str(landing))
-        stream.stream_import(spark, source, main, deleted, given, f"{root}/cp").awaitTermination()
+        stream.stream_import(spark, source, main, deleted, lambda: given, f"{root}/cp"
+                             ).awaitTermination()
     shown = ["id", "removed", "timestamp", "headline"]
     got = rows(snapshots.read_current(spark, main).select(*shown))
     assert got == [("1", True, 20, None), ("2", None, 5, "ad 2"), ("3", None, 30, "ad 3")]
