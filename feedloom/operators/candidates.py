@@ -79,26 +79,28 @@ def answered_lists(candidates: DataFrame, typeahead: bool = True) -> DataFrame:
     The candidates are read once and shuffled once; sets are merged per task before that. A
     document none of whose candidates counts has empty lists.
     """
-    counts = counting()
-    label, spelt = F.lower("concept_label"), F.when(~F.col("term_misspelled"), F.lower("term"))
-    sets = []
-    for source, name in settings.KEYWORD_LISTS.items():
-        here = counts & (F.col("type") == source)
-        sets.append(F.collect_set(F.when(here, label)).alias(f"label_{name}"))
-        if typeahead:
-            sets.append(F.collect_set(F.when(here, spelt)).alias(f"term_{name}"))
-    found = candidates.groupBy("doc_id").agg(*sets)
-
-    def lists(of) -> Column:
-        named = {n: F.array_sort(of(n)) for n in settings.KEYWORD_LISTS.values()}
-        compound = F.concat(*[named[n] for n in settings.COMPOUND_LISTS])
-        return F.struct(*[c.alias(n) for n, c in named.items()], compound.alias("compound"))
-
-    columns = [lists(lambda n: F.col(f"label_{n}")).alias("enriched")]
+    spelt = F.when(~F.col("term_misspelled"), F.lower("term"))
+    seen = F.when(counting(), F.struct(
+        _by_type(settings.KEYWORD_LISTS).alias("list"), F.lower("concept_label").alias("label"),
+        spelt.alias("spelt")))
+    # One set of distinct entries per document; the lists are cut from it afterwards.
+    found = candidates.groupBy("doc_id").agg(F.collect_set(seen).alias("seen"))
+
+    def lists(fields: list[str]) -> str:
+        """SQL of the struct of lists, each holding the named fields of its entries."""
+        named = {}
+        for name in settings.KEYWORD_LISTS.values():
+            here = f"filter(seen, s -> s.list = '{name}')"
+            values = ", ".join(f"transform({here}, s -> s.{f})" for f in fields)
+            named[name] = f"array_sort(array_distinct(array_compact(concat({values}))))"
+        return "named_struct({})".format(", ".join(f"'{n}', {sql}" for n, sql in named.items()))
+
+    columns = {"enriched": ["label"]}
     if typeahead:
-        columns.append(lists(lambda n: F.array_union(f"label_{n}", f"term_{n}"))
-                       .alias("enriched_typeahead_terms"))
-    return found.select("doc_id", *columns)
+        columns["enriched_typeahead_terms"] = ["label", "spelt"]
+    found = found.select("doc_id", *[F.expr(lists(f)).alias(c) for c, f in columns.items()])
+    compound = lambda c: F.concat(*[F.col(f"{c}.{n}") for n in settings.COMPOUND_LISTS])
+    return found.withColumns({c: F.col(c).withField("compound", compound(c)) for c in columns})
 
 
 def enrichment_attach(ads: DataFrame, candidates: DataFrame, typeahead: bool = True) -> DataFrame:
