@@ -2,10 +2,82 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from feedloom.llm.decontaminate import contamination
+from feedloom.llm.lattice import embedding_groups
 from feedloom.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
+from feedloom.llm.simhash import simhash_groups
 from feedloom.llm.token_counts import token_counts
 
 
 @query("op3_token_counts")
 def op3(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), "word_bpe_49k.json", 2048)
+
+
+@query("op7_simhash_groups")
+def op7(spark, sf_dir):
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = """
+WITH RECURSIVE
+usable AS (
+  SELECT row_number() OVER () AS n, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([v FOR v IN embedding IF v IS NULL OR NOT isfinite(v)]) = 0
+    AND len([v FOR v IN embedding IF v <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b
+  ON a.label = b.label AND a.n <> b.n AND len(a.e) = len(b.e)
+  AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+lowest AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+counts AS (SELECT x, count(*) AS n_links FROM links GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN lowest ON lowest.x = vec_id LEFT JOIN counts ON counts.x = vec_id
+"""
+
+
+@query("op8_embedding_groups", OP8_SQL)
+def op8(spark, sf_dir):
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+OP5_SQL = r"""
+WITH
+lowered AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+d AS (SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, len(s) AS k, array_to_string(s, ' ') AS s FROM (
+    SELECT item_id, unnest([w[i:i + 9] FOR i IN range(1, greatest(len(w) - 9, 1) + 1)]) AS s
+    FROM b WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
+    SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, lengths
+    WHERE len(w) >= k)),
+hits AS (SELECT doc_id, item_id, dw.k, i FROM dw JOIN bw ON dw.s = bw.s AND dw.k = bw.k),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+    SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, k, i FROM hits))
+    GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (
+    SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op5_contamination", OP5_SQL)
+def op5(spark, sf_dir):
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
