@@ -9,6 +9,15 @@ from feedloom.llm.lattice import embedding_groups
 from feedloom.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from feedloom.llm.simhash import simhash_groups
 from feedloom.llm.token_counts import token_counts
+from feedloom.llm.token_files import read_token_digests, write_token_files
+from feedloom.session import fresh_path
+
+
+@query("op1_token_files")
+def op1(spark, sf_dir):
+    path = fresh_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, "byte_bpe_50k.json", 0)
+    return read_token_digests(spark, path)
 
 
 @query("op3_token_counts")
