@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.llm.decontaminate import contamination
+from feedloom.llm.language import identify, page_rows, train
 from feedloom.llm.lattice import embedding_groups
 from feedloom.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from feedloom.llm.simhash import simhash_groups
 from feedloom.llm.token_counts import token_counts
 from feedloom.llm.token_files import read_token_digests, write_token_files
+from feedloom.llm.tool_calls import REQUEST_TOOLS, linked_calls, request_messages
 from feedloom.session import fresh_path
 
 
@@ -90,3 +92,54 @@ def op5(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op6_page_language")
+def op6(spark, sf_dir):
+    model = train(table(spark, sf_dir, "documents").select("text", "lang"))
+    return identify(page_rows(table(spark, sf_dir, "pages")), model, "page_id")
+
+
+OP9_SQL = """
+WITH RECURSIVE
+calls AS (
+  SELECT conv_id, turn, 'c' || turn AS call_id, text,
+    CASE WHEN length(text) > 200 THEN 'read' ELSE 'search' END AS name,
+    row_number() OVER (PARTITION BY conv_id, turn ORDER BY
+      CASE WHEN length(text) > 200 THEN 'read' ELSE 'search' END, length(text)::VARCHAR, text) AS nth
+  FROM conversations WHERE role = 'user'),
+results AS (
+  SELECT conv_id, turn AS result_turn, 'c' || (turn - 1) AS call_id, text AS result,
+    row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) AS nth
+  FROM conversations WHERE role = 'assistant'),
+first AS (SELECT DISTINCT conv_id, turn FROM calls),
+deep AS (
+  SELECT conv_id, turn, 0 AS depth FROM first f WHERE NOT EXISTS (
+    SELECT 1 FROM first g WHERE g.conv_id = f.conv_id AND g.turn = f.turn - 2)
+  UNION ALL
+  SELECT f.conv_id, f.turn, depth + 1 FROM deep d JOIN first f
+  ON f.conv_id = d.conv_id AND f.turn = d.turn + 2),
+joined AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
+    coalesce(c.nth, r.nth) AS nth, c.conv_id IS NOT NULL AS called, r.conv_id IS NOT NULL AS replied,
+    c.turn, result_turn, name, text, result
+  FROM calls c FULL JOIN results r
+  ON c.conv_id = r.conv_id AND c.call_id = r.call_id AND c.nth = r.nth)
+SELECT j.conv_id, call_id, nth::INTEGER AS nth,
+  CASE WHEN NOT called THEN 'orphan' WHEN NOT replied THEN 'unanswered' ELSE 'answered' END AS status,
+  depth::BIGINT AS depth, coalesce(j.turn, result_turn) AS turn, name,
+  (CASE WHEN NOT called THEN 0 WHEN text IS NULL THEN 2
+    WHEN name = 'search' THEN (length(text) < 20)::INT + (length(text) < 1)::INT
+    ELSE (length(text) > 1000)::INT END)::BIGINT AS n_errors,
+  CASE WHEN called THEN '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE
+      '"length":' || length(text) || ',"query":' || to_json(text)::VARCHAR END || '},"id":"' || call_id
+      || '","name":"' || name || '","result":' || coalesce(to_json(result)::VARCHAR, 'null') || '}'
+    ELSE '{"id":"' || call_id || '","result":' || coalesce(to_json(result)::VARCHAR, 'null') || '}'
+  END AS json
+FROM joined j LEFT JOIN deep ON deep.conv_id = j.conv_id AND 'c' || deep.turn = call_id
+"""
+
+
+@query("op9_tool_calls", OP9_SQL)
+def op9(spark, sf_dir):
+    return linked_calls(request_messages(table(spark, sf_dir, "conversations")), REQUEST_TOOLS)
