@@ -95,7 +95,8 @@ def matches(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:
         *place, "term_id", "offset",
         F.explode(F.transform(shifts, lambda d: F.col("start") + F.col("offset") + d))
         .alias("pos"))
-    held = index.join(pairs.select("key").distinct(), "key", "left_semi")
+    holders = materialise(pairs.select("key").distinct(), "holders")
+    held = lookup_join(index, holders, "key", "left_semi")
     whole = rest.join(held.select("key", "term_id", "pos"), ["key", "term_id", "pos"]) \
         .groupBy(place).agg(F.bit_count(F.bit_or(F.expr("shiftleft(1, offset)"))).alias("n")) \
         .where("n = length - 2").drop("n")
