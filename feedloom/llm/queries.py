@@ -8,6 +8,7 @@ from feedloom.llm.decontaminate import contamination
 from feedloom.llm.language import identify, page_rows, train
 from feedloom.llm.lattice import embedding_groups
 from feedloom.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
+from feedloom.llm.sentence_pieces import piece_digests
 from feedloom.llm.simhash import simhash_groups
 from feedloom.llm.token_counts import token_counts
 from feedloom.llm.token_files import read_token_digests, write_token_files
@@ -143,3 +144,8 @@ FROM joined j LEFT JOIN deep ON deep.conv_id = j.conv_id AND 'c' || deep.turn =
 @query("op9_tool_calls", OP9_SQL)
 def op9(spark, sf_dir):
     return linked_calls(request_messages(table(spark, sf_dir, "conversations")), REQUEST_TOOLS)
+
+
+@query("op10_sentence_pieces")
+def op10(spark, sf_dir):
+    return piece_digests(table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
