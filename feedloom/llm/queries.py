@@ -8,6 +8,7 @@ from feedloom.llm.decontaminate import contamination
 from feedloom.llm.language import identify, page_rows, train
 from feedloom.llm.lattice import embedding_groups
 from feedloom.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
+from feedloom.llm.repeats import repeats
 from feedloom.llm.sentence_pieces import piece_digests
 from feedloom.llm.simhash import simhash_groups
 from feedloom.llm.token_counts import token_counts
@@ -149,3 +150,28 @@ def op9(spark, sf_dir):
 @query("op10_sentence_pieces")
 def op10(spark, sf_dir):
     return piece_digests(table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
+
+
+OP4_SQL = r"""
+WITH
+d AS (SELECT row_number() OVER () AS n, doc_id,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT n, doc_id, i, hash(array_to_string(w[i:i + 49], ' ')) AS h,
+  md5(array_to_string(w[i:i + 49], ' ')) AS m FROM (
+    SELECT n, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+first AS (SELECT h, m, min(doc_id) AS smallest FROM s GROUP BY h, m),
+gone AS (SELECT DISTINCT n, unnest(range(i, i + 50)) AS p FROM s JOIN first USING (h, m)
+  WHERE doc_id > smallest),
+lists AS (SELECT n, list(p) AS ps, count(*) AS k FROM gone GROUP BY n)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(k, 0)::BIGINT AS n_removed,
+  sha256(CASE WHEN k IS NULL THEN array_to_string(w, ' ') ELSE
+    array_to_string([w[i] FOR i IN range(1, len(w) + 1) IF NOT list_contains(ps, i)], ' ') END)
+    AS kept_sha256
+FROM d LEFT JOIN lists USING (n)
+"""
+
+
+@query("op4_repeats", OP4_SQL)
+def op4(spark, sf_dir):
+    return repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
