@@ -8,6 +8,7 @@ everywhere so costs a bucket one entry per chunk, however many rows hold it.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.joins import lookup_join
-from feedloom.session import materialise
+from feedloom.session import fresh_path
 
 #: Bytes of documents in a chunk, about; a longer document is a chunk of its own.
 CHUNK_BYTES = 8 << 20
@@ -86,7 +86,21 @@ def chunk_table(docs: DataFrame) -> DataFrame:
         if held_size:
             yield chunk()
 
-    return materialise(docs.mapInArrow(gather, "chunk long, size long, rows binary"), "chunks")
+    return by_chunk(docs.mapInArrow(gather, "chunk long, size long, rows binary"), "chunks")
+
+
+def by_chunk(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written in buckets of ``chunk``, so that joins on it move the other side only.
+
+    The files are in the shared folder; the session's catalog has a name for them, as bucketed
+    files need one.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    called = os.path.basename(path).replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, "chunk").option("path", path).saveAsTable(called)
+    return spark.table(called)
 
 
 def open_rows(data: bytes) -> pa.Table:
@@ -105,11 +119,20 @@ def bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.append(np.searchsorted(keys, first), len(keys))
 
 
-def with_answers(chunks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
-    """``chunks`` with the answers ``(chunk, bucket, answer)`` as one list, in order of bucket."""
-    listed = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(
-        F.struct("bucket", "answer"))).alias(name))
-    return lookup_join(chunks, materialise(listed, name), "chunk", "left")
+def listed(answers: DataFrame, name: str) -> DataFrame:
+    """Answers ``(chunk, bucket, answer, ...)`` as one list per chunk, in order of bucket, in the
+    column ``name``; written in buckets of chunk."""
+    fields = [c for c in answers.columns if c != "chunk"]
+    return by_chunk(answers.groupBy("chunk").agg(
+        F.array_sort(F.collect_list(F.struct("bucket", *[c for c in fields if c != "bucket"])))
+        .alias(name)), name)
+
+
+def joined(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
+    """``chunks`` with all lists of answers; the chunks themselves stay where they are."""
+    for one in answers:
+        chunks = chunks.join(one.hint("shuffle_hash"), "chunk", "left")
+    return chunks
 
 
 class WordHashes(dict):

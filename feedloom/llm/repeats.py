@@ -145,7 +145,8 @@ def repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         ask_blocks, "bucket int, chunk long, keys binary, reference binary")
     shared = asked.groupBy("bucket").applyInPandas(
         find_blocks, "chunk long, bucket int, answer binary")
-    chunks = C.with_answers(chunks.select("chunk", "rows"), shared, "shared")
+    chunks = chunks.select("chunk", "rows")
+    shared = C.listed(shared, "shared")
 
     def ask_windows(batches):
         for row in _rows(batches):
@@ -182,11 +183,11 @@ def repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         return frame[["chunk", "bucket"]].assign(
             answer=[C.pack_bits(one) for one in np.split(earlier, cuts)])
 
-    windows = chunks.mapInArrow(
+    windows = C.joined(chunks, shared).mapInArrow(
         ask_windows, "bucket int, chunk long, base long, keys binary, owners binary")
     earlier = windows.groupBy("bucket").applyInPandas(
         find_windows, "chunk long, bucket int, answer binary")
-    chunks = C.with_answers(chunks, earlier, "earlier")
+    earlier = C.listed(earlier, "earlier")
 
     def remove(batches):
         for row in _rows(batches):
@@ -226,7 +227,7 @@ def repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
                 names=[*[f"c{i}" for i in range(len(names))], "n_words", "n_removed", "spans", "kept"])
 
     schema = ", ".join(f"c{i} {kind}" for i, kind in enumerate(kinds))
-    return chunks.mapInArrow(
+    return C.joined(chunks, shared, earlier).mapInArrow(
         remove, f"{schema}, n_words long, n_removed long, "
                 "spans array<struct<start:int,end:int>>, kept string").toDF(
         *names, "n_words", "n_removed", "spans", "kept")
