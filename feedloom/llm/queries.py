@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.llm.decontaminate import contamination
+from feedloom.llm.katz import katz_scores
 from feedloom.llm.language import identify, page_rows, train
 from feedloom.llm.lattice import embedding_groups
 from feedloom.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
@@ -175,3 +176,8 @@ FROM d LEFT JOIN lists USING (n)
 def op4(spark, sf_dir):
     return repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_katz_scores")
+def op2(spark, sf_dir):
+    return katz_scores(table(spark, sf_dir, "documents"))
