@@ -22,8 +22,8 @@ BUCKETS, ADDED = 1 << 14, 0.1
 TEMPER = 0.4
 #: Rows that a level of the host hierarchy counts as, towards the level below it.
 STRENGTH = 5.0
-#: Share of a language's rows expected to declare something it is not.
-DECLARED_ADDED = 0.5
+#: Rows of a language counted beforehand as declaring it, and as declaring each other thing.
+DECLARED_RIGHT, DECLARED_ADDED = 5.0, 0.5
 #: The class of texts that read like none of the known languages.
 UNKNOWN = "und"
 #: Bytes looked up at once.
@@ -160,6 +160,7 @@ def identify(rows: DataFrame, model: TextModel, id_col: str) -> DataFrame:
         summed("by_text", size).alias("n")).collect()}
     kinds = [*model.classes[:-1], "other"]
     table = np.array([stated.get(k, [0.0] * size) for k in kinds]) + DECLARED_ADDED
+    table[:-1, :-1] += DECLARED_RIGHT * np.eye(size - 1)
     table = table / table.sum(axis=0)
     evidence = F.array(*[F.lit(1.0)] * size)
     for kind_, row in zip(kinds, table.tolist()):
