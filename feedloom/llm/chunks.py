@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from feedloom.session import fresh_path
 
 #: Bytes of documents in a chunk, about; a longer document is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Bytes of documents whose keys a bucket is meant for, and buckets at least.
-BUCKET_BYTES, LEAST_BUCKETS = 12 << 20, 32
+BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 32
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -138,7 +138,7 @@ def joined(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
 class WordHashes(dict):
     """64-bit hashes of words, remembered."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
