@@ -44,7 +44,7 @@ def contact(person: Column) -> Column:
         person["epost"].alias("email"),
         null_if_empty(F.btrim(phones, F.lit(", "))).alias("telephone"),
         F.when(null_safe(person["fackligRepresentant"], False), settings.UNION_CONTACT_TYPE)
-        .otherwise(person["befattning"]).alias("contact_type"),
+        .otherwise(person["befattning"]).alias("contactType"),
     )
 
 

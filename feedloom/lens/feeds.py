@@ -284,7 +284,7 @@ NEW_YEAR = 915148800000
 
 @query("p12_by_timestamp", f"""
     SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders
-    WHERE epoch_ms(o_orderdate) = {NEW_YEAR} ORDER BY 1 LIMIT 1000
+    WHERE epoch_ms(o_orderdate) = {NEW_YEAR}
 """)
 def by_timestamp(spark, sf_dir):
     return s.ids_with_timestamp(t.ads(spark, sf_dir), NEW_YEAR)

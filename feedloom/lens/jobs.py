@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
@@ -12,7 +13,7 @@ from feedloom.lens.feeds import MIDDLE
 from feedloom.lens.lookups import EQUIVALENT_SQL
 from feedloom.lens.registry import query
 from feedloom.lens.texts import DATE_TEXT, RUN_DATE
-from feedloom.operators import snapshot as s, taxonomy as x
+from feedloom.operators import snapshot as s
 from feedloom.operators.joins import lookup_join
 from feedloom.operators.keywords import keyword_rows
 from feedloom.plans import imports, normalise as n, snapshots
@@ -281,17 +282,38 @@ LATEST_IMPORT = f"""
 @query("r1_stream_import", LATEST_IMPORT)
 def stream_import(spark, sf_dir):
     """The same upsert fed by a stream over the landed feed file."""
+    rows = event_stream(spark, sf_dir)
+    root = fresh_path(spark, "stream")
+    stream.stream_import(spark, rows, f"{root}/ads", f"{root}/deleted", inputs(spark, sf_dir),
+                         f"{root}/checkpoint").awaitTermination()
+    return shown(snapshots.read_current(spark, f"{root}/ads")).drop("occupation_id")
+
+
+def event_stream(spark, sf_dir) -> DataFrame:
     source = t.table(spark, sf_dir, "events")
     events = (spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet")
               .parquet(sf_dir))
-    rows = events.select(
+    return events.select(
         F.col("user_id").alias("annonsId"), (F.col("event_type") == "error").alias("avpublicerad"),
         t.millis("ts").alias("uppdateradTid"), F.lit(None).cast("string").alias("avpubliceringsdatum"),
         F.col("event_id").alias("seq"))
-    root = fresh_path(spark, "stream")
-    stream.stream_import(spark, rows, f"{root}/ads", f"{root}/deleted", inputs(spark, sf_dir),
-                         f"{root}/checkpoint").awaitTermination()
-    return shown(snapshots.read_current(spark, f"{root}/ads")).drop("occupation_id")
+
+
+@query("r1_stream_then_reconcile", LATEST_IMPORT)
+def stream_then_reconcile(spark, sf_dir):
+    """A stream meets the bodies of building firms only, a load brings the other ads, and a stream
+    with a new checkpoint repeats some of them: each keeps its own batches of the one table."""
+    given = inputs(spark, sf_dir)
+    some = dataclasses.replace(given, raw=given.raw.where("body LIKE '%BUILDING%'"))
+    root = fresh_path(spark, "shared")
+    main, deleted, rows = f"{root}/ads", f"{root}/deleted", event_stream(spark, sf_dir)
+    stream.stream_import(spark, rows, main, deleted, some, f"{root}/first").awaitTermination()
+    late = s.missing_live_rows(f.batch_rows(import_feed(spark, sf_dir)),
+                               snapshots.read_current(spark, main))
+    imports.load_batch(spark, materialise(late, "late"), main, deleted, given)
+    stream.stream_import(spark, rows.where("annonsId % 10 = 0"), main, deleted, given,
+                         f"{root}/second").awaitTermination()
+    return shown(snapshots.read_current(spark, main)).drop("occupation_id")
 
 
 REBUILT = f"""
@@ -314,6 +336,25 @@ def full_rebuild(spark, sf_dir):
     return shown(spark.table(_rebuild(spark, sf_dir) + "_read"))
 
 
+@query("r1_rebuild_then_import", f"""
+    WITH live AS ({t.latest_sql(f"ms <= {MIDDLE} AND NOT avpublicerad")})
+    SELECT CAST(annonsId AS VARCHAR) AS id, ms AS timestamp FROM ({t.latest_sql(
+        "ms > (SELECT max(ms) FROM live JOIN customer ON c_custkey = annonsId)")})
+    WHERE avpublicerad
+""")
+def rebuild_then_import(spark, sf_dir):
+    """Ads removed after a rebuild stay known as removed, whatever is rebuilt and imported later."""
+    feed, given = import_feed(spark, sf_dir), inputs(spark, sf_dir)
+    root = fresh_path(spark, "rebuilds")
+    prefix = "ads_" + root.rsplit("-", 1)[1]
+    before = feed.where(F.col("uppdateradTid") <= MIDDLE)
+    for day, rows in ((1, before), (2, feed)):
+        main, _ = imports.full_rebuild(spark, rows, root, prefix, dt.datetime(2024, 2, day, 3, 0),
+                                       given)
+        imports.incremental_import(spark, feed, main, f"{root}/{prefix}-deleted", given)
+    return snapshots.read_current(spark, f"{root}/{prefix}-deleted").select("id", "timestamp")
+
+
 @query("r4_publish_snapshot", " UNION ALL ".join(
     f"SELECT '{name}' AS name, count(*) AS documents FROM ({REBUILT})"
     for name in ("read", "write", "stream")))
@@ -343,7 +384,7 @@ def reconcile(spark, sf_dir):
         there = raw if state["loads"] else raw.where("c_mktsegment = 'BUILDING'")
         found = f.batch_rows(rows).join(there, "annonsId").select(
             F.col("annonsId").cast("string").alias("id"))
-        snapshots.write_batch(found, root, state["loads"])
+        snapshots.write_batch(found, root, snapshots.batch_name(spark, root, "load", state["loads"]))
         state["loads"] += 1
 
     imports.reconcile(load, feed, lambda: snapshots.read_current(spark, root))
@@ -356,18 +397,6 @@ def ensure_tables(spark, sf_dir):
     rows = f.batch_rows(t.feed(spark, sf_dir)).select(F.col("annonsId").cast("string").alias("id"))
     path = fresh_path(spark, "ensure")
     snapshots.ensure_table(spark, path, rows.schema)
-    snapshots.write_batch(rows, path, snapshots.next_batch(spark, path))
+    snapshots.write_batch(rows, path, snapshots.batch_name(spark, path, "load"))
     snapshots.ensure_table(spark, path, rows.schema)
     return snapshots.read_current(spark, path)
-
-
-@query("r8_micro_batches", """
-    SELECT n // 2000 AS batch, count(*) AS ads FROM (
-        SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders) GROUP BY 1
-""")
-def micro_batches(spark, sf_dir):
-    """Ads per batch of 2000, numbered without bringing them into one task."""
-    rows = t.table(spark, sf_dir, "orders").select(F.lit(0).alias("ordinal"), "o_orderkey")
-    numbered = x.global_positions(rows, "ordinal", "o_orderkey")
-    return numbered.groupBy(F.expr("n div 2000").alias("batch")).agg(
-        F.count(F.lit(1)).alias("ads"))

@@ -213,7 +213,7 @@ def requirement_flags(spark, sf_dir):
     SELECT c_custkey,
            nullif(trim(coalesce(first_name, '') || ' ' || coalesce(last_name, '')), '') AS name,
            nullif(trim(coalesce(phone, '') || ', ' || coalesce(mobile, ''), ', '), '') AS telephone,
-           CASE WHEN union_rep THEN 'Facklig representant' ELSE c_mktsegment END AS contact_type
+           CASE WHEN union_rep THEN 'Facklig representant' ELSE c_mktsegment END AS "contactType"
     FROM (SELECT *, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS first_name,
                  CASE WHEN c_acctbal > 3000 THEN c_name END AS last_name,
                  CASE WHEN c_acctbal < 5000 THEN CAST(c_nationkey AS VARCHAR) END AS phone,
@@ -233,7 +233,7 @@ def contacts(spark, sf_dir):
     listed = t.table(spark, sf_dir, "customer").select(
         "c_custkey", r.contacts(F.array(person)).alias("contacts"))
     return listed.select("c_custkey", F.inline("contacts")).select(
-        "c_custkey", "name", "telephone", "contact_type")
+        "c_custkey", "name", "telephone", "contactType")
 
 
 @query("p14_geo_validity", """

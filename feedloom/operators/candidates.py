@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom import settings
 from feedloom.functions.text import null_safe
+from feedloom.operators.joins import small_side
 
 
 def _by_type(values: dict) -> Column:
@@ -109,6 +110,8 @@ def enrichment_attach(ads: DataFrame, candidates: DataFrame, typeahead: bool = T
     A document the enrichment answered gets lists, empty if nothing counted; any other ad passes
     unchanged, with nulls there.
     """
+    asked = ads.select(F.col("id").alias("doc_id")).distinct()
+    candidates = candidates.join(small_side(asked), "doc_id", "left_semi")
     lists = answered_lists(candidates, typeahead).withColumnRenamed("doc_id", "id")
     columns = [c for c in lists.columns if c != "id"]
     keywords = F.col("keywords")

@@ -46,6 +46,17 @@ def hot_keys(df: DataFrame, key: Column, share: float | None = None) -> list[int
     return [row[0] for row in found.collect()]
 
 
+def same_kinds(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with keys of one type each, the wider of the two, so that equal keys have equal
+    hashes whichever way the join goes."""
+    for key in on:
+        kinds = left.schema[key].dataType, right.schema[key].dataType
+        if kinds[0] != kinds[1]:
+            wider = left.select(key).limit(0).union(right.select(key).limit(0)).schema[0].dataType
+            left, right = (side.withColumn(key, F.col(key).cast(wider)) for side in (left, right))
+    return left, right
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
                 limit: int | None = None, unique: bool = True) -> DataFrame:
     """Join ``right``, which holds one row per key unless ``unique`` is false.
@@ -53,13 +64,12 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
     Looking for hot keys reads the key columns of the left side once; it is left out where that
     side is small as a whole. ``limit=0`` asks for it in any case.
     """
+    on = [on] if isinstance(on, str) else list(on)
+    left, right = same_kinds(left, right, on)
     if fits_broadcast(right, limit):
         return left.join(F.broadcast(right), on, how)
     if not unique or (limit != 0 and fits_broadcast(left, settings.SKEW_CHECK_BYTES)):
         return left.join(right, on, how)
-    on = [on] if isinstance(on, str) else list(on)
-    # Equal keys must have equal hashes on both sides.
-    right = right.withColumns({k: right[k].cast(left.schema[k].dataType) for k in on})
     hashed = F.xxhash64(*on)
     hot = hot_keys(left, hashed)
     if not hot:

@@ -71,6 +71,8 @@ def tombstone_enrich(unpublished: DataFrame, snapshot: DataFrame,
             place("municipality_concept_id"), place("region_concept_id"),
             place("country_concept_id")).alias("removed_ad_filter"))
     feed = unpublished.withColumn("__id", F.col("annonsId").cast("string"))
+    # The snapshot is filtered by the removed ids where it lies; only what is left is joined.
+    known = known.join(small_side(feed.select("__id").distinct(), limit), "__id", "left_semi")
     date = F.coalesce(null_if_empty(F.col("avpubliceringsdatum")),
                       epoch_to_local(F.col("uppdateradTid"), zone))
     return lookup_join(feed, known, "__id", "left", limit).select(
@@ -153,10 +155,9 @@ def by_id(ads: DataFrame, ad_id: str) -> DataFrame:
     return ads.where(F.col("id") == ad_id).limit(1)
 
 
-def ids_with_timestamp(ads: DataFrame, timestamp: int,
-                       most: int = settings.TIMESTAMP_ID_CAP) -> DataFrame:
-    """Ids with one exact timestamp; at most ``most``, the lowest first."""
-    return ads.where(F.col("timestamp") == timestamp).select("id").orderBy("id").limit(most)
+def ids_with_timestamp(ads: DataFrame, timestamp: int) -> DataFrame:
+    """All ids with one exact timestamp."""
+    return ads.where(F.col("timestamp") == timestamp).select("id")
 
 
 def with_null_values(ads: DataFrame) -> DataFrame:
@@ -193,7 +194,8 @@ def missing_live_rows(feed: DataFrame, snapshot: DataFrame) -> DataFrame:
     live = feed.where(~F.coalesce(F.col("avpublicerad"), F.lit(False))).withColumn(
         "id", F.col("annonsId").cast("string"))
     order = [c for c in ("uppdateradTid", "seq") if c in feed.columns]
-    return batch_dedup(missing_ids(live, snapshot), "id", order)
+    # One row per id first: an ad that changes all the time costs the join no more than another.
+    return missing_ids(batch_dedup(live, "id", order), snapshot)
 
 
 def stream_view(main: DataFrame, deleted: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import os
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,8 +19,8 @@ from feedloom.operators.snapshot import (
     size_gate, tombstone_enrich, tombstones)
 from feedloom.plans.normalise import Taxonomy, normalise_ads
 from feedloom.plans.snapshots import (
-    ensure_table, next_batch, path_exists, publish_snapshot, read_current, view_paths, write_base,
-    write_batch)
+    batch_name, ensure_table, path_exists, publish_snapshot, published_path, read_current,
+    write_base, write_batch)
 from feedloom.session import materialise
 from feedloom.sources.feed import (
     attach_raw, batch_rows, feed_changes, is_unpublished, logo_resolve, mask_ad, parse_raw)
@@ -102,36 +104,37 @@ def cursor(snapshot: DataFrame, manual: int | None = None) -> int:
 
 
 def load_batch(spark: SparkSession, feed: DataFrame, main: str, deleted: str, inputs: Inputs,
-               batch: int | None = None) -> dict[str, int]:
+               writer: str | None = None, number: int = 0) -> dict[str, int]:
     """Import feed rows as one batch of a snapshot; returns counts taken as the batch is written.
 
-    A batch sees the snapshot as it was before it, so repeating it after a failure gives the same
-    rows and replaces what it wrote.
+    A batch sees the snapshot as it was before it, so repeating it after a failure, as the same
+    number of the same writer, gives the same rows and replaces what it wrote. Without a writer the
+    batch is one of its own.
     """
-    number = next_batch(spark, main) if batch is None else batch
-    known = read_current(spark, main, before=number)
+    writer = writer or f"load-{uuid.uuid4().hex}"
+    batch = batch_name(spark, main, writer, number)
+    known = read_current(spark, main, before=batch)
     main_rows, removed_rows = documents(feed, known, inputs)
-    write_batch(removed_rows, deleted, number)
+    write_batch(removed_rows, deleted, batch_name(spark, deleted, writer, number))
     seen = Observation()
-    write_batch(observed(main_rows, seen, live=F.count_if(~is_removed())), main, number)
-    log.info("batch %s of %s: %s", number, main, seen.get)
+    write_batch(observed(main_rows, seen, live=F.count_if(~is_removed())), main, batch)
+    log.info("batch %s of %s: %s", batch, main, seen.get)
     return seen.get
 
 
 def reconcile(load: Callable[[DataFrame], object], feed: DataFrame,
-              snapshot: Callable[[], DataFrame], passes: int = 10) -> int:
-    """Load live rows that are still missing until none are, or no more turn up.
+              snapshot: Callable[[], DataFrame]) -> int:
+    """Load live rows that are still missing until none are, or their number no longer falls.
 
     Each pass is one anti-join and one load. Returns how many ads are missing at the end.
     """
     load(feed)
-    before = -1
-    for _ in range(passes):
+    missing = None
+    while True:
         pending = materialise(missing_live_rows(feed, snapshot()), "pending")
-        missing = pending.count()
-        if missing == 0 or missing == before:
+        before, missing = missing, pending.count()
+        if missing == 0 or before is not None and missing >= before:
             break
-        before = missing
         load(pending)
     if missing:
         log.error("%s ads stay missing", missing)
@@ -143,7 +146,8 @@ def incremental_import(spark: SparkSession, feed: DataFrame, main: str, deleted:
                        prefix: str | None = None) -> bool:
     """Import what changed since the snapshot's newest row. False if the size gate fails.
 
-    The gate compares with what is published under ``prefix``.
+    The gate compares with what is published under ``prefix``, or else with what was last
+    published from the folder that ``main`` lies in.
     """
     ensure_tables(spark, feed, main, deleted, inputs)
     since = cursor(read_current(spark, main), manual_cursor)
@@ -155,11 +159,13 @@ def incremental_import(spark: SparkSession, feed: DataFrame, main: str, deleted:
 
 def gate(spark: SparkSession, main: str, prefix: str | None = None,
          share: float = settings.NEW_SNAPSHOT_SHARE) -> bool:
-    """Size of a snapshot against the published one. With nothing published it passes."""
-    paths = view_paths(spark, prefix + settings.READ_SUFFIX) if prefix else []
-    if not paths:
+    """Size of a snapshot against the published one, which is noted next to the snapshots and so
+    known to later sessions. With nothing published yet it passes."""
+    live = published_path(spark, os.path.dirname(main), prefix)
+    if live is None:
+        log.warning("nothing is published next to %s, so its size is not checked", main)
         return True
-    return size_gate(read_current(spark, main), read_current(spark, paths[0]), share).first()["passed"]
+    return size_gate(read_current(spark, main), read_current(spark, live), share).first()["passed"]
 
 
 def version_name(prefix: str, at: dt.datetime) -> str:
@@ -168,11 +174,22 @@ def version_name(prefix: str, at: dt.datetime) -> str:
 
 def full_rebuild(spark: SparkSession, feed: DataFrame, root: str, prefix: str, at: dt.datetime,
                  inputs: Inputs) -> tuple[str, bool]:
-    """A new snapshot of everything published now; names move only if the size gate passes."""
+    """A new snapshot of everything published now; names move only if the size gate passes.
+
+    Ads whose bodies land meanwhile are loaded by further passes, as in an import.
+    """
     main, deleted = f"{root}/{version_name(prefix, at)}", f"{root}/{prefix}-deleted"
-    rows, removed = documents(feed_changes(feed, 0), None, inputs)
-    ensure_table(spark, deleted, removed.schema)
-    write_base(rows, main)
+    published = feed_changes(feed, 0)
+
+    def load(rows: DataFrame) -> None:
+        if path_exists(spark, f"{main}/base"):
+            load_batch(spark, rows, main, deleted, inputs)
+            return
+        live, removed = documents(rows, None, inputs)
+        ensure_table(spark, deleted, removed.schema)
+        write_base(live, main)
+
+    reconcile(load, published, lambda: read_current(spark, main))
     passed = gate(spark, main, prefix)
     if passed:
         publish_snapshot(spark, prefix, main, deleted)

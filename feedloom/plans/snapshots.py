@@ -3,6 +3,10 @@
 A batch is appended, never merged into the base, so an incremental run writes what changed and no
 more. Readers take the last batch per id and the base rows no batch replaces. A full rebuild
 starts a new version with an empty batch folder.
+
+A batch folder is named by its place in the order of writing, the writer and the writer's own
+number. Each table has its own order, and a writer can only ever replace its own batches, so
+imports, streams and rebuilds can share a table.
 """
 
 from __future__ import annotations
@@ -10,7 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from feedloom import settings
-from feedloom.operators.snapshot import batch_dedup, shaped_sql, upsert
+from feedloom.operators.joins import small_side
+from feedloom.operators.snapshot import batch_dedup, shaped_sql
+
+# Holds the schema of a table nothing has been written to yet.
+EMPTY_BATCH = f"{0:012d}.none.{0:012d}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -20,44 +28,60 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> str:
     """Empty base and batch folders with the right schema, where there are none yet."""
-    for part in ("base", "batches/batch=-1"):
+    for part in ("base", f"batches/batch={EMPTY_BATCH}"):
         if not path_exists(spark, f"{path}/{part}"):
             spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{part}")
     return path
 
 
 def write_base(df: DataFrame, path: str) -> None:
+    """The base of a new snapshot. A path that holds batches belongs to another one."""
+    spark = df.sparkSession
+    if path_exists(spark, f"{path}/batches") and set(batch_names(spark, path)) - {EMPTY_BATCH}:
+        raise FileExistsError(f"{path} holds batches of a snapshot")
     df.write.mode("overwrite").parquet(f"{path}/base")
-    empty = df.sparkSession.createDataFrame([], df.schema)
-    empty.write.mode("overwrite").parquet(f"{path}/batches/batch=-1")
+    empty = spark.createDataFrame([], df.schema)
+    empty.write.mode("overwrite").parquet(f"{path}/batches/batch={EMPTY_BATCH}")
 
 
-def write_batch(df: DataFrame, path: str, batch: int) -> None:
+def write_batch(df: DataFrame, path: str, batch: str) -> None:
     """Write one batch. Writing it again, after a failure, replaces it."""
     df.write.mode("overwrite").parquet(f"{path}/batches/batch={batch}")
 
 
 def read_current(spark: SparkSession, path: str, key: str = "id",
-                 before: int | None = None) -> DataFrame:
+                 before: str | None = None) -> DataFrame:
     """The rows that count, optionally as they were before a batch."""
     base = spark.read.parquet(f"{path}/base")
     batches = spark.read.schema(_with_batch(base.schema)).parquet(f"{path}/batches")
     if before is not None:
         batches = batches.where(F.col("batch") < before)
     latest = batch_dedup(batches, key, ["batch"]).drop("batch")
-    return upsert(base, latest.select(*base.columns), key)
+    # Only the keys decide which base rows are replaced.
+    kept = base.join(small_side(batches.select(key).distinct()), key, "left_anti")
+    return kept.unionByName(latest.select(*base.columns))
 
 
 def _with_batch(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
 
 
-def next_batch(spark: SparkSession, path: str) -> int:
-    """One more than the last batch; read from the folder names, not the data."""
+def batch_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the batches, from the folders and not the data."""
     root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batches")
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = [f.getPath().getName() for f in fs.listStatus(root)]
-    return 1 + max((int(n.split("=")[1]) for n in names if n.startswith("batch=")), default=-1)
+    return sorted(n.removeprefix("batch=") for n in names if n.startswith("batch="))
+
+
+def batch_name(spark: SparkSession, path: str, writer: str, number: int = 0) -> str:
+    """Name for a writer's batch: the one it has if it was written before, else a new last one."""
+    names, own = batch_names(spark, path), f".{writer}.{number:012d}"
+    known = [n for n in names if n.endswith(own)]
+    if known:
+        return known[0]
+    last = max((int(n.split(".")[0]) for n in names), default=0)
+    return f"{last + 1:012d}{own}"
 
 
 # --- Published names ---
@@ -92,17 +116,93 @@ def current_select(path: str, held: list[str], columns: list[str] | None = None,
         f"FROM parquet.`{path}/batches` GROUP BY {key}))")
 
 
+ADDRESS_DEFAULTS = {"country_code": settings.DEFAULT_COUNTRY_CODE,
+                    "country_concept_id": settings.DEFAULT_COUNTRY_CONCEPT}
+OPEN_DATES = {"publication_date": settings.REMOVED_FROM_DATE,
+              "last_publication_date": settings.REMOVED_TO_DATE}
+
+
+def _struct_sql(path: str, kind: T.StructType, field_sql) -> str:
+    fields = ", ".join(f"'{f.name}', {field_sql(f, f'{path}.`{f.name}`')}" for f in kind.fields)
+    return f"IF({path} IS NULL, NULL, named_struct({fields}))"
+
+
+def _address_field(field: T.StructField, path: str) -> str:
+    if field.name in ADDRESS_DEFAULTS:
+        return f"coalesce({path}, '{ADDRESS_DEFAULTS[field.name]}')"
+    if field.name == "coordinates":
+        return f"IF({path}[0] BETWEEN -180 AND 180 AND {path}[1] BETWEEN -90 AND 90, {path}, NULL)"
+    return path
+
+
+def _keyword_field(field: T.StructField, path: str) -> str:
+    if isinstance(field.dataType, T.StructType):
+        return _struct_sql(path, field.dataType, _keyword_field)
+    if field.dataType == T.ArrayType(T.StringType()):
+        return f"filter({path}, k -> length(k) <= {settings.KEYWORD_MAX_LENGTH})"
+    return path
+
+
+def shown_sql(schema: T.StructType, removed: bool = False) -> list[str]:
+    """Select list of what the sink shows: an address without a country lies in Sweden, points off
+    the globe and over-long keywords are left out, and removed ads pass any date filter."""
+    out = []
+    for f in schema.fields:
+        value = f"`{f.name}`"
+        if f.name == "workplace_address":
+            value = _struct_sql(value, f.dataType, _address_field)
+        elif f.name == "keywords" and isinstance(f.dataType, T.StructType):
+            value = _struct_sql(value, f.dataType, _keyword_field)
+        elif removed and f.name in OPEN_DATES:
+            value = f"coalesce({value}, TIMESTAMP_NTZ '{OPEN_DATES[f.name]}')"
+        out.append(f"{value} AS `{f.name}`")
+    return out
+
+
+def shown_again(select: str, ad: T.StructType) -> str:
+    """Removed rows in the columns of an ad, as the sink shows them."""
+    return f"SELECT {', '.join(shown_sql(ad, removed=True))} FROM ({select})"
+
+
+def _note(spark: SparkSession, root: str, prefix: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_published/{prefix}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def note_published(spark: SparkSession, main: str, prefix: str) -> None:
+    """Write down, next to the snapshots, which one a name shows and which was moved last."""
+    root = main.rsplit("/", 1)[0]
+    for name in (prefix, "latest"):
+        fs, path = _note(spark, root, name)
+        out = fs.create(path, True)
+        out.write(bytearray(main.encode("utf-8")))
+        out.close()
+
+
+def published_path(spark: SparkSession, root: str, prefix: str | None = None) -> str | None:
+    """The snapshot that was published from a folder, under a name or the last one."""
+    fs, path = _note(spark, root, prefix or "latest")
+    if not fs.exists(path):
+        return None
+    return spark.read.text(str(path), wholetext=True).first()[0]
+
+
 def publish_snapshot(spark: SparkSession, prefix: str, main: str, deleted: str) -> None:
-    """Move the read, stream and write names to a snapshot. A missing one fails before any moves."""
+    """Move the read, stream and write names to a snapshot. A missing one fails before any moves.
+
+    The names show what the sink declares: defaults for open values, keywords up to a length.
+    """
     for path in (main, deleted):
         if not path_exists(spark, f"{path}/base"):
             raise FileNotFoundError(path)
     ad = spark.read.parquet(f"{main}/base").schema
     slim = spark.read.parquet(f"{deleted}/base").schema
-    live = current_select(main, ad.fieldNames())
-    gone = current_select(deleted, slim.fieldNames())
-    gone_as_ad = current_select(deleted, slim.fieldNames(), shaped_sql(slim, ad))
+    live = current_select(main, ad.fieldNames(), shown_sql(ad))
+    gone = current_select(deleted, slim.fieldNames(), shown_sql(slim, removed=True))
+    gone_as_ad = shown_again(current_select(deleted, slim.fieldNames(), shaped_sql(slim, ad)), ad)
     point_view(spark, prefix + settings.READ_SUFFIX, [live], [main])
     point_view(spark, prefix + settings.STREAM_SUFFIX, [live, gone_as_ad], [main, deleted])
     point_view(spark, prefix + settings.DELETED_SUFFIX, [gone], [deleted])
-    point_view(spark, prefix + settings.WRITE_SUFFIX, [live], [main])
+    point_view(spark, prefix + settings.WRITE_SUFFIX,
+               [current_select(main, ad.fieldNames())], [main])
+    note_published(spark, main, prefix)

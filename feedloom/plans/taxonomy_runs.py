@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.operators.snapshot import batch_dedup, max_version
@@ -31,13 +33,15 @@ def taxonomy_publish(spark: SparkSession, concepts: DataFrame, versions: DataFra
                      name: str = "taxonomy") -> tuple[str, bool]:
     """Load the highest version and move the name to it; a new one archives what was current.
 
-    Documents are keyed by concept id, so the last row of a repeated id is kept.
+    Documents are keyed by concept id, so the last row of a repeated id is kept. Every load has a
+    folder of its own, so readers of the version before are not disturbed.
     """
     version = max_version(versions).first()[0]
-    path = f"{root}/{name}-{version}"
-    existed = path_exists(spark, path)
-    batch_dedup(concepts, "concept_id", CONCEPT_ORDER).write.mode("overwrite").parquet(path)
-    before = [p for p in view_paths(spark, name) if p != path]
+    home = f"{root}/{name}-{version}"
+    existed = path_exists(spark, home)
+    path = f"{home}/{uuid.uuid4().hex}"
+    batch_dedup(concepts, "concept_id", CONCEPT_ORDER).write.parquet(path)
+    before = [p for p in view_paths(spark, name) if not p.startswith(f"{home}/")]
     select = lambda p: f"SELECT * FROM parquet.`{p}`"
     point_view(spark, name, [select(path)], [path])
     if before and not existed:

@@ -37,11 +37,13 @@ def build_session(app: str = "feedloom", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor sees. Only a session that names none (a test) gets a local one."""
+    """Folder every executor sees. Only a local session that names none gets one of its own."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="feedloom-"))
     return spark.sparkContext.getCheckpointDir()
 

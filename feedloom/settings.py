@@ -67,7 +67,6 @@ REMOVED_TO_DATE = "2100-12-31"
 # A new snapshot must hold at least this share of the live ads of the current one.
 NEW_SNAPSHOT_SHARE = 0.8
 # Most ids returned for one exact timestamp.
-TIMESTAMP_ID_CAP = 1000
 
 # Names of published views, by suffix.
 READ_SUFFIX = "_read"

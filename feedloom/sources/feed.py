@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedloom.functions.text import mask_org_number, null_safe, strip_nul_json
-from feedloom.operators.joins import lookup_join
+from feedloom.operators.joins import lookup_join, small_side
 from feedloom.operators.snapshot import batch_dedup
 
 FEED_SCHEMA = "annonsId bigint, avpublicerad boolean, uppdateradTid bigint, avpubliceringsdatum string"
@@ -46,10 +46,18 @@ def attach_details(feed: DataFrame, details: DataFrame, limit: int | None = None
 
 
 def attach_raw(feed: DataFrame, raw: DataFrame, limit: int | None = None) -> DataFrame:
-    """Raw JSON bodies (``annonsId, body``) of the live feed rows: (annonsId, body, updatedAt)."""
+    """Raw JSON bodies (``annonsId, body``) of the live feed rows: (annonsId, body, updatedAt).
+
+    A body that landed more than once counts in its last ``version``, or without such a column in
+    the greatest text. The bodies are filtered by the ids of the feed before anything is shuffled.
+    """
     live = feed.where(~is_unpublished()).select(
         "annonsId", F.col("uppdateradTid").alias("updatedAt"))
-    return lookup_join(live, raw.select("annonsId", "body"), "annonsId", "inner", limit)
+    wanted = live.select("annonsId").distinct()
+    bodies = raw.join(small_side(wanted, limit), "annonsId", "left_semi")
+    order = F.struct(F.col("version"), F.col("body")) if "version" in raw.columns else F.col("body")
+    bodies = bodies.groupBy("annonsId").agg(F.max_by("body", order).alias("body"))
+    return live.join(bodies, "annonsId")
 
 
 # --- Raw ads ---

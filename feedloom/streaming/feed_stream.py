@@ -1,12 +1,13 @@
 """The incremental import as a stream over landed feed files.
 
 Files are read once each, in the order they land, and every micro-batch becomes one batch of the
-snapshot. The batch number is the stream's own, so a batch repeated after a failure replaces what
-it wrote before. Run with ``availableNow`` from a scheduler, or leave it running.
+snapshot. Writer and batch number are the stream's own, so a batch repeated after a failure
+replaces what it wrote before, and nothing else. Run with ``availableNow`` from a scheduler, or leave it running.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,14 @@ def stream_import(spark: SparkSession, stream: DataFrame, main: str, deleted: st
     given = inputs if callable(inputs) else lambda: inputs
     empty = spark.createDataFrame([], stream.schema)
     ensure_tables(spark, empty, main, deleted, given())
-    return run_stream(
-        stream, lambda rows, number: load_batch(spark, rows, main, deleted, given(), number),
-        checkpoint, available_now)
+
+    def load(rows: DataFrame, number: int) -> None:
+        load_batch(spark, rows, main, deleted, given(), stream_id(spark, checkpoint), number)
+
+    return run_stream(stream, load, checkpoint, available_now)
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark keeps in a checkpoint: it outlives restarts, and a new checkpoint has another."""
+    noted = spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0]
+    return "stream-" + json.loads(noted)["id"]

@@ -88,26 +88,78 @@ def test_a_shrunken_rebuild_is_not_published(spark):
     for name, size in (("old", 10), ("small", 7), ("new", 8)):
         snapshots.write_base(ads(size), f"{root}/{name}")
     assert imports.gate(spark, f"{root}/small", "gated")
-    snapshots.point_view(spark, "gated_read", [snapshots.current_select(f"{root}/old", ["id", "removed"])],
-                         [f"{root}/old"])
-    assert spark.table("gated_read").count() == 10
-    assert not imports.gate(spark, f"{root}/small", "gated")
-    assert imports.gate(spark, f"{root}/new", "gated")
+    snapshots.note_published(spark, f"{root}/old", "gated")
+    for prefix in ("gated", None):
+        assert not imports.gate(spark, f"{root}/small", prefix)
+        assert imports.gate(spark, f"{root}/new", prefix)
 
 
-def test_a_batch_written_again_replaces_itself(spark):
+def test_a_batch_written_again_replaces_itself_and_no_other_writer(spark):
     path = fresh_path(spark, "t")
     row = lambda i, v: spark.createDataFrame([(i, v)], "id string, v int")
+    write = lambda df, writer, n=0: snapshots.write_batch(
+        df, path, snapshots.batch_name(spark, path, writer, n))
     snapshots.ensure_table(spark, path, row("a", 1).schema)
     snapshots.write_base(row("a", 1), path)
-    snapshots.write_batch(row("a", 2), path, 0)
-    before = snapshots.read_current(spark, path, before=1)
-    snapshots.write_batch(row("a", 3), path, 1)
-    snapshots.write_batch(before.withColumn("v", F.col("v") + 5), path, 1)
+    write(row("a", 2), "one")
+    second = snapshots.batch_name(spark, path, "two")
+    before = snapshots.read_current(spark, path, before=second)
+    write(row("a", 3), "two")
+    write(before.withColumn("v", F.col("v") + 5), "two")
     assert rows(snapshots.read_current(spark, path)) == [("a", 7)]
-    assert snapshots.next_batch(spark, path) == 2
+    assert snapshots.batch_name(spark, path, "two") == second
+    write(row("b", 1), "two", 1)
+    write(row("c", 1), "three")
+    write(row("a", 0), "one")
+    assert rows(snapshots.read_current(spark, path)) == [("a", 7), ("b", 1), ("c", 1)]
     snapshots.ensure_table(spark, path, before.schema)
-    assert rows(snapshots.read_current(spark, path)) == [("a", 7)]
+    with pytest.raises(FileExistsError):
+        snapshots.write_base(row("a", 1), path)
+
+
+def test_reconciling_ends_when_the_number_of_missing_ads_no_longer_falls(spark):
+    feed = spark.createDataFrame([(i, False, 1, None) for i in range(25)], f.FEED_SCHEMA)
+    held: list[int] = []
+
+    def load(pending):
+        held.extend([r["annonsId"] for r in pending.collect() if r["annonsId"] < 20][:1])
+
+    def snapshot():
+        return spark.createDataFrame([(str(i),) for i in held], "id string")
+
+    assert imports.reconcile(load, feed, snapshot) == 5 and len(held) == 20
+
+
+def test_keys_of_different_types_join_alike_by_any_plan(spark):
+    left = spark.createDataFrame([(1, "x")] * 300 + [(2, "y")], "k int, v string")
+    right = spark.createDataFrame([(1, "one"), (5_000_000_000, "far")], "k bigint, w string")
+    small, large = (rows(joins.lookup_join(left, right, "k", "left", limit)) for limit in (None, 0))
+    assert small == large and sum(r[2] == "one" for r in small) == 300
+
+
+def test_the_last_body_of_an_ad_counts(spark):
+    feed = spark.createDataFrame([(1, False, 10, None), (2, True, 10, None)], f.FEED_SCHEMA)
+    raw = spark.createDataFrame([(1, "new", 2), (1, "old", 1), (2, "gone", 1), (3, "other", 1)],
+                                "annonsId bigint, body string, version int")
+    assert rows(f.attach_raw(feed, raw).select("annonsId", "body")) == [(1, "new")]
+
+
+def test_what_the_sink_shows(spark):
+    ads = spark.createDataFrame(
+        [("1", ((None, "c", [200.0, 1.0])), (["a" * 300, "b"],), None),
+         ("2", (("1", None, [20.0, 1.0])), None, None)],
+        "id string, workplace_address struct<country_code:string,country_concept_id:string,"
+        "coordinates:array<double>>, keywords struct<skill:array<string>>, "
+        "publication_date timestamp_ntz")
+    live = ads.selectExpr(*snapshots.shown_sql(ads.schema)).orderBy("id").collect()
+    assert live[0]["workplace_address"].asDict() == {
+        "country_code": "199", "country_concept_id": "c", "coordinates": None}
+    assert live[1]["workplace_address"]["country_concept_id"] == "i46j_HmG_v64"
+    assert live[1]["workplace_address"]["coordinates"] == [20.0, 1.0]
+    assert live[0]["keywords"]["skill"] == ["b"] and live[1]["keywords"] is None
+    assert live[0]["publication_date"] is None
+    gone = ads.selectExpr(*snapshots.shown_sql(ads.schema, removed=True)).first()
+    assert gone["publication_date"].year == 1970
 
 
 def test_publishing_a_missing_snapshot_moves_no_name(spark):
