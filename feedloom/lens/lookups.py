@@ -178,7 +178,9 @@ def requirements_per_ad(spark, sf_dir):
     return found.groupBy(F.col("l_orderkey").alias("ad_id")).agg(
         F.count_if(r.is_must(F.col("weight"))).alias("must"),
         F.count_if(~r.is_must(F.col("weight"))).alias("nice"),
-        F.count("concept_id").alias("known"), F.min("label").alias("first_label"))
+        F.count("concept_id").alias("known"),
+        # A set per ad keeps this a hash aggregate; the least of strings alone would sort twice.
+        F.array_min(F.collect_set("label")).alias("first_label"))
 
 
 HOURS = {"1-URGENT": "6YE1_gAC_R2G", "2-HIGH": "947z_JGS_Uk2", "3-MEDIUM": "hGCt_6Ni_XPz"}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from feedloom.operators.joins import lookup_join
+from feedloom.session import materialise
 
 
 def first_successors(listed: DataFrame) -> DataFrame:
@@ -84,7 +85,8 @@ def occupation_rows(concepts: DataFrame, pairs: DataFrame,
 def occupation_hierarchy(ads: DataFrame, concepts: DataFrame, pairs: DataFrame,
                          concept_id: str = "concept_id", limit: int | None = None) -> DataFrame:
     """Occupation, group and field rows per ad, in long form. Unknown occupations give none."""
-    rows = occupation_rows(concepts, pairs)
+    # Written first, so that the size of the file and not a guess decides how it is joined.
+    rows = materialise(occupation_rows(concepts, pairs), "occupation-rows")
     keyed = ads.withColumnRenamed(concept_id, "for_id")
     return lookup_join(keyed, rows, "for_id", "inner", limit, unique=False).drop("for_id")
 

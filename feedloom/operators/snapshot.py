@@ -88,9 +88,13 @@ def is_removed() -> Column:
 
 def tombstones(documents: DataFrame) -> DataFrame:
     """The slim form of removed documents."""
+    return documents.where(is_removed()).select(*slim_columns())
+
+
+def slim_columns() -> list:
     f = F.col("removed_ad_filter")
     one = lambda name: F.struct(f[name].alias("concept_id"))
-    return documents.where(is_removed()).select(
+    return [
         "id", F.lit(True).alias("removed"), "removed_date", "timestamp",
         F.lit(None).cast("timestamp_ntz").alias("last_publication_date"),
         F.lit(None).cast("timestamp_ntz").alias("publication_date"),
@@ -99,25 +103,26 @@ def tombstones(documents: DataFrame) -> DataFrame:
         one("occupation_field_concept_id").alias("occupation_field"),
         F.struct(*[f[n].alias(n) for n in (
             "municipality_concept_id", "region_concept_id", "country_concept_id")])
-        .alias("workplace_address"))
+        .alias("workplace_address")]
 
 
-def shaped_sql(removed: T.StructType, ad: T.StructType) -> list[str]:
+def shaped_sql(removed: T.StructType, ad: T.StructType, within: str = "") -> list[str]:
     """Select list that shows a slim row in the columns of an ad. Filter ids take the place of the
-    fields they came from, so both kinds of row answer the same filters."""
+    fields they came from, so both kinds of row answer the same filters. ``within`` names a struct
+    that holds the slim row."""
     out = []
     for f in ad.fields:
         if f.name in ("occupation", "occupation_group", "occupation_field"):
             fields = ", ".join(f"'{e.name}', " + ("i" if e.name == "concept_id" else "NULL")
                                for e in f.dataType.elementType.fields)
-            value = f"transform({f.name}.concept_id, i -> named_struct({fields}))"
+            value = f"transform({within}{f.name}.concept_id, i -> named_struct({fields}))"
         elif f.name == "workplace_address":
             held = removed[f.name].dataType.fieldNames()
             value = "named_struct({})".format(", ".join(
-                f"'{e.name}', " + (f"{f.name}.{e.name}" if e.name in held else "NULL")
+                f"'{e.name}', " + (f"{within}{f.name}.{e.name}" if e.name in held else "NULL")
                 for e in f.dataType.fields))
         else:
-            value = f"`{f.name}`" if f.name in removed.fieldNames() else "NULL"
+            value = f"{within}`{f.name}`" if f.name in removed.fieldNames() else "NULL"
         out.append(f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`")
     return out
 
@@ -132,8 +137,12 @@ def route_tombstones(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     A removed document goes to both, in its slim form.
     """
     removed = tombstones(documents)
-    live = documents.where(~is_removed())
-    main = live.unionByName(shaped_like(removed, documents.schema))
+    # One pass: each row is shown in one of its two forms.
+    both = documents.withColumn("__slim", F.struct(*slim_columns()))
+    shaped = shaped_sql(removed.schema, documents.schema, "__slim.")
+    main = both.select(*[
+        F.when(is_removed(), F.expr(sql.rsplit(" AS ", 1)[0])).otherwise(F.col(name)).alias(name)
+        for name, sql in zip(documents.columns, shaped)])
     return main.drop("removed_ad_filter"), removed
 
 

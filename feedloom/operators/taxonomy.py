@@ -104,8 +104,6 @@ ID_ORDER = [
     "durations", "experience_years", "places",
 ]
 BY_NAME = {c.name: c for c in CATEGORIES}
-# Rows per counting bucket of :func:`global_positions`.
-POSITION_BUCKET = 100_000
 
 ENTRY = "struct<legacy_ams_taxonomy_id:string,type:string,label:string,concept_id:string"
 NO_PARENT = f"{ENTRY},parent:{ENTRY}>>"
@@ -119,21 +117,20 @@ def last_per_key(df: DataFrame, key: list[str] | str, pos: str = "pos") -> DataF
 def global_positions(df: DataFrame, ordinal: str, pos: str, into: str = "n") -> DataFrame:
     """Number rows 0, 1, 2, ... by (ordinal, pos) without sorting them in one task.
 
-    Rows are numbered within buckets of ``POSITION_BUCKET`` positions, and a running total over
-    the bucket counts, one short row each, says where each bucket starts.
+    Rows are dealt by ranges and written in order, each with its place in its partition; a running
+    total over the partitions, one short row each, says where each of them starts.
     """
-    bucketed = df.withColumn("__bucket", F.floor(F.col(pos) / POSITION_BUCKET))
-    counts = bucketed.groupBy(ordinal, "__bucket").agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.partitionBy(F.lit(0)).orderBy(ordinal, "__bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    starts = counts.select(
-        ordinal, "__bucket",
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
-    within = F.row_number().over(Window.partitionBy(ordinal, "__bucket").orderBy(pos))
-    return (
-        lookup_join(bucketed.withColumn("__at", within), starts, [ordinal, "__bucket"], "inner")
-        .withColumn(into, F.col("__start") + F.col("__at") - 1)
-        .drop("__bucket", "__rows", "__start", "__at"))
+    placed = materialise(
+        df.repartitionByRange(ordinal, pos).sortWithinPartitions(ordinal, pos)
+        .withColumn("__at", F.monotonically_increasing_id()), "positions")
+    part = F.shiftright("__at", 33).alias("__part")
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0))
+                          .alias("__start"))
+    at = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (lookup_join(placed.withColumn("__part", part), starts, "__part", "inner")
+            .withColumn(into, F.col("__start") + at).drop("__part", "__start", "__at"))
 
 
 def concept_id_assign(rows: DataFrame, ids: DataFrame, ordinal: str = "ordinal",

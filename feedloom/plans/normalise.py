@@ -112,26 +112,38 @@ def prepare_taxonomy(concepts: DataFrame, pairs: DataFrame) -> Taxonomy:
     return Taxonomy(materialise(cards, "occupation-cards"), mention_table(concepts, pairs))
 
 
+# Slots with several values; the others hold one.
+LISTED = ["driving_license", *[f"{side}.{field}" for side in SIDES
+                               for field in (*WEIGHTED_LISTS, "education", "education_level")]]
+
+
+def _found(slot: str) -> str:
+    return "found_" + slot.replace(".", "_")
+
+
 def resolve_mentions(ads: DataFrame, table: DataFrame, limit: int | None = None) -> DataFrame:
-    """(id, found): the resolved mentions of each ad, in slot and position order.
+    """``id`` and a column per slot: the entry of a single value, else the resolved mentions in
+    order of position. A slot nobody asks for is never gathered.
 
     Equivalents of skills come along with the skill they belong to.
     """
     rows = ads.select("id", F.inline(F.expr(mentions_sql()))).where("concept_id IS NOT NULL OR "
                                                                     "slot LIKE '%.%'")
     found = lookup_join(rows, table, ["lookup_type", "concept_id"], "left", limit)
-    return found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(
-        "slot", "pos", F.col("entry").cast(CONCEPT).alias("entry"), "weight",
-        F.coalesce("equivalents", F.expr(_empty(WEIGHTED))).alias("equivalents")))).alias("found"))
-
-
-def _in_slot(slot: str) -> str:
-    return f"filter(found, m -> m.slot = '{slot}')"
+    entry = F.col("entry").cast(CONCEPT)
+    mention = F.struct("pos", entry.alias("entry"), "weight", F.coalesce(
+        "equivalents", F.expr(_empty(WEIGHTED))).alias("equivalents"))
+    here = lambda slot, value: F.when(F.col("slot") == slot, value)
+    return found.groupBy("id").agg(
+        *[F.first(here(slot, entry), ignorenulls=True).alias(_found(slot))
+          for slot in (*CODED, *PLACES)],
+        *[F.array_sort(F.collect_list(here(slot, mention))).alias(_found(slot))
+          for slot in LISTED])
 
 
 def _weighted(slot: str) -> str:
     """Resolved list of a slot. Unknown values stay, with null id and label."""
-    items = _in_slot(slot)
+    items = _found(slot)
     listed = (f"transform({items}, m -> CAST(named_struct('concept_id', m.entry.concept_id, "
               f"'label', m.entry.label, 'weight', m.weight, 'legacy_ams_taxonomy_id', "
               f"m.entry.legacy_ams_taxonomy_id) AS {WEIGHTED}))")
@@ -147,7 +159,7 @@ def _requirements(side: str) -> Column:
 
 
 def _coded(slot: str) -> str:
-    return f"get({_in_slot(slot)}, 0).entry"
+    return _found(slot)
 
 
 def _or_default(value: str, default: str) -> str:
@@ -200,8 +212,8 @@ def normalise_ads(raw: DataFrame, taxonomy: Taxonomy, run_date: dt.date,
     pick = lambda **names: F.expr("named_struct({})".format(
         ", ".join(f"'{n}', ad.{key}" for n, key in names.items())))
     live = ~null_safe(ad["avpublicerad"], False)
-    licences = F.expr("transform(filter(found, m -> m.slot = 'driving_license' AND "
-                      "m.entry IS NOT NULL), m -> m.entry)")
+    licences = F.expr(f"transform(filter({_found('driving_license')}, m -> m.entry IS NOT NULL), "
+                      "m -> m.entry)")
     needs_licence = null_safe(F.size(ad["korkort"]) > 0, False)
     out = ads.select(
         "id", ad["externtAnnonsId"].alias("external_id"), ad["annonsrubrik"].alias("headline"),

@@ -179,9 +179,8 @@ def test_feed_cursor(spark):
 
 # --- Taxonomy ---
 
-def test_positions_are_dense_over_gaps_and_buckets(spark, monkeypatch):
-    monkeypatch.setattr(x, "POSITION_BUCKET", 7)
-    df = spark.range(100).select((F.col("id") % 3).cast("int").alias("o"), (F.col("id") * 5).alias("p"))
+def test_positions_are_dense_over_gaps_and_partitions(spark):
+    df = spark.range(100).repartition(5).select((F.col("id") % 3).cast("int").alias("o"), (F.col("id") * 5).alias("p"))
     got = [r["n"] for r in x.global_positions(df, "o", "p").orderBy("o", "p").collect()]
     assert got == list(range(100))
 
