@@ -18,7 +18,7 @@ from feedloom.session import materialise
 #: Words in a shingle, seed of its hash, and bits two linked fingerprints may differ in.
 SHINGLE, SEED, RADIUS = 4, 42, 4
 #: Distinct fingerprints that a shard of the tree owns, about.
-SHARD = 2048
+SHARD = 1 << 14
 #: Fingerprints from which the upper tree is built, at most.
 SAMPLE = 1 << 16
 #: Fingerprints that a leaf within a shard compares one by one.
