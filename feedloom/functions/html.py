@@ -116,6 +116,7 @@ class PageText(HTMLParser):
         self.run.append(chr(point) if point else "&" + name)
 
     def handle_charref(self, name):
+        point = -1
         try:
             point = int(name[1:], 16) if name[:1] in "xX" else int(name)
             # Numbers below 256 are often meant as Windows characters.
@@ -123,7 +124,7 @@ class PageText(HTMLParser):
         except (UnicodeDecodeError, OverflowError, ValueError):
             try:
                 text = chr(point)
-            except (OverflowError, ValueError, UnboundLocalError):
+            except (OverflowError, ValueError):
                 text = ""
         self.run.append(text or "\N{REPLACEMENT CHARACTER}")
 

@@ -67,6 +67,43 @@ def clean_html(spark, sf_dir):
         "page_id", html.clean_html(F.col("html")).alias("text"))
 
 
+# How a page is put together from a name and a segment, and what its text then is.
+COMPOSED = {
+    "'<p>' || c_name || '</p><p>' || c_mktsegment || '</p>'": "c_name || nl || c_mktsegment",
+    "'<div><p>' || c_name || '<p>' || c_mktsegment || '</p>end</div>'":
+        "c_name || nl || c_mktsegment || nl || 'end'",
+    "c_name || '<br>' || c_mktsegment || '<br/>end'":
+        "c_name || nl || c_mktsegment || nl || 'end'",
+    "'<ul><li>' || c_name || '</li><li>' || c_mktsegment || '</li></ul>end'":
+        "c_name || nl || c_mktsegment || nl || 'end'",
+    "'<script>var x = \"</p>\"</script>' || c_name || '<style>p {}</style>' || c_mktsegment":
+        "c_name || c_mktsegment",
+    "'<h4>' || c_name || '</h4>' || c_mktsegment || ' &amp; &lt;' || c_nationkey || '&gt; &#229;'":
+        "c_name || nl || c_mktsegment || ' & <' || c_nationkey || '> å'",
+    "'<b>' || c_name || '</b><!-- p --><p>' || c_mktsegment || '<i>x</i>'":
+        "c_name || nl || c_mktsegment || 'x'",
+    "'<div><div><h1>' || c_name || '</h3><pre>' || c_mktsegment || '</pre>'":
+        "c_name || c_mktsegment",
+    "'  ' || c_name || '  '": "c_name",
+}
+
+
+def _composed(values) -> str:
+    cases = " ".join(f"WHEN {i} THEN {sql}" for i, sql in enumerate(values))
+    return f"CASE c_custkey % {len(COMPOSED)} {cases} END"
+
+
+@query("k1_clean_composed", f"""
+    SELECT c_custkey, {_composed(COMPOSED.values())} AS text
+    FROM (SELECT *, chr(10) AS nl FROM customer)
+""")
+def clean_composed(spark, sf_dir):
+    """Pages made of blocks, nesting, open and wrongly closed elements, lists, breaks, scripts,
+    styles, comments and entities, whose text SQL can state."""
+    return t.texts(spark, sf_dir, "customer", "c_custkey").select(
+        "c_custkey", html.clean_html(F.expr(_composed(COMPOSED))).alias("text"))
+
+
 RUN_DATE = dt.date(2021, 5, 6)
 DATE_TEXT_SQL = """
     CASE o_orderpriority
