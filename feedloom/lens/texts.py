@@ -418,6 +418,33 @@ def label_grams(spark, sf_dir):
     return o.term_frequency(rows.withColumnRenamed("doc_id", "p_partkey"), "p_partkey")
 
 
+KINDS = ["words", "prefix", "suffix", "shingles", "reversed"]
+
+
+@query("t8_token_positions", f"""
+    WITH s AS (SELECT item_id, {words_sql(f"lower({NORMALISED.format('text')})")} AS w FROM benchmark),
+    sp AS (SELECT item_id, i - 1 AS pos, w[i] AS word
+           FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM s)),
+    d AS (SELECT item_id, {standard_sql('text')} AS w FROM benchmark),
+    dp AS (SELECT item_id, w, i FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d)),
+    rows AS (
+        SELECT item_id, 'words' AS kind, pos, word AS term FROM sp
+        UNION ALL SELECT item_id, 'prefix', pos, term FROM ({grams_sql("SELECT * FROM sp", 'left', 3, 30)})
+        UNION ALL SELECT item_id, 'suffix', pos, term FROM ({grams_sql("SELECT * FROM sp", 'right', 3, 30)})
+        UNION ALL SELECT item_id, 'shingles', i - 1, array_to_string(w[i:i + n - 1], ' ')
+            FROM dp, range(1, 4) AS lengths(n)
+            WHERE i + n - 1 <= len(w) AND array_to_string(w[i:i + n - 1], ' ') NOT IN ({STOP_SQL})
+        UNION ALL SELECT item_id, 'reversed', i - 1, reverse(w[i]) FROM dp
+            WHERE reverse(w[i]) NOT IN ({STOP_SQL}))
+    SELECT item_id, kind, CAST(pos AS INTEGER) AS pos, term FROM rows
+""")
+def token_positions(spark, sf_dir):
+    """Every token with its document and position."""
+    items = t.table(spark, sf_dir, "benchmark")
+    return o.token_table(items, {"text": KINDS}, "item_id").select(
+        F.col("doc_id").alias("item_id"), "kind", "pos", "term")
+
+
 PLAN = {"headline": ["words", "prefix", "suffix"], "text": ["words", "prefix", "suffix"],
         "compound": ["shingles", "reversed"]}
 HEAD_SIMPLE = simple_sql("headline", "f")
