@@ -130,8 +130,62 @@ GROUPS = {
 }
 
 
+# Written out by hand, so that a wrong entry in the list of categories does not pass unseen.
+NONE = "CAST(NULL AS VARCHAR)"
+BY_HAND = {
+    "x1_jobs": f"""
+        SELECT '' || c_custkey AS legacy_id, 'occupation-name' AS type, c_name AS label,
+               'job_terms-' || c_custkey AS concept_id, {NONE} AS description,
+               CAST(c_custkey AS INTEGER) AS num_id, {NONE} AS country_code, {NONE} AS eures,
+               'job_groups-' || c_nationkey AS parent_id FROM customer
+        UNION ALL SELECT '' || n_nationkey, 'occupation-group', n_name, 'job_groups-' || n_nationkey,
+               'about ' || n_name, n_nationkey, NULL, NULL, 'job_fields-' || n_regionkey FROM nation
+        UNION ALL SELECT '' || r_regionkey, 'occupation-field', r_name, 'job_fields-' || r_regionkey,
+               'about ' || r_name, r_regionkey, NULL, NULL, NULL FROM region
+    """,
+    "x2_geo": f"""
+        SELECT CASE WHEN s_acctbal > 8000 THEN 'own-' || s_suppkey
+                    ELSE s_nationkey || '-' || translate(lower(s_name), 'åäö ', 'aao_') END AS legacy_id,
+               CASE WHEN s_acctbal > 5000 THEN 'spot' ELSE 'place' END AS type, s_name AS label,
+               CASE WHEN s_acctbal < 0 THEN 'own' ELSE 'places-' END || s_suppkey AS concept_id,
+               {NONE} AS description, CAST(NULL AS INTEGER) AS num_id, {NONE} AS country_code,
+               {NONE} AS eures, 'municipalities-' || s_nationkey AS parent_id FROM supplier
+        UNION ALL SELECT '' || n_nationkey, 'municipality', n_name, 'municipalities-' || n_nationkey,
+               NULL, n_nationkey, NULL, NULL, 'regions-' || n_regionkey FROM nation
+        UNION ALL SELECT '' || r_regionkey, 'region', r_name, 'regions-' || r_regionkey,
+               NULL, r_regionkey, NULL, NULL, NULL FROM region
+        UNION ALL SELECT '' || s_suppkey, 'country', s_name, 'countries-' || s_suppkey,
+               NULL, CAST(s_suppkey AS INTEGER), 'C' || s_suppkey, NULL, NULL FROM supplier
+    """,
+    "x10_education_fields": f"""
+        SELECT '' || (r_regionkey + 100) AS legacy_id, 'sun-education-field-1' AS type,
+               r_name AS label, 'education_field_1-' || r_regionkey AS concept_id,
+               {NONE} AS description, r_regionkey + 100 AS num_id, {NONE} AS country_code,
+               {NONE} AS eures, {NONE} AS parent_id FROM region
+        UNION ALL SELECT '' || (n_nationkey + 100), 'sun-education-field-2', n_name,
+               'education_field_2-' || n_nationkey, NULL, n_nationkey + 100, NULL, NULL,
+               'education_field_1-' || n_regionkey FROM nation
+        UNION ALL SELECT '' || (s_suppkey + 100), 'sun-education-field-3', s_name,
+               'education_field_3-' || s_suppkey, NULL, CAST(s_suppkey AS INTEGER), NULL, NULL,
+               'education_field_2-' || s_nationkey FROM supplier
+    """,
+    "x11_education_levels": f"""
+        SELECT '' || (r_regionkey + 100) AS legacy_id, 'sun-education-level-1' AS type,
+               r_name AS label, 'education_level_1-' || r_regionkey AS concept_id,
+               {NONE} AS description, r_regionkey + 100 AS num_id, {NONE} AS country_code,
+               {NONE} AS eures, {NONE} AS parent_id FROM region
+        UNION ALL SELECT '' || (n_nationkey + 100), 'sun-education-level-2', n_name,
+               'education_level_2-' || n_nationkey, NULL, n_nationkey + 100, NULL, NULL,
+               'education_level_1-' || n_regionkey FROM nation
+        UNION ALL SELECT '' || (c_custkey + 100), 'sun-education-level-3', c_name,
+               'education_level_3-' || c_custkey, NULL, CAST(c_custkey + 100 AS INTEGER), NULL, NULL,
+               'education_level_2-' || c_nationkey FROM customer
+    """,
+}
+
+
 def _register_group(name: str, categories: list[str]) -> None:
-    @query(name, " UNION ALL ".join(flat_sql(c) for c in categories))
+    @query(name, BY_HAND.get(name, " UNION ALL ".join(flat_sql(c) for c in categories)))
     def run(spark, sf_dir):
         concepts = built(spark, sf_dir, categories)
         return reduce(DataFrame.unionByName, [flat(concepts[c]) for c in categories])
