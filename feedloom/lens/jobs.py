@@ -48,6 +48,8 @@ RAW = f"""
             'kommun', named_struct('varde', 'N' || c_nationkey, 'namn', 'Kommun ' || c_nationkey),
             'postort', '1234' || c_nationkey || ' ' || c_mktsegment, 'longitud', '' || c_nationkey,
             'latitud', c_mktsegment),
+        'ingenErfarenhetKravs', CASE c_nationkey % 3 WHEN 0 THEN true WHEN 1 THEN false END,
+        'tillgangTillEgenBil', CASE WHEN c_nationkey % 2 = 0 THEN true END,
         'arbetsgivareNamn', c_mktsegment || ' AB', 'arbetsplatsNamn', 'AB ' || c_name,
         'organisationsnummer', reverse(substr(c_name, 10)) || '0',
         'publiceringsdatum', {DATE_TEXT},
@@ -113,7 +115,8 @@ CARDS = f"""
            CAST(CASE WHEN o_orderstatus = 'P' THEN NULL
                 WHEN day(o_orderdate) IN (SELECT s_suppkey FROM supplier) THEN 1
                 ELSE 0 END AS INTEGER) AS licences,
-           o_orderstatus <> 'P' AS licence_required,
+           o_orderstatus <> 'P' AS licence_required, c_nationkey % 3 <> 0 AS experience_required,
+           c_nationkey % 2 = 0 AS own_car,
            CASE WHEN regexp_matches(substr(reverse(substr(c_name, 10)), 3, 1), '[2-9]')
                 THEN reverse(substr(c_name, 10)) || '0' END AS org_number,
            CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
@@ -134,7 +137,8 @@ def normalise_ad(spark, sf_dir):
         F.size("nice_to_have.skills").alias("nice_skills"),
         F.get("must_have.skills", F.lit(0))["label"].alias("first_must"),
         F.when(F.col("driving_license").isNotNull(), F.size("driving_license")).alias("licences"),
-        F.col("driving_license_required").alias("licence_required"),
+        F.col("driving_license_required").alias("licence_required"), "experience_required",
+        F.col("access_to_own_car").alias("own_car"),
         F.col("employer.organization_number").alias("org_number"),
         t.millis("publication_date").alias("published"), "timestamp")
 
