@@ -274,7 +274,8 @@ def katz_scores(docs: DataFrame) -> DataFrame:
             opened = Numbered(row)
             counts = np.bincount(opened.pair_of[opened.training[opened.in_model]],
                                  minlength=len(opened.pairs))
-            chances = lower(opened.counts)[opened.pair_word]
+            # The lower order needs no more than the count of the pair's word.
+            below = opened.counts[opened.pair_word]
             parts = _parts(pair_edges(opened.pairs))
             yield pa.RecordBatch.from_pydict({
                 "bucket": pa.array([i for i, _, _ in parts], pa.int32()),
@@ -282,20 +283,19 @@ def katz_scores(docs: DataFrame) -> DataFrame:
                 "keys": pa.array([C.squeeze_sorted(opened.pairs[a:b]) for _, a, b in parts],
                                  pa.binary()),
                 "counts": pa.array([C.squeeze(counts[a:b]) for _, a, b in parts], pa.binary()),
-                "lower": pa.array([pack_floats(chances[a:b]) for _, a, b in parts],
-                                  pa.binary())})
+                "below": pa.array([C.squeeze(below[a:b]) for _, a, b in parts], pa.binary())})
 
     def count_pairs(frame: pd.DataFrame) -> pd.DataFrame:
         keys, total, backs, back = _totals([C.unsqueeze_sorted(one) for one in frame["keys"]],
                                            [C.unsqueeze(one) for one in frame["counts"]])
-        chances = np.empty(len(keys))
-        chances[back] = np.concatenate([unpack_floats(one) for one in frame["lower"]])
+        below = np.empty(len(keys), dtype=np.uint64)
+        below[back] = np.concatenate([C.unsqueeze(one) for one in frame["below"]])
         known = total > 0
         answers = frame[["chunk", "bucket"]].assign(
             counts=[C.squeeze(total[back]) for back in backs])
         model = pd.DataFrame({
             "bucket": frame["bucket"].iloc[:1], "keys": [C.squeeze_sorted(keys[known])],
-            "counts": [C.squeeze(total[known])], "lower": [pack_floats(chances[known])],
+            "counts": [C.squeeze(total[known])], "below": [C.squeeze(below[known])],
             "tokens": int(total.sum()), "distinct_keys": int(known.sum()),
             "spectrum": [_spectrum(total[known])]})
         return _stacked(answers, model)
@@ -303,9 +303,9 @@ def katz_scores(docs: DataFrame) -> DataFrame:
     word_answers = C.listed(words.where("chunk is not null").select(
         "chunk", "bucket", "counts", "numbers"), "words")
     asked = C.joined(chunks, word_answers).mapInArrow(
-        ask_pairs, "bucket int, chunk long, keys binary, counts binary, lower binary")
+        ask_pairs, "bucket int, chunk long, keys binary, counts binary, below binary")
     pairs = materialise(asked.groupBy("bucket").applyInPandas(
-        count_pairs, "chunk long, bucket int, counts binary, keys binary, lower binary, "
+        count_pairs, "chunk long, bucket int, counts binary, keys binary, below binary, "
                      f"{STATISTICS}"), "pairs")
     model2 = pairs.where("chunk is null")
     discounts2 = Discounts.of(_statistics(model2)[2])
@@ -326,7 +326,7 @@ def katz_scores(docs: DataFrame) -> DataFrame:
                 starts = np.flatnonzero(np.concatenate([[True], history[1:] != history[:-1]]))
                 sums = [np.add.reduceat(one, starts) for one in (
                     counts.astype(np.float64), discounts2.discounted(counts),
-                    unpack_floats(row.lower))]
+                    lower(C.unsqueeze(row.below).astype(np.int64)))]
                 history = history[starts]
                 for i, a, b in _parts(np.append(np.searchsorted(history, history_edges),
                                                 len(history))):
@@ -389,7 +389,7 @@ def katz_scores(docs: DataFrame) -> DataFrame:
 
     both = C.joined(chunks, word_answers, pair_answers)
     kind = "bucket int, chunk long, keys binary, sums binary"
-    sums = model2.select("keys", "counts", "lower").mapInPandas(sum_histories, kind)
+    sums = model2.select("keys", "counts", "below").mapInPandas(sum_histories, kind)
     weights = both.mapInArrow(ask_histories, kind).unionByName(sums).groupBy("bucket") \
         .applyInPandas(weigh, "chunk long, bucket int, weights binary")
     weight_answers = C.listed(weights, "weights")
