@@ -8,6 +8,7 @@ everywhere so costs a bucket one entry per chunk, however many rows hold it.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -24,7 +25,7 @@ from feedloom.session import fresh_path
 #: Bytes of documents in a chunk, about; a longer document is a chunk of its own.
 CHUNK_BYTES = 4 << 20
 #: Bytes of documents whose keys a bucket is meant for, and buckets at least.
-BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 32
+BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 32
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -55,8 +56,29 @@ def unpack_bits(data: bytes, count: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(zstandard.decompress(data), np.uint8), count=count) == 1
 
 
-def chunk_table(docs: DataFrame) -> DataFrame:
+def release() -> None:
+    """Give memory that is free back to the system; idle workers else keep what a task needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def releasing(run):
+    """``run``, a function from batches to batches, giving memory back when it ends."""
+    def released(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return released
+
+
+def chunk_table(docs: DataFrame, chunk_bytes: int | None = None) -> DataFrame:
     """``(chunk, size, rows)``: all columns of ``docs`` (the last one the text), written."""
+    limit = chunk_bytes or CHUNK_BYTES
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, held_size = TaskContext.get().partitionId() << 32, [], 0
 
@@ -77,7 +99,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                                dtype=np.int64)
             start = 0
             for at, length in enumerate(lengths.tolist()):
-                if held_size and held_size + length > CHUNK_BYTES:
+                if held_size and held_size + length > limit:
                     held.append(batch.slice(start, at - start))
                     yield chunk()
                     held, held_size, number, start = [], 0, number + 1, at
@@ -86,7 +108,8 @@ def chunk_table(docs: DataFrame) -> DataFrame:
         if held_size:
             yield chunk()
 
-    return by_chunk(docs.mapInArrow(gather, "chunk long, size long, rows binary"), "chunks")
+    return by_chunk(docs.mapInArrow(
+        releasing(gather), "chunk long, size long, rows binary"), "chunks")
 
 
 def by_chunk(df: DataFrame, name: str) -> DataFrame:

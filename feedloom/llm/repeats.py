@@ -14,6 +14,8 @@ from feedloom.llm import chunks as C
 
 #: Words of a window; one that a smaller document also holds is removed.
 WINDOW = 50
+#: Bytes of documents in a chunk; a chunk's words and hashes take some thirty times as much.
+CHUNK_BYTES = 2 << 20
 #: Words of a reference block. Any window holds a whole block of those that do not overlap.
 BLOCK = WINDOW // 2
 
@@ -115,7 +117,7 @@ def repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     # The text is the last column, and is given back if it is carried.
     names = ["doc_id", *others, *(["text"] if "text" in carry else [])]
     kinds = [field.dataType.simpleString() for field in source.schema.fields[:len(names)]]
-    chunks = C.chunk_table(source)
+    chunks = C.chunk_table(source, CHUNK_BYTES)
     buckets = C.bucket_count(chunks)
 
     def ask_blocks(batches):
@@ -142,7 +144,7 @@ def repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
             C.pack_bits(np.isin(one, shared, assume_unique=True)) for one in keys])
 
     asked = chunks.select("chunk", "rows").mapInArrow(
-        ask_blocks, "bucket int, chunk long, keys binary, reference binary")
+        C.releasing(ask_blocks), "bucket int, chunk long, keys binary, reference binary")
     shared = asked.groupBy("bucket").applyInPandas(
         find_blocks, "chunk long, bucket int, answer binary")
     chunks = chunks.select("chunk", "rows")
@@ -184,7 +186,7 @@ def repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
             answer=[C.pack_bits(one) for one in np.split(earlier, cuts)])
 
     windows = C.joined(chunks, shared).mapInArrow(
-        ask_windows, "bucket int, chunk long, base long, keys binary, owners binary")
+        C.releasing(ask_windows), "bucket int, chunk long, base long, keys binary, owners binary")
     earlier = windows.groupBy("bucket").applyInPandas(
         find_windows, "chunk long, bucket int, answer binary")
     earlier = C.listed(earlier, "earlier")
@@ -228,7 +230,7 @@ def repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
     schema = ", ".join(f"c{i} {kind}" for i, kind in enumerate(kinds))
     return C.joined(chunks, shared, earlier).mapInArrow(
-        remove, f"{schema}, n_words long, n_removed long, "
+        C.releasing(remove), f"{schema}, n_words long, n_removed long, "
                 "spans array<struct<start:int,end:int>>, kept string").toDF(
         *names, "n_words", "n_removed", "spans", "kept")
 
@@ -238,9 +240,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     A text without repeats stays as it is, white space and all.
     """
-    found = repeats(docs, tuple(c for c in docs.columns if c != "doc_id"))
+    # Other columns may have any names, so they travel under names of their own.
+    others = {c: f"carried_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    found = repeats(docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in others.items()]),
+                    ("text", *others.values()))
     changed = F.col("n_removed") > 0
-    return found.withColumn("n_chars", F.when(changed, F.length("kept").cast("long"))
-                            .otherwise(F.col("n_chars"))) \
-        .withColumn("text", F.when(changed, F.col("kept")).otherwise(F.col("text"))) \
-        .select(docs.columns)
+    shown = {"doc_id": F.col("doc_id"),
+             "text": F.when(changed, F.col("kept")).otherwise(F.col("text")),
+             **{c: F.col(n) for c, n in others.items()}}
+    if "n_chars" in others:
+        shown["n_chars"] = F.when(changed, F.length("kept").cast("long")).otherwise(
+            F.col(others["n_chars"]))
+    return found.select(*[shown[c].alias(c) for c in docs.columns])

@@ -6,7 +6,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from feedloom.llm import chunks, components, lattice, simhash
+from feedloom.llm import components, lattice, simhash
+from feedloom.llm import repeats as repeats_module
 from feedloom.llm.repeats import repeats, without_repeats
 from llm import odd
 
@@ -20,7 +21,7 @@ def test_repeated_words_equal_those_of_brute_force(spark):
 
 
 def test_repeats_within_and_across_chunks(spark, monkeypatch):
-    monkeypatch.setattr(chunks, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(repeats_module, "CHUNK_BYTES", 2000)
     docs = odd.documents(spark).repartition(3)
     got = odd.as_counter(repeats(docs), "doc_id", "n_words", "n_removed", "kept")
     assert got == Counter(odd.repeats([row[:2] for row in odd.odd_rows()]))
