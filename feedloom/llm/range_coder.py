@@ -8,7 +8,7 @@ Model. Within a block ids are numbered by first appearance, so frequent ids get
 predictions compete for the next id: the one that last followed the two ids before it (order 2)
 and the one that last followed the id before it (order 1), each with a confidence. What is coded
 is an event: the order-2 prediction holds, the order-1 prediction holds, the id is new, or its
-number has so many bits (order 0). Event probabilities mix two adaptive counts: those met under
+number is of a class of size (order 0). Event probabilities mix two adaptive counts: those met under
 the same two confidences, and those of order 0; a context weighs the more, the more it has seen.
 The bits of a number, or of a new id, follow as they are.
 """
@@ -19,93 +19,121 @@ import zlib
 
 import numpy as np
 
-#: Ids in a block.
-BLOCK = 4096
-#: Events: order-2 hit, order-1 hit, new id, number by bit length (1 to 13).
+#: Ids in a block, at most and at least. A short sequence has shorter blocks, as a step costs about
+#: as much for one block as for some hundred.
+BLOCK, LEAST_BLOCK, ABREAST = 4096, 256, 1024
+#: Events: order-2 hit, order-1 hit, new id, number of a class; a class is so many bits wide.
 ORDER2, ORDER1, NEW, NUMBERS = 0, 1, 2, 3
-EVENTS = NUMBERS + BLOCK.bit_length()
+CLASS_BITS = (3, 6, 9, 11, BLOCK.bit_length())
+EVENTS = NUMBERS + len(CLASS_BITS)
 #: Total of coded frequencies, as bits; with the bits that follow, a step takes 32 at most.
 SCALE = 16
 CONFIDENCE = 4
 STATES = (CONFIDENCE + 1) ** 2
-#: Events that the order-0 counts stand for in the mixture.
-PRIOR = 2.0
+#: Events that the order-0 counts stand for in the mixture, in units of a context's event.
+PRIOR, UNIT = 32.0, 16.0
 MAGIC = b"CMRC2\x00\x00\x00"
 _U = np.uint64
+_ADDED_UP = np.triu(np.ones((EVENTS, EVENTS), dtype=np.float32))
+_STEPS = np.arange(1, EVENTS + 1, dtype=np.float32)
+_WIDTH = np.array([0, 0, 0, *CLASS_BITS], dtype=np.int64)
+_CLASS = NUMBERS + np.searchsorted([1 << bits for bits in CLASS_BITS], np.arange(BLOCK + 1),
+                                   side="right")
 _MASK, _WORD = _U(0xFFFFFFFF), _U(32)
 
 
 class Model:
-    """Adaptive state of a number of blocks. A prediction is held as number and confidence."""
+    """Adaptive state of a number of blocks.
+
+    A prediction is held as a number and, in its last three bits, a confidence; those of order 2
+    lie in front of those of order 1.
+    """
 
     def __init__(self, blocks: int, size: int):
-        self.width = size + 1
-        self.after2 = np.zeros(blocks * BLOCK, dtype=np.int32)
-        self.after1 = np.zeros(blocks * self.width, dtype=np.int32)
-        self.counts = np.zeros((blocks * STATES, EVENTS))
-        self.counts0 = np.full((blocks, EVENTS), 0.1)
+        self.width, self.offset = size + 1, blocks * BLOCK
+        self.after = np.zeros(blocks * (BLOCK + self.width), dtype=np.int32)
+        self.counts = np.zeros((blocks * STATES, EVENTS), dtype=np.float32)
+        self.counts0 = np.full((blocks, EVENTS), 0.125, dtype=np.float32)
+        self.flat = self.counts.reshape(-1)
         # Numbers start at 1; 0 stands before the first id.
         self.last = np.zeros(blocks, dtype=np.int64)
         self.before = np.zeros(blocks, dtype=np.int64)
         self.seen = np.zeros(blocks, dtype=np.int64)
         self.steps = 0
-        self._rows(blocks)
-
-    def _rows(self, blocks: int) -> None:
-        rows = np.arange(blocks)
-        self.row_block, self.row_width = rows * BLOCK, rows * self.width
-        self.row_state, self.row_event = rows * STATES, rows * EVENTS
-        self.row_upto = rows * (EVENTS + 1)
+        self.shorten(blocks)
 
     def shorten(self, blocks: int) -> None:
         """Go on with the first ``blocks`` blocks; the others have ended."""
         for name in ("counts0", "last", "before", "seen"):
             setattr(self, name, getattr(self, name)[:blocks])
-        self._rows(blocks)
+        self.flat0 = self.counts0.reshape(-1)
+        rows = np.arange(blocks)
+        self.row_slot = np.stack([rows * BLOCK, rows * self.width + self.offset])
+        self.row_state, self.row_event = rows * STATES, rows * EVENTS
+        self.at = np.empty((2, blocks), dtype=np.int64)
 
     def predict(self) -> np.ndarray:
-        """Cumulated frequencies of the events, one row per block."""
-        slot = (self.before * 40503 + self.last * 60493 >> 3) & (BLOCK - 1)
-        self.slot2 = slot + self.row_block
-        self.slot1 = self.last + self.row_width
-        self.held2, self.held1 = self.after2.take(self.slot2), self.after1.take(self.slot1)
-        self.sure2, self.sure1 = self.held2 & 7, self.held1 & 7
-        self.guess2, self.guess1 = self.held2 >> 3, self.held1 >> 3
-        self.context = self.row_state + (self.sure2 * (CONFIDENCE + 1) + self.sure1)
-        mixed = self.counts0 * (PRIOR / (self.steps + 0.1 * EVENTS))
+        """Added-up weights of the events, one row per block."""
+        at = self.at
+        np.bitwise_and(self.before * 40503 + self.last * 60493 >> 3, BLOCK - 1, out=at[0])
+        at[1] = self.last
+        at += self.row_slot
+        self.held = self.after.take(at)
+        self.sure, self.guess = self.held & 7, self.held >> 3
+        self.context = self.sure[0] * (CONFIDENCE + 1) + self.sure[1] + self.row_state
+        # Whole numbers, so that adding them up in any order gives the same, on any machine.
+        mixed = np.floor(self.counts0 * np.float32(PRIOR / (self.steps + 0.125 * EVENTS)))
         mixed += self.counts.take(self.context, axis=0)
-        upper = np.cumsum(mixed, axis=1)
-        upper *= ((1 << SCALE) - EVENTS) / upper[:, -1:]
-        out = np.zeros((len(slot), EVENTS + 1), dtype=np.int64)
-        out[:, 1:] = upper
-        out += np.arange(EVENTS + 1)
-        out[:, -1] = 1 << SCALE
-        return out
+        upper = mixed @ _ADDED_UP
+        upper += _STEPS
+        return upper
 
     def event_of(self, number: np.ndarray) -> np.ndarray:
         """Event for known next numbers."""
-        event = np.frexp(number.astype(np.float64))[1] + (NUMBERS - 1)
+        event = _CLASS.take(number)
         event[number > self.seen] = NEW
-        event[self.guess1 == number] = ORDER1
-        event[self.guess2 == number] = ORDER2
+        right = self.guess == number
+        event[right[1]] = ORDER1
+        event[right[0]] = ORDER2
         return event
 
     def update(self, event: np.ndarray, number: np.ndarray) -> None:
-        self.counts.reshape(-1)[self.context * EVENTS + event] += 1.0
-        self.counts0.reshape(-1)[self.row_event + event] += 1.0
+        self.flat[self.context * EVENTS + event] += np.float32(UNIT)
+        self.flat0[self.row_event + event] += np.float32(1)
         self.steps += 1
         self.seen += event == NEW
+        # A right guess grows sure, a wrong one loses, and is replaced at the bottom.
+        right = self.guess == number
+        kept = self.held + np.where(right, self.sure < CONFIDENCE, -1)
         fresh = (number << 3 | 1).astype(np.int32)
-        for after, at, held, guess, sure in (
-                (self.after2, self.slot2, self.held2, self.guess2, self.sure2),
-                (self.after1, self.slot1, self.held1, self.guess1, self.sure1)):
-            # A right guess grows sure, a wrong one loses, and is replaced at the bottom.
-            right = guess == number
-            kept = held + np.where(right, sure < CONFIDENCE, -1)
-            after[at] = np.where(right | (sure > 1), kept, fresh)
+        self.after[self.at] = np.where(right | (self.sure > 1), kept, fresh)
         self.before, self.last = self.last, number
 
 
+def _scale(upper: np.ndarray) -> np.ndarray:
+    """Factor that brings added-up weights to the total of the coder, less one per event."""
+    return np.float32((1 << SCALE) - EVENTS - 1) / upper[:, -1]
+
+
+def interval(upper: np.ndarray, event: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cumulated frequencies in front of and behind an event."""
+    scale, flat = _scale(upper), upper.reshape(-1)
+    at = np.arange(len(event)) * EVENTS + event
+    end = (flat.take(at) * scale).astype(np.int64) + event + 1
+    start = (flat.take(at - 1, mode="wrap") * scale).astype(np.int64) + event
+    end[event == EVENTS - 1] = 1 << SCALE
+    start[event == 0] = 0
+    return start, end
+
+
+def event_at(upper: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Event whose interval holds a cumulated frequency."""
+    edges = (upper * _scale(upper)[:, None]).astype(np.int32)
+    edges += np.arange(1, EVENTS + 1, dtype=np.int32)
+    edges[:, -1] = 1 << SCALE
+    return (edges > target[:, None]).argmax(axis=1)
+
+
 def _numbers(ids: np.ndarray) -> np.ndarray:
     """Numbers from 1 by first appearance."""
     values, first, back = np.unique(ids, return_index=True, return_inverse=True)
@@ -144,7 +172,8 @@ class Coder:
 def encode(ids: np.ndarray, id_bits: int = 16) -> bytes:
     """Bytes of a sequence of ids of at most ``id_bits`` bits (16 or 32), in independent blocks."""
     ids = np.ascontiguousarray(ids, dtype="<u4")
-    cut = [ids[i:i + BLOCK] for i in range(0, len(ids), BLOCK)]
+    block = min(BLOCK, max(LEAST_BLOCK, len(ids) // ABREAST))
+    cut = [ids[i:i + block] for i in range(0, len(ids), block)]
     lengths = [len(one) for one in cut]
     blocks, size = len(cut), max(lengths, default=0)
     numbers = np.ones((size, blocks), dtype=np.uint16)
@@ -177,13 +206,12 @@ def encode(ids: np.ndarray, id_bits: int = 16) -> bytes:
             words = np.concatenate([words, np.zeros_like(words)], axis=1)
         number = numbers[step, :active].astype(np.int64)
         plain = whole[step, :active].astype(np.uint64)
-        upto = model.predict().reshape(-1)
+        upper = model.predict()
         event = model.event_of(number)
-        at = model.row_upto + event
-        coder.narrow(upto.take(at), upto.take(at + 1), coder.range >> _U(SCALE))
+        coder.narrow(*interval(upper, event), coder.range >> _U(SCALE))
         new = event == NEW
-        width = np.maximum(event - NUMBERS, 0)
-        value = number & ((1 << width) - 1)
+        width = _WIDTH.take(event)
+        value = np.where(width > 0, number, 0)
         if id_bits == 16:
             width[new] = 16
             value[new] = plain[new]
@@ -252,24 +280,21 @@ def decode(data) -> np.ndarray:
             model.shorten(active)
             coder.shorten(active)
             code, read = code[:active], read[:active]
-        upto = model.predict()
+        upper = model.predict()
         unit = coder.range >> _U(SCALE)
-        target = ((code - coder.low) // np.maximum(unit, _U(1))).astype(np.int64)
+        target = ((code - coder.low) // np.maximum(unit, _U(1))).astype(np.int32)
         np.clip(target, 0, (1 << SCALE) - 1, out=target)
-        event = (upto[:, 1:] > target[:, None]).argmax(axis=1)
-        at = model.row_upto + event
-        upto = upto.reshape(-1)
-        coder.narrow(upto.take(at), upto.take(at + 1), unit)
+        event = event_at(upper, target)
+        coder.narrow(*interval(upper, event), unit)
         new = event == NEW
-        length = np.maximum(event - NUMBERS, 0)
-        number = 1 << length
+        length = _WIDTH.take(event)
         if id_bits == 16:
             length[new] = 16
         value = bits(length.astype(np.uint64))
         take(*coder.shift())
-        number = np.minimum(number | value.astype(np.int64), size)
-        np.copyto(number, model.guess1, where=event == ORDER1)
-        np.copyto(number, model.guess2, where=event == ORDER2)
+        number = np.minimum(value.astype(np.int64), size)
+        np.copyto(number, model.guess[1], where=event == ORDER1)
+        np.copyto(number, model.guess[0], where=event == ORDER2)
         np.copyto(number, model.seen + 1, where=new)
         if id_bits != 16:
             value = bits(np.where(new, _U(16), _U(0)))

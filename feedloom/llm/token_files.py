@@ -55,7 +55,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int)
         for batch in batches:
             for start in range(0, len(batch), BATCH):
                 few = batch.slice(start, BATCH)
-                texts = [text or "" for text in few.column(1).to_pylist()]
+                texts = [text.as_buffer().to_pybytes() if text.is_valid else b""
+                         for text in few.column(1)]
                 for name, found in zip(few.column(0).to_pylist(),
                                        wordpieces.byte_level_ids(vocabulary, texts)):
                     if names and held + len(found) + 1 > SEGMENT:

@@ -66,43 +66,74 @@ def length_cache(name: str) -> UnitCache:
     return UnitCache(encode)
 
 
-@lru_cache(maxsize=4)
-def id_cache(name: str) -> UnitCache:
-    def encode(units: list[str]) -> list[bytes]:
-        found = tokenizer(name).encode_batch(units, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
+# A byte-level pattern starts a token at a blank between two characters that are no white space,
+# and no other token holds such a blank, so a text whose blanks all stand so may be cut there.
+BLANKS_IN_A_ROW = (b"  ", b" \n", b"\n ")
+# White space other than blanks and line ends.
+RARE_ASCII = b"\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+RARE_STARTS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f",
+               b"\xe3\x80\x80")
+RARE_WIDE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]"
+                       rb"|\xe2\x81\x9f|\xe3\x80\x80")
 
-    return UnitCache(encode)
 
+def plain_blanks(data: bytes) -> bool:
+    """Whether every blank of the text surely stands between two characters that are none."""
+    return not (data.startswith(b" ") or data.endswith(b" ")
+                or any(two in data for two in BLANKS_IN_A_ROW)
+                or len(data.translate(None, RARE_ASCII)) < len(data)
+                or any(start in data for start in RARE_STARTS) and RARE_WIDE.search(data))
+
+
+class IdCache(dict):
+    """Ids, as bytes, of the units ``" " + key`` of a byte-level vocabulary file."""
+
+    def __init__(self, name: str):
+        super().__init__()
+        self.tool = tokenizer(name)
+        # Within a unit no token starts with a blank.
+        self.starts = np.array([self.tool.id_to_token(i)[:1] == "\u0120"
+                                for i in range(self.tool.get_vocab_size())])
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encode what is missing as running text, and cut the ids where a unit starts."""
+        new = [word for word in set(words) if word not in self]
+        if len(self) + len(new) > CACHED_UNITS:
+            self.clear()
+            new = list(set(words))
+        for call in calls(new):
+            text = b" " + b" ".join(call)
+            ids = self.encode(text.decode("utf-8"))
+            at = np.flatnonzero(self.starts[ids]).tolist()
+            raw = ids.tobytes()
+            self.update(zip(call, [raw[4 * i:4 * j] for i, j in zip(at, [*at[1:], len(ids)])]))
 
-# A byte-level pattern starts a token at a blank between two non-blanks, so texts may be cut there.
-TWO_BLANKS = re.compile(r"\s\s")
-BLANK_AHEAD = re.compile(r"(?<=\S)(?= \S)")
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tool.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
-def blank_units(text: str) -> list[str]:
-    """The text cut before each single blank that stands between two other characters."""
-    if not text:
-        return []
-    if TWO_BLANKS.search(text) or text[0] == " " or text[-1] == " ":
-        return BLANK_AHEAD.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + word for word in rest]]
+@lru_cache(maxsize=4)
+def id_cache(name: str) -> IdCache:
+    return IdCache(name)
 
 
-def byte_level_ids(name: str, texts: list[str]) -> list[np.ndarray]:
+def byte_level_ids(name: str, texts: list[bytes]) -> list[np.ndarray]:
     """Ids of whole texts, equal to the library's for a byte-level vocabulary file."""
-    cache, cut = id_cache(name), [blank_units(text) for text in texts]
-    out, missing = [], object()
-    new = {unit for units in cut for unit in units if unit not in cache}
-    if new and len(cache) + len(new) > CACHED_UNITS:
-        new = {unit for units in cut for unit in units}
-        cache.clear()
-    if new:
-        cache.learn(new)
-    del missing
-    for units in cut:
-        out.append(np.frombuffer(b"".join(map(cache.__getitem__, units)), dtype="<u4"))
+    cache = id_cache(name)
+    out = []
+    for data in texts:
+        if not plain_blanks(data):
+            out.append(cache.encode(data.decode("utf-8")))
+            continue
+        first, *words = data.split(b" ")
+        try:
+            found = b"".join(map(cache.__getitem__, words))
+        except KeyError:
+            cache.learn(words)
+            found = b"".join(map(cache.__getitem__, words))
+        # Nothing stands in front of the first unit, so the cache does not hold it.
+        out.append(np.concatenate([cache.encode(first.decode("utf-8")),
+                                   np.frombuffer(found, dtype="<u4")]))
     return out
 
 
