@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.operators.joins import lookup_join
+from feedloom.operators.joins import lookup_join, small_side
 from feedloom.session import materialise
 
 #: Words in a test window.
@@ -148,4 +148,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     hit = contamination(docs, items).where("n_hit > 0").select("key").distinct()
     hit = materialise(hit.withColumnRenamed("key", "hit_key"), "hit-keys")
     key = F.xxhash64(F.col("doc_id"), F.col("text").cast("string"))
-    return docs.join(hit, key == F.col("hit_key"), "left_anti")
+    return docs.join(small_side(hit), key == F.col("hit_key"), "left_anti")

@@ -12,7 +12,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.chunks import releasing
 from feedloom.llm.components import connected_components, forest
+from feedloom.operators.joins import small_side
 from feedloom.session import materialise
 
 #: Words in a shingle, seed of its hash, and bits two linked fingerprints may differ in.
@@ -64,7 +66,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fp long")
+        releasing(run), "doc_id long, fp long")
 
 
 def vantage(keys: np.ndarray) -> tuple[int, int] | None:
@@ -217,7 +219,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     groups = materialise(simhash_groups(docs), "groups")
     first = materialise(groups.where("doc_id = component_id").groupBy("doc_id")
                         .agg(F.count("*").alias("times")), "first")
-    kept = docs.join(first.select("doc_id"), "doc_id", "left_semi")
+    # Ids that fit a checked size go to the documents; more of them meet in a shuffle.
+    kept = docs.join(small_side(first.select("doc_id")), "doc_id", "left_semi")
     if not first.where("times > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
     unnamed = docs.where("doc_id is null")
