@@ -11,13 +11,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.joins import lookup_join
+from feedloom.llm.chunks import releasing
+from feedloom.operators.joins import lookup_join, small_side
 from feedloom.session import materialise
 
 #: Labelled rows that the text model learns from, about; they are chosen by a hash.
 TRAINING_ROWS = 4000
 #: Buckets of byte trigrams, and what is added to each count.
 BUCKETS, ADDED = 1 << 14, 0.1
+#: Share of trigrams in any text that belong to no language: codes, addresses, names.
+NOISE = 0.2
 #: Trigrams overlap, so each counts as this share of an independent observation.
 TEMPER = 0.4
 #: Rows that a level of the host hierarchy counts as, towards the level below it.
@@ -90,7 +93,8 @@ def train(labelled: DataFrame) -> TextModel:
         mine = counted[counted["lang"] == lang]
         table[mine["bucket"].to_numpy(), at] += mine["n"].to_numpy()
     table[:, -1] = 1.0
-    return TextModel([*langs, UNKNOWN], np.log(table / table.sum(axis=0)))
+    shares = table / table.sum(axis=0) * (1 - NOISE) + NOISE / BUCKETS
+    return TextModel([*langs, UNKNOWN], np.log(shares))
 
 
 def normalised(weights: Column) -> Column:
@@ -145,7 +149,7 @@ def identify(rows: DataFrame, model: TextModel, id_col: str) -> DataFrame:
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("suffix", "domain", "host")],
         F.col("text").cast("string").alias("text"))
     kind = source.schema[id_col].dataType.simpleString()
-    seen = source.mapInArrow(read, f"`{id_col}` {kind}, declared string, suffix string, "
+    seen = source.mapInArrow(releasing(read), f"`{id_col}` {kind}, declared string, suffix string, "
                                    "domain string, host string, seen array<double>")
     best = F.array_max("seen")
     text_share = normalised(F.transform("seen", lambda v: F.exp(v - best)))
@@ -236,4 +240,4 @@ def keep_identified(docs: DataFrame, labelled: DataFrame, least: float = 0.5) ->
     # A row whose twin from another source is rejected goes with it.
     bad = materialise(found.where((F.col("lang") == UNKNOWN) | (F.col("probability") < least))
                       .select(F.col("key").alias("bad_key")).distinct(), "rejected")
-    return docs.join(bad, key == F.col("bad_key"), "left_anti")
+    return docs.join(small_side(bad), key == F.col("bad_key"), "left_anti")
