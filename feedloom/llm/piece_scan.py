@@ -23,7 +23,7 @@ import sentencepiece
 
 BLANK = "▁"
 #: Pairs of pieces whose fit is remembered.
-KNOWN_PAIRS = 1 << 20
+KNOWN_PAIRS = 1 << 18
 NEVER = -np.inf
 
 

@@ -7,15 +7,36 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm import piece_scan
+from feedloom.llm.chunks import releasing
 from feedloom.session import materialise
 
 #: Characters from which a text is cut into chunks, and of a chunk.
 GIANT, CHUNK = 1 << 16, 1 << 14
+#: Bytes of text, or ids, that a call of the library gets; its lists take some forty times as much.
+CALL = 1 << 20
+
+
+def _few(batch: pa.RecordBatch, sizes: pa.Array) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``CALL`` together, or of one larger row."""
+    start, held = 0, 0
+    for at, size in enumerate(sizes.to_pylist()):
+        if at > start and held + (size or 0) > CALL:
+            yield batch.slice(start, at - start)
+            start, held = at, 0
+        held += size or 0
+    yield batch.slice(start)
+
+
+def _lists(found: list[list[int]]) -> pa.Array:
+    offsets = np.cumsum([0, *[len(one) for one in found]]).astype(np.int32)
+    values = np.fromiter((i for one in found for i in one), dtype=np.int32, count=offsets[-1])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
 def _cuts(length: int, longest: int, chunk: int) -> list[int]:
@@ -44,13 +65,14 @@ def encode_pieces(docs: DataFrame, model: str, giant: int = GIANT, chunk: int =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = piece_scan.processor(model)
         for batch in batches:
-            found = tool.encode(batch.column("text").to_pylist(), num_threads=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.list_(pa.int32())),
-                 batch.column("text_key")], names=["doc_id", "ids", "text_key"])
+            for few in _few(batch, pc.binary_length(batch.column("text"))):
+                found = tool.encode(few.column("text").to_pylist(), num_threads=1)
+                yield pa.RecordBatch.from_arrays(
+                    [few.column("doc_id"), _lists(found), few.column("text_key")],
+                    names=["doc_id", "ids", "text_key"])
 
     out = "doc_id long, ids array<int>, text_key long"
-    return usual.mapInArrow(encode, out).unionByName(
+    return usual.mapInArrow(releasing(encode), out).unionByName(
         _encode_giants(rows.where(F.length("text") > giant), model, chunk))
 
 
@@ -70,9 +92,11 @@ def _encode_giants(rows: DataFrame, model: str, chunk: int) -> DataFrame:
                     start = stop
                 number += 1
 
+    # Few rows but long work: as many tasks as a shuffle has, whatever their bytes.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = materialise(rows.mapInPandas(
         cut, "doc_id long, text_key long, row long, k int, start int, stop int, "
-             "piece_text string").repartition(F.xxhash64("row", "k")), "chunks")
+             "piece_text string").repartition(tasks, "row", "k"), "chunks")
 
     def matrix(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = piece_scan.pieces_of(model)
@@ -122,12 +146,13 @@ def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
         tool = piece_scan.processor(model)
         for batch in batches:
             at = batch.schema.get_field_index("ids")
-            texts = tool.decode([ids or [] for ids in batch.column(at).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, "text"])
+            for few in _few(batch, pc.list_value_length(batch.column(at))):
+                texts = tool.decode([ids or [] for ids in few.column(at).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*few.columns, pa.array(texts, pa.string())],
+                                                 names=[*few.schema.names, "text"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(decode, f"{schema}, text string")
+    return encoded.mapInArrow(releasing(decode), f"{schema}, text string")
 
 
 def piece_digests(docs: DataFrame, model: str) -> DataFrame:
@@ -149,6 +174,6 @@ def piece_digests(docs: DataFrame, model: str) -> DataFrame:
 
     restored = decode_pieces(encode_pieces(docs, model), model)
     return restored.mapInArrow(
-        digest, "doc_id long, n_tokens long, ids_crc32 long, text_key long, text string").select(
+        releasing(digest), "doc_id long, n_tokens long, ids_crc32 long, text_key long, text string").select(
         "doc_id", "n_tokens", "ids_crc32", (F.xxhash64("text") == F.col("text_key"))
         .alias("restored"))
