@@ -31,17 +31,17 @@ HASHES = 1 << 16
 HELD = 1 << 20
 
 
-def shingle_hashes(text: bytes) -> np.ndarray:
-    """XXH64 of each shingle of a text, repeats included; A-Z in lower case."""
+def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
+    """XXH64 of each shingle of ``size`` words, repeats included; A-Z in lower case."""
     words = text.lower().split()
     joined = b" ".join(words)
-    if len(words) <= SHINGLE:
+    if len(words) <= size:
         return np.array([xxhash.xxh64_intdigest(joined, SEED)] if words else [], dtype=np.uint64)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
-    starts = [0, *(ends[:-SHINGLE] + 1).tolist()]
+    starts = [0, *(ends[:-size] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
     return np.array([digest(joined[i:j], SEED)
-                     for i, j in zip(starts, ends[SHINGLE - 1:].tolist())], dtype=np.uint64)
+                     for i, j in zip(starts, ends[size - 1:].tolist())], dtype=np.uint64)
 
 
 def fingerprint(text: bytes) -> int:

@@ -4,9 +4,10 @@ import math
 import random
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import pytest
-from feedloom.llm import components, lattice, simhash
+from feedloom.llm import components, lattice, near_copies, simhash
 from feedloom.llm import repeats as repeats_module
 from feedloom.llm.repeats import repeats, without_repeats
 from llm import odd
@@ -107,6 +108,42 @@ def test_fingerprints_of_no_documents(spark):
     assert simhash.simhash_groups(odd.documents(spark, [])).collect() == []
 
 
+def _jaccard_groups(rows, size=5, similarity=0.8):
+    sets = {}
+    for n, (_, text) in enumerate(rows):
+        found = odd.lower(text).split()
+        sets[n] = {tuple(found[at:at + size]) for at in range(max(1, len(found) - size + 1))}
+    links = [(a, b) for a in sets for b in sets if a < b
+             and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
+    return odd.components(list(sets), links), links
+
+
+def _copies():
+    """Texts and copies of them with some words replaced, so that their similarity varies."""
+    pick, rows = random.Random(11), []
+    for seed in range(30):
+        text = odd.prose(100 + seed, 200).split()
+        rows.append((len(rows), " ".join(text)))
+        for changes in (1, 2, 3, 4, 5, 9):
+            copy = list(text)
+            for at in pick.sample(range(len(copy)), changes):
+                copy[at] = f"w{pick.random()}"
+            rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+def test_stage_groups_texts_by_the_jaccard_similarity_of_five_words(spark):
+    rows = _copies()
+    group, links = _jaccard_groups(rows)
+    prints = [odd.simhash(text) for _, text in rows]
+    assert any((prints[a] ^ prints[b]).bit_count() > 4 for a, b in links)
+    docs = odd.documents(spark, [(i, t, "en", "s", 0) for i, t in rows])
+    kept = corpus_pipeline.near_duplicates(spark, docs, None)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(
+        i for i, _ in rows if group[i] == i)
+
+
 def test_components_of_long_chains_and_repeated_links(spark):
     links = [(i, i + 1) for i in range(0, 300)] + [(400, 400), (500, 501), (501, 500), (0, 1)]
     frame = spark.createDataFrame(links + [(None, 3)], "a long, b long")
