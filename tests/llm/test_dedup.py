@@ -144,6 +144,18 @@ def test_stage_groups_texts_by_the_jaccard_similarity_of_five_words(spark):
         i for i, _ in rows if group[i] == i)
 
 
+def test_one_row_of_each_group_stays_where_ids_repeat_or_are_missing(spark):
+    a, b, c, d = (odd.prose(300 + n, 60) for n in range(4))
+    rows = [(1, a), (1, b), (2, c), (2, a), (None, b), (None, d), (None, d), (None, f"{d} tail"),
+            (None, None), (3, c), (2, c), (None, "")]
+    docs = odd.documents(spark, [(i, t, "en", f"s{n}", 0) for n, (i, t) in enumerate(rows)])
+    kept = [(r.doc_id, r.text) for r in near_copies.keep_one(docs).collect()]
+    assert {(1, a), (1, b), (2, c)} < set(kept)
+    assert sum(i is None and t in (d, f"{d} tail") for i, t in kept) == 1
+    assert sum(not t for _, t in kept) == 1
+    assert len(kept) == 5
+
+
 def test_components_of_long_chains_and_repeated_links(spark):
     links = [(i, i + 1) for i in range(0, 300)] + [(400, 400), (500, 501), (501, 500), (0, 1)]
     frame = spark.createDataFrame(links + [(None, 3)], "a long, b long")
