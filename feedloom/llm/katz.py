@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -73,6 +73,36 @@ class Discounts:
         return np.where(counts > K, counts, counts * factors)
 
 
+@dataclass(frozen=True)
+class Level:
+    """How the n-grams of an order from 2 on are dealt out and, once counted, numbered."""
+
+    #: Keys at which the buckets of n-grams begin, numbers at which those of histories do.
+    edges: np.ndarray
+    history_edges: np.ndarray
+    discounts: Discounts | None = None
+    #: Numbers of n-grams in the buckets before each; None for the last order.
+    offsets: np.ndarray | None = None
+
+    @classmethod
+    def of(cls, histories: int, words: int, hot: list[tuple[int, int]], buckets: int) -> Level:
+        """For histories numbered up to ``histories``; those of a hot one are cut up further."""
+        edges = {(i * (histories + 1) // buckets) << 32 for i in range(buckets)}
+        for number, count in hot:
+            pieces = count // HOT + 1 if count > HOT else 1
+            edges |= {(number << 32) + i * (words + 1) // pieces for i in range(pieces)} \
+                if pieces > 1 else set()
+        return cls(np.array(sorted(edges), dtype=np.uint64),
+                   np.array([i * (histories + 1) // buckets for i in range(buckets)],
+                            dtype=np.uint64))
+
+    def parts(self, keys: np.ndarray) -> list[tuple[int, int, int]]:
+        return _parts(np.append(np.searchsorted(keys, self.edges), len(keys)))
+
+    def history_parts(self, keys: np.ndarray) -> list[tuple[int, int, int]]:
+        return _parts(np.append(np.searchsorted(keys, self.history_edges), len(keys)))
+
+
 def held_out(doc_id) -> bool:
     """Rows whose id, as text, has a checksum divisible by ten; a row without an id is not."""
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 10 == 0
@@ -164,15 +194,32 @@ def _statistics(table: DataFrame) -> tuple[int, int, list[int]]:
     return row["tokens"] or 0, row["distinct"] or 0, [row[f"n{r}"] or 0 for r in range(K + 1)]
 
 
-def katz_scores(docs: DataFrame) -> DataFrame:
-    """Score each text of ``docs`` (doc_id, text) with a bigram model of those not held out.
+def _numbered(model: DataFrame, buckets: int) -> tuple[np.ndarray, list[tuple[int, int]], int]:
+    """Numbers before each bucket, hot n-grams with their counts, and the last number.
+
+    n-grams are numbered through all buckets; the driver holds a count per bucket.
+    """
+    offsets = np.zeros(buckets, dtype=np.int64)
+    ahead, hot_grams = 0, []
+    for bucket, distinct, hot, hot_counts in sorted(
+            (row["bucket"], row["distinct_keys"], row["hot"], row["hot_counts"])
+            for row in model.select("bucket", "distinct_keys", "hot", "hot_counts").collect()):
+        offsets[bucket] = ahead
+        hot_grams += [(number + ahead, count) for number, count in zip(hot, hot_counts)]
+        ahead += distinct
+    return offsets, hot_grams, ahead
+
+
+def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
+    """Score each text of ``docs`` (doc_id, text) with a model of n-grams of up to ``order`` words
+    (2 at least), counted in the texts not held out.
 
     Gives per row ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``: the
     tokens are the words in lower case and one end, ``base_score`` is log10 of an add-``ADDED``
     unigram model, ``score`` log10 of the Katz model, in which a text's first word follows its
-    beginning. A null or empty text is one end. A row without an id belongs to training; repeated
-    rows count each; further columns are left out; no rows give no rows. Words are told apart by
-    64-bit hashes.
+    beginning; no history reaches before that. A null or empty text is one end. A row without an
+    id belongs to training; repeated rows count each; further columns are left out; no rows give no
+    rows. Words are told apart by 64-bit hashes.
     """
     chunks = C.chunk_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                        F.col("text").cast("string").alias("text")))
@@ -215,16 +262,7 @@ def katz_scores(docs: DataFrame) -> DataFrame:
     model1 = words.where("chunk is null")
     tokens, vocabulary, spectrum = _statistics(model1)
     discounts1 = Discounts.of(spectrum)
-    # Words are numbered through all buckets; the driver holds a count per bucket.
-    offsets = np.zeros(buckets, dtype=np.int64)
-    per_bucket = sorted((row["bucket"], row["distinct_keys"], row["hot"], row["hot_counts"])
-                        for row in model1.select("bucket", "distinct_keys", "hot", "hot_counts")
-                        .collect())
-    ahead, hot_words = 0, []
-    for bucket, distinct, hot, hot_counts in per_bucket:
-        offsets[bucket] = ahead
-        hot_words += [(number + ahead, count) for number, count in zip(hot, hot_counts)]
-        ahead += distinct
+    offsets, hot_words, _ = _numbered(model1, buckets)
     begin = vocabulary + 1
     kept = tokens - sum((1 - f) * r * n for r, (f, n) in enumerate(
         zip(discounts1.factors[1:], spectrum), 1))
@@ -234,186 +272,222 @@ def katz_scores(docs: DataFrame) -> DataFrame:
         """Unigram probabilities of words by their counts."""
         return np.where(counts > 0, discounts1.discounted(counts) / (tokens + SPARED), unknown)
 
-    # Bigrams go to ranges of the history's number; those of a hot one are cut up further.
     texts = docs.select("doc_id").where(
         "doc_id is null or crc32(cast(doc_id as string)) % 10 <> 0").count()
-    edges = {(i * (begin + 1) // buckets) << 32 for i in range(buckets)}
-    for number, count in [*hot_words, (begin, texts)]:
-        pieces = count // HOT + 1 if count > HOT else 1
-        edges |= {(number << 32) + i * (begin + 1) // pieces for i in range(pieces)} \
-            if pieces > 1 else set()
-    edges = np.array(sorted(edges), dtype=np.uint64)
-
-    def pair_edges(keys: np.ndarray) -> np.ndarray:
-        return np.append(np.searchsorted(keys, edges), len(keys))
 
-    class Numbered(Opened):
-        """A chunk whose words have their counts and numbers."""
+    class Grams:
+        """The n-grams of one order that end at each token of a chunk."""
 
-        def __init__(self, row: dict):
+        def __init__(self, first: np.ndarray, after: np.ndarray, last: np.ndarray):
+            #: Number of the history, 0 where there is none, and its count in training.
+            self.first, self.after = first, after
+            # n-grams with a word or history that training lacks are in no model.
+            self.in_model = (last > 0) & (first > 0)
+            key = (first.astype(np.uint64) << U32) | last.astype(np.uint64)
+            self.keys, at, self.key_of = np.unique(
+                key[self.in_model], return_index=True, return_inverse=True)
+            self.at = np.flatnonzero(self.in_model)[at]
+
+        def answered(self, level: Level, answers) -> None:
+            parts = level.parts(self.keys)
+            counts = _gathered(answers, parts, lambda one: C.unsqueeze(
+                one["counts"]).astype(np.int64), np.int64)
+            self.counts = np.zeros(len(self.first), dtype=np.int64)
+            self.counts[self.in_model] = counts[self.key_of]
+            self.unseen = self.counts == 0
+            # Only histories of n-grams that training lacks are ever backed off from. A word that
+            # training lacks follows any history.
+            self.back_off = self.unseen & (self.first > 0)
+            self.histories = np.unique(self.first[self.back_off]).astype(np.uint64)
+            if level.offsets is not None:
+                found = {one["bucket"]: one["numbers"] for one in answers or []}
+                numbers = np.zeros(len(self.keys), dtype=np.int64)
+                numbers[counts > 0] = np.concatenate([np.empty(0, np.int64), *[
+                    C.unsqueeze_sorted(found[i]).astype(np.int64) + level.offsets[i]
+                    for i, _, _ in parts]])
+                self.numbers = np.zeros(len(self.first), dtype=np.int64)
+                self.numbers[self.in_model] = numbers[self.key_of]
+
+    class Counted(Opened):
+        """A chunk whose words, and n-grams of the orders that are counted, have their counts."""
+
+        def __init__(self, row: dict, levels: list[Level]):
             super().__init__(row["rows"])
             parts = _parts(C.bucket_edges(self.words, buckets))
             self.counts = _gathered(row["words"], parts, lambda one: C.unsqueeze(
                 one["counts"]).astype(np.int64), np.int64)
             numbers = [C.unsqueeze(one["numbers"]).astype(np.int64) for one in
                        sorted(row["words"] or [], key=lambda one: one["bucket"])]
-            self.numbers = np.concatenate([np.empty(0, np.int64), *[
+            numbers = np.concatenate([np.empty(0, np.int64), *[
                 np.where(n > 0, n + offsets[i], 0) for (i, _, _), n in zip(parts, numbers)]])
-            last = self.numbers[self.word_of]
-            first = np.concatenate([[0], last[:-1]]) if len(last) else last
-            first[self.starts] = begin
-            # Pairs with a word that training lacks are in no model.
-            self.in_model = (last > 0) & (first > 0)
-            pair = (first.astype(np.uint64) << U32) | last.astype(np.uint64)
-            self.pairs, at, self.pair_of = np.unique(
-                pair[self.in_model], return_index=True, return_inverse=True)
-            self.pair_word = self.word_of[np.flatnonzero(self.in_model)[at]]
-
-    def ask_pairs(batches):
-        for row in _each(batches):
-            opened = Numbered(row)
-            counts = np.bincount(opened.pair_of[opened.training[opened.in_model]],
-                                 minlength=len(opened.pairs))
-            # The lower order needs no more than the count of the pair's word.
-            below = opened.counts[opened.pair_word]
-            parts = _parts(pair_edges(opened.pairs))
-            yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array([i for i, _, _ in parts], pa.int32()),
-                "chunk": pa.array([row["chunk"]] * len(parts), pa.int64()),
-                "keys": pa.array([C.squeeze_sorted(opened.pairs[a:b]) for _, a, b in parts],
-                                 pa.binary()),
-                "counts": pa.array([C.squeeze(counts[a:b]) for _, a, b in parts], pa.binary()),
-                "below": pa.array([C.squeeze(below[a:b]) for _, a, b in parts], pa.binary())})
-
-    def count_pairs(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, total, backs, back = _totals([C.unsqueeze_sorted(one) for one in frame["keys"]],
-                                           [C.unsqueeze(one) for one in frame["counts"]])
-        below = np.empty(len(keys), dtype=np.uint64)
-        below[back] = np.concatenate([C.unsqueeze(one) for one in frame["below"]])
-        known = total > 0
-        answers = frame[["chunk", "bucket"]].assign(
-            counts=[C.squeeze(total[back]) for back in backs])
-        model = pd.DataFrame({
-            "bucket": frame["bucket"].iloc[:1], "keys": [C.squeeze_sorted(keys[known])],
-            "counts": [C.squeeze(total[known])], "below": [C.squeeze(below[known])],
-            "tokens": int(total.sum()), "distinct_keys": int(known.sum()),
-            "spectrum": [_spectrum(total[known])]})
-        return _stacked(answers, model)
-
-    word_answers = C.listed(words.where("chunk is not null").select(
-        "chunk", "bucket", "counts", "numbers"), "words")
-    asked = C.joined(chunks, word_answers).mapInArrow(
-        ask_pairs, "bucket int, chunk long, keys binary, counts binary, below binary")
-    pairs = materialise(asked.groupBy("bucket").applyInPandas(
-        count_pairs, "chunk long, bucket int, counts binary, keys binary, below binary, "
-                     f"{STATISTICS}"), "pairs")
-    model2 = pairs.where("chunk is null")
-    discounts2 = Discounts.of(_statistics(model2)[2])
-    pair_answers = C.listed(pairs.where("chunk is not null").select("chunk", "bucket", "counts"),
-                            "pairs")
-
-    # Histories: sums over their bigrams, which lie in one bucket but for the hot ones.
-    history_edges = np.array([i * (begin + 1) // buckets for i in range(buckets)],
-                             dtype=np.uint64)
-
-    def sum_histories(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples():
-                keys, counts = C.unsqueeze_sorted(row.keys), C.unsqueeze(row.counts)
-                if not len(keys):
-                    continue
-                history = keys >> U32
-                starts = np.flatnonzero(np.concatenate([[True], history[1:] != history[:-1]]))
-                sums = [np.add.reduceat(one, starts) for one in (
-                    counts.astype(np.float64), discounts2.discounted(counts),
-                    lower(C.unsqueeze(row.below).astype(np.int64)))]
-                history = history[starts]
-                for i, a, b in _parts(np.append(np.searchsorted(history, history_edges),
-                                                len(history))):
-                    yield pd.DataFrame({
-                        "bucket": [i], "chunk": pd.array([None], "Int64"),
-                        "keys": [C.squeeze_sorted(history[a:b])],
-                        "sums": [zstandard.compress(np.stack([s[a:b] for s in sums])
-                                                    .astype("<f8").tobytes(), 1)]})
-
-    class Counted(Numbered):
-        """A chunk whose pairs have their counts."""
-
-        def __init__(self, row: dict):
-            super().__init__(row)
-            self.pair_counts = _gathered(
-                row["pairs"], _parts(pair_edges(self.pairs)),
-                lambda one: C.unsqueeze(one["counts"]).astype(np.int64), np.int64)
-            # Only histories of pairs that training lacks are ever backed off from. A word that
-            # training lacks follows any history.
-            last, unseen = self.word_of, np.ones(len(self.tokens), dtype=bool)
-            unseen[self.in_model] = self.pair_counts[self.pair_of] == 0
-            first = np.concatenate([[0], self.numbers[last][:-1]]) if len(last) else last
-            first[self.starts] = begin
-            self.first, self.unseen = first, unseen
-            asked = np.unique(first[unseen & (first > 0)])
-            self.histories = asked.astype(np.uint64)
-
-    def ask_histories(batches):
-        for row in _each(batches):
-            opened = Counted(row)
-            parts = _parts(np.append(np.searchsorted(opened.histories, history_edges),
-                                     len(opened.histories)))
-            yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array([i for i, _, _ in parts], pa.int32()),
-                "chunk": pa.array([row["chunk"]] * len(parts), pa.int64()),
-                "keys": pa.array([C.squeeze_sorted(opened.histories[a:b]) for _, a, b in parts],
-                                 pa.binary()),
-                "sums": pa.array([None] * len(parts), pa.binary())})
-
-    def weigh(frame: pd.DataFrame) -> pd.DataFrame:
-        ours = frame[frame["chunk"].isna()]
-        keys = np.concatenate([np.empty(0, np.uint64),
-                               *[C.unsqueeze_sorted(one) for one in ours["keys"]]])
-        sums = np.concatenate([np.empty((3, 0)), *[np.frombuffer(
-            zstandard.decompress(one), "<f8").reshape(3, -1) for one in ours["sums"]]], axis=1)
-        distinct, back = np.unique(keys, return_inverse=True)
-        count, held, covered = (np.bincount(back, weights=one, minlength=len(distinct))
-                                for one in sums)
-        # What the seen words leave, over what the lower order gives the others.
-        weight = (1.0 - held / (count + SPARED)) / (1.0 - covered)
-        asked = frame[frame["chunk"].notna()]
-        out = []
-        for one in asked["keys"]:
-            wanted = C.unsqueeze_sorted(one)
-            at = np.minimum(np.searchsorted(distinct, wanted), max(len(distinct) - 1, 0))
-            found = distinct[at] == wanted if len(distinct) else np.zeros(len(wanted), bool)
-            out.append(pack_floats(np.where(found, weight[at], 1.0) if len(distinct)
-                                   else np.ones(len(wanted))))
-        return asked[["chunk", "bucket"]].assign(weights=out).astype({"chunk": "int64"})
-
-    both = C.joined(chunks, word_answers, pair_answers)
-    kind = "bucket int, chunk long, keys binary, sums binary"
-    sums = model2.select("keys", "counts", "below").mapInPandas(sum_histories, kind)
-    weights = both.mapInArrow(ask_histories, kind).unionByName(sums).groupBy("bucket") \
-        .applyInPandas(weigh, "chunk long, bucket int, weights binary")
-    weight_answers = C.listed(weights, "weights")
+            self.last, self.count = numbers[self.word_of], self.counts[self.word_of]
+            self.grams: list[Grams] = []
+            for n, level in enumerate(levels, 2):
+                grams = self.next_order()
+                grams.answered(level, row[f"grams{n}"])
+                self.grams.append(grams)
+
+        def next_order(self) -> Grams:
+            """The n-grams of the order above those that have their counts."""
+            below = self.grams[-1] if self.grams else None
+            number, count = (below.numbers, below.counts) if below else (self.last, self.count)
+            first, after = (np.concatenate([[0], one[:-1]]) if len(one) else one
+                            for one in (number, count))
+            # The beginning is a history of one word; none is longer there.
+            first[self.starts], after[self.starts] = (0, 0) if below else (begin, texts)
+            return Grams(first, after, self.last)
+
+    def column(parts, values: np.ndarray, pack=C.squeeze) -> pa.Array:
+        return pa.array([pack(values[a:b]) for _, a, b in parts], pa.binary())
+
+    def gram_counts(chunks: DataFrame, levels: list[Level], level: Level) -> DataFrame:
+        """Answers to the chunks, and the model, for the order above ``levels``."""
+        numbers_needed = len(levels) + 2 < order
+
+        def ask(batches):
+            for row in _each(batches):
+                opened = Counted(row, levels)
+                grams = opened.next_order()
+                counts = np.bincount(grams.key_of[opened.training[grams.in_model]],
+                                     minlength=len(grams.keys))
+                # The lower order needs no more than the counts of its n-gram and history.
+                lower_order = opened.grams[-1] if levels else None
+                below = (lower_order.counts if levels else opened.count)[grams.at]
+                after = lower_order.after[grams.at] if levels else None
+                parts = level.parts(grams.keys)
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array([i for i, _, _ in parts], pa.int32()),
+                    "chunk": pa.array([row["chunk"]] * len(parts), pa.int64()),
+                    "keys": column(parts, grams.keys, C.squeeze_sorted),
+                    "counts": column(parts, counts), "below": column(parts, below),
+                    "after": column(parts, after) if levels
+                    else pa.array([None] * len(parts), pa.binary())})
+
+        def count(frame: pd.DataFrame) -> pd.DataFrame:
+            keys, total, backs, back = _totals([C.unsqueeze_sorted(one) for one in frame["keys"]],
+                                               [C.unsqueeze(one) for one in frame["counts"]])
+            known = total > 0
+            answers = frame[["chunk", "bucket"]].assign(
+                counts=[C.squeeze(total[back]) for back in backs])
+            model = pd.DataFrame({
+                "bucket": frame["bucket"].iloc[:1], "keys": [C.squeeze_sorted(keys[known])],
+                "counts": [C.squeeze(total[known])], "tokens": int(total.sum()),
+                "distinct_keys": int(known.sum()), "spectrum": [_spectrum(total[known])]})
+            for name in ("below", "after") if levels else ("below",):
+                sent = np.empty(len(keys), dtype=np.uint64)
+                sent[back] = np.concatenate([C.unsqueeze(one) for one in frame[name]])
+                model[name] = [C.squeeze(sent[known])]
+            if numbers_needed:
+                number, hot = np.cumsum(known), np.flatnonzero(total > HOT)
+                answers["numbers"] = [C.squeeze_sorted(number[one[known[one]]].astype(np.uint64))
+                                      for one in backs]
+                model["hot"], model["hot_counts"] = [number[hot].tolist()], [total[hot].tolist()]
+            out = _stacked(answers, model)
+            for name in ("numbers", "after", "hot", "hot_counts"):
+                if name not in out:
+                    out[name] = None
+            return out
+
+        asked = chunks.mapInArrow(
+            ask, "bucket int, chunk long, keys binary, counts binary, below binary, after binary")
+        return materialise(asked.groupBy("bucket").applyInPandas(
+            count, "chunk long, bucket int, counts binary, numbers binary, keys binary, "
+                   f"below binary, after binary, {STATISTICS}, hot array<long>, "
+                   "hot_counts array<long>"), f"grams{len(levels) + 2}")
+
+    def history_weights(chunks: DataFrame, model: DataFrame, levels: list[Level]) -> DataFrame:
+        """Backoff weights of the last of ``levels``, for the chunks that ask for them."""
+        level, kind = levels[-1], "bucket int, chunk long, keys binary, sums binary"
+
+        # Histories: sums over their n-grams, which lie in one bucket but for the hot ones.
+        def sum_histories(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for row in frame.itertuples():
+                    keys, counts = C.unsqueeze_sorted(row.keys), C.unsqueeze(row.counts)
+                    if not len(keys):
+                        continue
+                    history = keys >> U32
+                    starts = np.flatnonzero(np.concatenate([[True], history[1:] != history[:-1]]))
+                    below = C.unsqueeze(row.below).astype(np.int64)
+                    chance = lower(below) if len(levels) == 1 else (
+                        levels[-2].discounts.discounted(below) / (
+                            C.unsqueeze(row.after).astype(np.float64) + SPARED))
+                    sums = [np.add.reduceat(one, starts) for one in (
+                        counts.astype(np.float64), level.discounts.discounted(counts), chance)]
+                    history = history[starts]
+                    for i, a, b in level.history_parts(history):
+                        yield pd.DataFrame({
+                            "bucket": [i], "chunk": pd.array([None], "Int64"),
+                            "keys": [C.squeeze_sorted(history[a:b])],
+                            "sums": [zstandard.compress(np.stack([s[a:b] for s in sums])
+                                                        .astype("<f8").tobytes(), 1)]})
+
+        def ask(batches):
+            for row in _each(batches):
+                histories = Counted(row, levels).grams[-1].histories
+                parts = level.history_parts(histories)
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array([i for i, _, _ in parts], pa.int32()),
+                    "chunk": pa.array([row["chunk"]] * len(parts), pa.int64()),
+                    "keys": column(parts, histories, C.squeeze_sorted),
+                    "sums": pa.array([None] * len(parts), pa.binary())})
+
+        def weigh(frame: pd.DataFrame) -> pd.DataFrame:
+            ours = frame[frame["chunk"].isna()]
+            keys = np.concatenate([np.empty(0, np.uint64),
+                                   *[C.unsqueeze_sorted(one) for one in ours["keys"]]])
+            sums = np.concatenate([np.empty((3, 0)), *[np.frombuffer(
+                zstandard.decompress(one), "<f8").reshape(3, -1) for one in ours["sums"]]], axis=1)
+            distinct, back = np.unique(keys, return_inverse=True)
+            count, held, covered = (np.bincount(back, weights=one, minlength=len(distinct))
+                                    for one in sums)
+            # What the seen words leave, over what the lower order gives the others.
+            weight = (1.0 - held / (count + SPARED)) / (1.0 - covered)
+            asked = frame[frame["chunk"].notna()]
+            out = []
+            for one in asked["keys"]:
+                wanted = C.unsqueeze_sorted(one)
+                at = np.minimum(np.searchsorted(distinct, wanted), max(len(distinct) - 1, 0))
+                found = distinct[at] == wanted if len(distinct) else np.zeros(len(wanted), bool)
+                out.append(pack_floats(np.where(found, weight[at], 1.0) if len(distinct)
+                                       else np.ones(len(wanted))))
+            return asked[["chunk", "bucket"]].assign(weights=out).astype({"chunk": "int64"})
+        sums = model.select("keys", "counts", "below", "after").mapInPandas(sum_histories, kind)
+        return chunks.mapInArrow(ask, kind).unionByName(sums).groupBy("bucket") \
+            .applyInPandas(weigh, "chunk long, bucket int, weights binary")
+
+    answers = [C.listed(words.where("chunk is not null").select(
+        "chunk", "bucket", "counts", "numbers"), "words")]
+    weights, levels = [], []
+    histories, hot = begin, [*hot_words, (begin, texts)]
+    for n in range(2, order + 1):
+        level = Level.of(histories, begin, hot, buckets)
+        grams = gram_counts(C.joined(chunks, *answers), list(levels), level)
+        model = grams.where("chunk is null")
+        level = replace(level, discounts=Discounts.of(_statistics(model)[2]))
+        fields = ["chunk", "bucket", "counts"]
+        if n < order:
+            numbers_before, hot, histories = _numbered(model, len(level.edges))
+            level, fields = replace(level, offsets=numbers_before), [*fields, "numbers"]
+        levels.append(level)
+        answers.append(C.listed(grams.where("chunk is not null").select(*fields), f"grams{n}"))
+        weights.append(C.listed(history_weights(
+            C.joined(chunks, *answers), model, list(levels)), f"weights{n}"))
 
     def score(batches):
         for row in _each(batches):
-            opened = Counted(row)
-            parts = _parts(np.append(np.searchsorted(opened.histories, history_edges),
-                                     len(opened.histories)))
-            weights = _gathered(row["weights"], parts,
-                                lambda one: unpack_floats(one["weights"]), np.float64)
-            count = opened.counts[opened.word_of]
-            # From the lowest order up: a word alone, then after its history.
+            opened = Counted(row, levels)
+            count = opened.count
+            # From the lowest order up: a word alone, then after ever longer histories.
             chance = lower(opened.counts)[opened.word_of]
-            history_count = np.concatenate([[0], count[:-1]]) if len(count) else count
-            history_count[opened.starts] = texts
-            seen = ~opened.unseen
-            pair_count = np.zeros(len(count), dtype=np.int64)
-            pair_count[opened.in_model] = opened.pair_counts[opened.pair_of]
-            back_off = opened.unseen & (opened.first > 0)
-            chance[back_off] *= weights[np.searchsorted(
-                opened.histories, opened.first[back_off].astype(np.uint64))]
-            chance[seen] = discounts2.discounted(pair_count[seen]) / (
-                history_count[seen] + SPARED)
+            for n, (level, grams) in enumerate(zip(levels, opened.grams), 2):
+                found = _gathered(row[f"weights{n}"], level.history_parts(grams.histories),
+                                  lambda one: unpack_floats(one["weights"]), np.float64)
+                chance[grams.back_off] *= found[np.searchsorted(
+                    grams.histories, grams.first[grams.back_off].astype(np.uint64))]
+                seen = ~grams.unseen
+                chance[seen] = level.discounts.discounted(grams.counts[seen]) / (
+                    grams.after[seen] + SPARED)
             base = (count + ADDED) / (tokens + ADDED * (vocabulary + 1))
             add = [np.add.reduceat(one, opened.starts) if len(one) else np.empty(0) for one in (
                 np.log10(base), np.log10(chance), (count > 0).astype(np.int64))]
@@ -425,6 +499,6 @@ def katz_scores(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score",
                        "score"])
 
-    return C.joined(chunks, word_answers, pair_answers, weight_answers).mapInArrow(
+    return C.joined(chunks, *answers, *weights).mapInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                "base_score double, score double")

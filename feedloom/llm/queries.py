@@ -180,4 +180,4 @@ def op4(spark, sf_dir):
 
 @query("op2_katz_scores")
 def op2(spark, sf_dir):
-    return katz_scores(table(spark, sf_dir, "documents"))
+    return katz_scores(table(spark, sf_dir, "documents"), order=3)

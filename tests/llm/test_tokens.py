@@ -1,5 +1,6 @@
 """Token files, token counts, pieces and the language model, against the libraries and by hand."""
 
+import functools
 import math
 import random
 import zlib
@@ -9,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from feedloom.llm import katz, piece_scan, range_coder, sentence_pieces, token_files, wordpieces
+from feedloom.llm.queries import QUERIES
 from feedloom.llm.token_counts import pieces, token_counts
 from feedloom.session import fresh_path
 from llm import odd
@@ -231,6 +233,92 @@ def test_scores_are_those_of_the_definition(spark, monkeypatch, hot):
         assert math.isclose(one[6], other[6], abs_tol=1e-6)
 
 
+def _katz3(rows):
+    """Scores of a trigram model by the definition, probabilities recursive in the history."""
+    def tokens(text):
+        return ["", *odd.words(odd.lower(text)), None]
+
+    counts, after = [Counter(), Counter(), Counter()], Counter()
+    for i, text in rows:
+        found = tokens(text)
+        for at in range(1, len(found)) if odd.is_training(i) else ():
+            for n in range(min(at + 1, 3)):
+                gram = tuple(found[at - n:at + 1])
+                counts[n][gram] += 1
+                after[gram[:-1]] += 1
+    total = after[()]
+    factors = [katz.Discounts.of([sum(c == r for c in one.values())
+                                  for r in range(1, katz.K + 2)]).factors for one in counts]
+
+    def held(gram):
+        c, f = counts[len(gram) - 1][gram], factors[len(gram) - 1]
+        return c * f[c] if c <= katz.K else c
+
+    unknown = 1 - sum(held(g) for g in counts[0]) / (total + katz.SPARED)
+    followed = {}
+    for n in (1, 2):
+        for gram in counts[n]:
+            followed.setdefault(gram[:-1], []).append(gram)
+
+    @functools.cache
+    def left(history):
+        if not after[history]:
+            return 1.0
+        rest = 1 - sum(held(g) for g in followed[history]) / (after[history] + katz.SPARED)
+        return rest / (1 - sum(chance(history[1:], g[-1]) for g in followed[history]))
+
+    def chance(history, word):
+        gram = (*history, word)
+        if counts[len(history)][gram]:
+            return held(gram) / (after[history] + katz.SPARED)
+        return left(history) * chance(history[1:], word) if history else unknown
+
+    for history in [("", "the"), ("the", "the"), *[g for g in list(followed) if len(g) == 2][:5]]:
+        assert math.isclose(sum(chance(history, *w) for w in counts[0])
+                            + chance(history, "\x01"), 1.0, abs_tol=1e-9)
+    out = []
+    for i, text in rows:
+        found = tokens(text)
+        out.append((i, len(found) - 1, sum(math.log10(chance(tuple(found[max(at - 2, 0):at]),
+                                                             found[at]))
+                                           for at in range(1, len(found)))))
+    return out
+
+
+@pytest.mark.parametrize("hot", [1 << 21, 4])
+def test_trigram_scores_are_those_of_the_definition(spark, monkeypatch, hot):
+    monkeypatch.setattr(katz, "HOT", hot)
+    rows = [row[:2] for row in odd.odd_rows()]
+    rows += [(100 + n, f"{odd.prose(20 + n % 6, 30)} {odd.prose(50 + n, 5)}") for n in range(40)]
+    # Held out rows with histories that training goes on from otherwise.
+    ids = [i for i in range(200, 400) if not odd.is_training(i)][:6]
+    rows += [(i, " ".join(sorted(odd.prose(20 + n, 30).split()[:9]) + odd.prose(20 + n, 30).split()[:7]
+                          + ["the", "new"])) for n, i in enumerate(ids)]
+    docs = odd.documents(spark, [(i, t, "en", "s", 0) for i, t in rows])
+
+    def order(row):
+        return (row[0] is None, row[0] or 0, row[1], row[2])
+
+    got = sorted([(r.doc_id, r.n_tokens, r.score) for r in
+                  katz.katz_scores(docs, order=3).collect()], key=order)
+    want = sorted(_katz3(rows), key=order)
+    assert len(got) == len(want)
+    for one, other in zip(got, want):
+        assert one[:2] == other[:2]
+        assert math.isclose(one[2], other[2], abs_tol=1e-6)
+
+
+def test_scores_of_the_query_see_two_words_back(spark, tmp_path):
+    a, b = "p q r", "s q t"
+    held = next(i for i in range(1000, 2000) if not odd.is_training(i))
+    other = next(i for i in range(held + 1, 2000) if not odd.is_training(i))
+    rows = [(i, (a, b)[i % 2], "en", "s", 5) for i in range(100) if odd.is_training(i)]
+    rows += [(held, a, "en", "s", 5), (other, "p q t", "en", "s", 5)]
+    odd.documents(spark, rows, clashing=False).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.score for r in QUERIES["op2_katz_scores"](spark, str(tmp_path)).collect()}
+    assert got[held] > got[other] + 1
+
+
 def test_scores_of_no_documents(spark):
     assert katz.katz_scores(odd.documents(spark, [])).collect() == []
 
