@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.chunks import releasing
@@ -56,17 +56,28 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)``, the fingerprint as a signed long; a null text has no words."""
+    """``(doc_id, key, fp)``, the fingerprint as a signed long; a null text has no words.
+
+    ``key`` is 128 bits of the text's hash and tells rows apart that repeat an id.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(text.as_buffer().to_pybytes()) if text.is_valid else 0
-                     for text in batch.column(1)]
+                     for text in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(found, dtype=np.uint64).view(np.int64))],
-                names=["doc_id", "fp"])
+                [batch.column(0), batch.column(1),
+                 pa.array(np.array(found, dtype=np.uint64).view(np.int64))],
+                names=["doc_id", "key", "fp"])
+
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"),
+        F.col("text").cast("string").alias("text")).mapInArrow(
+            releasing(run), "doc_id long, key binary, fp long")
+
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        releasing(run), "doc_id long, fp long")
+def text_key() -> Column:
+    """128 bits of the text's hash; a null text has a key of its own."""
+    return F.coalesce(F.unhex(F.md5(F.col("text").cast("string"))), F.lit(bytearray()))
 
 
 def vantage(keys: np.ndarray) -> tuple[int, int] | None:
@@ -189,6 +200,16 @@ def links(keys: DataFrame) -> DataFrame:
     return dealt.groupBy("shard").applyInPandas(join, "a long, b long")
 
 
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, key, fp)`` of each row and ``(fp, first, component)`` of each fingerprint, where
+    ``first`` is its smallest id and ``component`` a fingerprint that names the group."""
+    prints = materialise(fingerprints(docs), "prints")
+    classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    joined = connected_components(links(classes)).withColumnRenamed("node", "fp")
+    return prints, materialise(classes.join(joined, "fp", "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component")), "named")
+
+
 def simhash_groups(docs: DataFrame) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row of ``docs``.
 
@@ -198,11 +219,7 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     are linked by it as any others; a null id is never the smallest, and a group of only null ids
     has a null component; repeated rows come back each; no rows give no rows.
     """
-    prints = materialise(fingerprints(docs), "prints")
-    classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    joined = connected_components(links(classes)).withColumnRenamed("node", "fp")
-    named = materialise(classes.join(joined, "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component")), "named")
+    prints, named = grouped(docs)
     smallest = materialise(named.groupBy("component").agg(F.min("first").alias("component_id")),
                            "smallest")
     known = materialise(named.join(smallest, "component").select("fp", "component_id"), "known")
@@ -211,17 +228,22 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id names its group: one of each group of near-duplicates.
+    """One row of ``docs`` for each group of near-duplicates: the one with the smallest id.
 
-    Rows without an id are kept, as nothing tells them apart. Of rows that repeat such an id one
-    stays.
+    Where several rows of a group have that id, or none has one, the hash of the text decides; of
+    rows that repeat id and text one stays. Texts without words are one group.
     """
-    groups = materialise(simhash_groups(docs), "groups")
-    first = materialise(groups.where("doc_id = component_id").groupBy("doc_id")
-                        .agg(F.count("*").alias("times")), "first")
+    prints, named = grouped(docs)
+    first = prints.groupBy("fp").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("row"))
+    chosen = materialise(first.join(named, "fp").groupBy("component").agg(
+        F.min("row").alias("row")).select(F.col("row.doc_id").alias("kept_id"),
+                                          F.col("row.key").alias("kept_key")), "chosen")
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key"))
+    twins = materialise(prints.groupBy("doc_id", "key").agg(F.count("*").alias("times"))
+                        .where("times > 1").join(small_side(chosen), same, "left_semi"), "twins")
+    here = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (
+        text_key() == F.col("kept_key"))
     # Ids that fit a checked size go to the documents; more of them meet in a shuffle.
-    kept = docs.join(small_side(first.select("doc_id")), "doc_id", "left_semi")
-    if not first.where("times > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    unnamed = docs.where("doc_id is null")
-    return kept.select(docs.columns).unionByName(unnamed)
+    kept = docs.join(small_side(chosen), here, "left_semi")
+    return kept if twins.isEmpty() else kept.dropDuplicates(["doc_id", "text"])

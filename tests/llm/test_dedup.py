@@ -7,7 +7,7 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import pytest
-from feedloom.llm import components, lattice, near_copies, simhash
+from feedloom.llm import components, lattice, simhash
 from feedloom.llm import repeats as repeats_module
 from feedloom.llm.repeats import repeats, without_repeats
 from llm import odd
@@ -97,51 +97,20 @@ def test_links_across_shards(spark, monkeypatch, shard):
 
 def test_one_document_of_each_group_stays(spark):
     rows = odd.odd_rows()
-    kept = simhash.keep_first(odd.documents(spark)).select("doc_id").collect()
+    docs = odd.documents(spark)
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
     groups = {(i, g) for i, _, g in _groups([row[:2] for row in rows])}
     want = sorted({g for i, g in groups if i == g and i is not None})
-    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == want
-    assert sum(r.doc_id is None for r in kept) == 2
-
-
-def test_fingerprints_of_no_documents(spark):
-    assert simhash.simhash_groups(odd.documents(spark, [])).collect() == []
+    assert sorted(r.doc_id for r in kept.collect()) == want
 
 
-def _jaccard_groups(rows, size=5, similarity=0.8):
-    sets = {}
-    for n, (_, text) in enumerate(rows):
-        found = odd.lower(text).split()
-        sets[n] = {tuple(found[at:at + size]) for at in range(max(1, len(found) - size + 1))}
-    links = [(a, b) for a in sets for b in sets if a < b
-             and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
-    return odd.components(list(sets), links), links
-
-
-def _copies():
-    """Texts and copies of them with some words replaced, so that their similarity varies."""
-    pick, rows = random.Random(11), []
-    for seed in range(30):
-        text = odd.prose(100 + seed, 200).split()
-        rows.append((len(rows), " ".join(text)))
-        for changes in (1, 2, 3, 4, 5, 9):
-            copy = list(text)
-            for at in pick.sample(range(len(copy)), changes):
-                copy[at] = f"w{pick.random()}"
-            rows.append((len(rows), " ".join(copy)))
-    return rows
+def test_no_document_of_none_stays(spark):
+    assert simhash.keep_first(odd.documents(spark, [])).collect() == []
 
 
-def test_stage_groups_texts_by_the_jaccard_similarity_of_five_words(spark):
-    rows = _copies()
-    group, links = _jaccard_groups(rows)
-    prints = [odd.simhash(text) for _, text in rows]
-    assert any((prints[a] ^ prints[b]).bit_count() > 4 for a, b in links)
-    docs = odd.documents(spark, [(i, t, "en", "s", 0) for i, t in rows])
-    kept = corpus_pipeline.near_duplicates(spark, docs, None)
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(
-        i for i, _ in rows if group[i] == i)
+def test_fingerprints_of_no_documents(spark):
+    assert simhash.simhash_groups(odd.documents(spark, [])).collect() == []
 
 
 def test_one_row_of_each_group_stays_where_ids_repeat_or_are_missing(spark):
@@ -149,7 +118,7 @@ def test_one_row_of_each_group_stays_where_ids_repeat_or_are_missing(spark):
     rows = [(1, a), (1, b), (2, c), (2, a), (None, b), (None, d), (None, d), (None, f"{d} tail"),
             (None, None), (3, c), (2, c), (None, "")]
     docs = odd.documents(spark, [(i, t, "en", f"s{n}", 0) for n, (i, t) in enumerate(rows)])
-    kept = [(r.doc_id, r.text) for r in near_copies.keep_one(docs).collect()]
+    kept = [(r.doc_id, r.text) for r in simhash.keep_first(docs).collect()]
     assert {(1, a), (1, b), (2, c)} < set(kept)
     assert sum(i is None and t in (d, f"{d} tail") for i, t in kept) == 1
     assert sum(not t for _, t in kept) == 1
