@@ -8,14 +8,17 @@ from feedloom.llm.decontaminate import contamination
 from feedloom.llm.katz import katz_scores
 from feedloom.llm.language import identify, page_rows, train
 from feedloom.llm.lattice import embedding_groups
+from feedloom.llm.line_dedup import keep_bitmaps, kept_lines
 from feedloom.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from feedloom.llm.repeats import repeats
 from feedloom.llm.sentence_pieces import piece_digests
 from feedloom.llm.simhash import simhash_groups
+from feedloom.llm.spelling import spelling_variants
 from feedloom.llm.token_counts import token_counts
 from feedloom.llm.token_files import read_token_digests, write_token_files
 from feedloom.llm.tool_calls import REQUEST_TOOLS, linked_calls, request_messages
-from feedloom.session import fresh_path
+from feedloom.llm.whitening import whitened_rows
+from feedloom.session import fresh_path, materialise
 
 
 @query("op1_token_files")
@@ -181,3 +184,38 @@ def op4(spark, sf_dir):
 @query("op2_katz_scores")
 def op2(spark, sf_dir):
     return katz_scores(table(spark, sf_dir, "documents"), order=3)
+
+
+@query("op11_whitened_embeddings")
+def op11(spark, sf_dir):
+    return whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
+OP12_SQL = """
+WITH
+d AS (SELECT row_number() OVER () AS n, doc_id,
+  string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT n, doc_id, i, lines[i] AS line, translate(
+    trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT n, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+first AS (SELECT k, min(doc_id) AS smallest FROM l WHERE length(k) >= 10 GROUP BY k),
+marked AS (SELECT n, l.doc_id, i, line, coalesce(l.doc_id > smallest, false) AS gone
+  FROM l LEFT JOIN first ON l.k = first.k)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines,
+  count(*) FILTER (gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY n
+"""
+
+
+@query("op12_line_dedup", OP12_SQL)
+def op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return kept_lines(docs, materialise(keep_bitmaps(docs), "bitmaps")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_spelling_variants")
+def op13(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))

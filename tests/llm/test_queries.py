@@ -19,7 +19,7 @@ def test_query_gives_the_rows_of_its_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_equals_its_stages_done_plainly(spark):
