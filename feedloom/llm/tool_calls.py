@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from math import ceil, log2
+from math import ceil, isinf, log2
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -19,6 +19,10 @@ MESSAGE = ("conv_id long, turn long, role string, text string, "
 KINDS = {"string": str, "boolean": bool, "array": list, "object": dict}
 
 
+#: Lists and objects that arguments may stand in, one inside the other.
+DEPTH = 64
+
+
 class Rejected(ValueError):
     pass
 
@@ -34,9 +38,37 @@ def _constant(name):
     raise Rejected(f"{name} is no JSON number")
 
 
+def _number(text):
+    value = float(text)
+    if isinf(value):
+        raise Rejected("a number is too great")
+    return value
+
+
+def _checked(value):
+    """``value``, if it is not nested too deep and all its texts can be written."""
+    layer, depth = [value], 0
+    while layer:
+        depth += any(isinstance(one, (list, dict)) for one in layer)
+        if depth > DEPTH:
+            raise Rejected("nested too deep")
+        for one in layer:
+            for text in [one] if isinstance(one, str) else one if isinstance(one, dict) else ():
+                if not text.isascii() and any("\ud800" <= c <= "\udfff" for c in text):
+                    raise Rejected("half of a surrogate pair")
+        layer = [inner for one in layer if isinstance(one, (list, dict))
+                 for inner in (one.values() if isinstance(one, dict) else one)]
+    return value
+
+
 def parsed(text: str):
-    """The JSON value of a text; names that repeat and numbers that are none are rejected."""
-    return json.loads(text, object_pairs_hook=_pairs, parse_constant=_constant)
+    """The JSON value of a text.
+
+    Names that repeat, numbers that are none or too great for one, halves of surrogate pairs and
+    values in more than ``DEPTH`` lists and objects are rejected.
+    """
+    return _checked(json.loads(text, object_pairs_hook=_pairs, parse_constant=_constant,
+                               parse_float=_number))
 
 
 def canonical(value) -> str:
@@ -58,7 +90,7 @@ def errors(value, schema: dict, at: str = "") -> list[str]:
     kind = schema.get("type")
     number = isinstance(value, (int, float)) and not isinstance(value, bool)
     fits = {"number": number, "null": value is None,
-            "integer": number and float(value).is_integer()}.get(
+            "integer": number and (isinstance(value, int) or value.is_integer())}.get(
                 kind, isinstance(value, KINDS[kind]) if kind in KINDS else True)
     if not fits:
         return [f"{at}: not of type {kind}"]
@@ -108,7 +140,7 @@ def depths(calls: DataFrame) -> DataFrame:
     known = here.select("conv_id", F.col("call_id").alias("up"))
     steps = materialise(
         calls.select("conv_id", "call_id", F.col("after").alias("up"))
-        .join(known.withColumn("there", F.lit(1)), ["conv_id", "up"], "left")
+        .join(known.withColumn("there", F.lit(1)).hint("shuffle_hash"), ["conv_id", "up"], "left")
         .select("conv_id", "call_id", F.when(F.col("there") == 1, F.col("up")).alias("up"),
                 F.coalesce("there", F.lit(0)).cast("long").alias("depth")), "steps")
     rounds = ceil(log2(max(2, steps.count()))) + 1
@@ -117,7 +149,7 @@ def depths(calls: DataFrame) -> DataFrame:
             break
         ahead = steps.select("conv_id", F.col("call_id").alias("up"),
                              F.col("up").alias("further"), F.col("depth").alias("more"))
-        steps = materialise(steps.join(ahead, ["conv_id", "up"], "left").select(
+        steps = materialise(steps.join(ahead.hint("shuffle_hash"), ["conv_id", "up"], "left").select(
             "conv_id", "call_id", F.col("further").alias("up"),
             (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "steps")
     return steps.select("conv_id", "call_id", F.when(F.col("up").isNull(), F.col("depth"))
@@ -133,7 +165,7 @@ def linked_calls(messages: DataFrame, tools: dict[str, dict]) -> DataFrame:
     result does not stand behind the call), ``unanswered`` or ``orphan``. In order of ``depth``,
     ``turn`` and ``nth`` each call follows those it comes after; see ``depths``, where an id that
     is used more than once stands for its first call. ``json`` is the canonical form of the call
-    with its result; arguments that are no JSON stay a string and count as an error. Null ids are
+    with its result; arguments that are no JSON, or that ``parsed`` rejects, stay a string and count as an error. Null ids are
     never linked: such a call is unanswered, such a result is no result. Null texts are null
     results. Repeated rows are further calls and results. ``tools`` has a JSON schema per name.
 
@@ -151,8 +183,9 @@ def linked_calls(messages: DataFrame, tools: dict[str, dict]) -> DataFrame:
         F.col("text").alias("result"), F.lit(1).alias("replied"))
     result = result.withColumn("nth", F.row_number().over(same.orderBy("result_turn", "result")))
     order = depths(call.where("nth = 1 and conv_id is not null and call_id is not null"))
-    both = call.join(result, ["conv_id", "call_id", "nth"], "full").join(
-        order, ["conv_id", "call_id"], "left")
+    # Both sides are dealt by the identifier and meet in a hash table per part.
+    both = call.join(result.hint("shuffle_hash"), ["conv_id", "call_id", "nth"], "full").join(
+        order.hint("shuffle_hash"), ["conv_id", "call_id"], "left")
     status = F.when(F.col("called").isNull(), "orphan").when(
         F.col("replied").isNull(), "unanswered").when(
         F.col("result_turn") > F.col("call_turn"), "answered").otherwise("early")

@@ -1,5 +1,6 @@
 """Contamination, languages, tool calls and the pipeline."""
 
+import json
 from collections import Counter
 
 import pytest
@@ -182,6 +183,36 @@ def test_calls_are_linked_and_ordered(spark):
     assert tool_calls.linked_calls(none, TOOLS).collect() == []
 
 
+DEEP = "[" * 3000 + "]" * 3000
+
+
+@pytest.mark.parametrize("arguments", [
+    DEEP, "[" * 200_000, f'{{"x": {DEEP}}}', f'{{"x": 1, "tags": {"[" * 70 + "]" * 70}}}',
+    '{"x": 1e400}', '{"x": -1e400}', '{"x": "\\ud800"}', '{"\\udfff": 1}', f'{{"x": {"9" * 5000}}}',
+    '{"x": Infinity}', "{" * 9000])
+def test_arguments_that_cannot_be_written_stay_text(spark, arguments):
+    rows = [(1, 0, "assistant", None, [{"id": "a", "name": "add", "arguments": arguments,
+                                        "after": None}], None)]
+    (row,) = tool_calls.linked_calls(spark.createDataFrame(rows, tool_calls.MESSAGE), TOOLS).collect()
+    said = json.loads(row.json)
+    assert row.n_errors == 1 and said["arguments"] == arguments
+    json.dumps(said, ensure_ascii=False, allow_nan=False).encode()
+
+
+@pytest.mark.parametrize(("arguments", "wrong"), [
+    (f'{{"x": {"9" * 400}}}', 0), ('{"x": 1e300}', 0), ('{"x": 1.5}', 1), (f'{{"x": -{"9" * 400}}}', 1),
+    ('{"x": 1, "tags": ["\\ud83d\\ude00"]}', 1)])
+def test_great_numbers_and_whole_pairs_are_judged(arguments, wrong):
+    value, errors = tool_calls.judged("add", arguments, TOOLS)
+    assert len(errors) == wrong and json.loads(tool_calls.canonical(value)) == json.loads(arguments)
+
+
+def test_calls_and_results_meet_in_a_hash_join(spark):
+    found = tool_calls.linked_calls(spark.createDataFrame([], tool_calls.MESSAGE), TOOLS)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "FullOuter" in plan and "SortMergeJoin" not in plan
+
+
 def test_long_chains_of_calls(spark):
     rows = [(1, f"k{n}", f"k{n - 1}" if n else None) for n in range(100)]
     frame = spark.createDataFrame(rows, "conv_id long, call_id string, after string")
