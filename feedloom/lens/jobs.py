@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -371,36 +372,168 @@ def publish_snapshot(spark, sf_dir):
 
 
 @query("r3_reconcile", """
-    SELECT CAST(user_id AS VARCHAR) AS id FROM events WHERE event_type <> 'error'
-    INTERSECT SELECT CAST(c_custkey AS VARCHAR) FROM customer
+    SELECT DISTINCT CAST(user_id AS VARCHAR) AS id, c_name AS headline
+    FROM events JOIN customer ON c_custkey = user_id WHERE event_type <> 'error'
 """)
 def reconcile(spark, sf_dir):
-    """The first load only finds the ads of building firms; the next pass loads the rest."""
-    feed = import_feed(spark, sf_dir).where("NOT avpublicerad")
-    raw = t.table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("annonsId"), "c_mktsegment")
-    root = fresh_path(spark, "reconcile")
-    state = {"loads": 0}
-    schema = "id string"
-    snapshots.ensure_table(spark, root, spark.createDataFrame([], schema).schema)
+    """At first only the bodies of building firms have landed; a further pass imports the rest."""
+    feed, given = import_feed(spark, sf_dir).where("NOT avpublicerad"), inputs(spark, sf_dir)
+    some = dataclasses.replace(given, raw=given.raw.where("body LIKE '%BUILDING%'"))
+    root, passes = fresh_path(spark, "reconcile"), []
+    main, deleted = f"{root}/ads", f"{root}/deleted"
+    imports.ensure_tables(spark, feed, main, deleted, given)
 
     def load(rows):
-        there = raw if state["loads"] else raw.where("c_mktsegment = 'BUILDING'")
-        found = f.batch_rows(rows).join(there, "annonsId").select(
-            F.col("annonsId").cast("string").alias("id"))
-        snapshots.write_batch(found, root, snapshots.batch_name(spark, root, "load", state["loads"]))
-        state["loads"] += 1
+        passes.append(imports.load_batch(spark, rows, main, deleted, given if passes else some))
 
-    imports.reconcile(load, feed, lambda: snapshots.read_current(spark, root))
-    return snapshots.read_current(spark, root).select("id")
+    imports.reconcile(load, feed, lambda: snapshots.read_current(spark, main))
+    return snapshots.read_current(spark, main).select("id", "headline")
 
 
 @query("r7_ensure_tables", f"SELECT CAST(annonsId AS VARCHAR) AS id FROM ({t.latest_sql()})")
 def ensure_tables(spark, sf_dir):
     """Tables are made where there are none, and left alone where there are."""
     rows = f.batch_rows(t.feed(spark, sf_dir)).select(F.col("annonsId").cast("string").alias("id"))
-    path = fresh_path(spark, "ensure")
+    path = fresh_path(spark, "ensure") + "/ids"
     snapshots.ensure_table(spark, path, rows.schema)
-    snapshots.write_batch(rows, path, snapshots.batch_name(spark, path, "load"))
+    snapshots.write_batch(rows, path)
     snapshots.ensure_table(spark, path, rows.schema)
     return snapshots.read_current(spark, path)
+
+
+# --- One step, folding, late answers ---
+
+REMOVED_LATER = f"""
+    SELECT CAST(annonsId AS VARCHAR) AS id, ms AS timestamp FROM ({t.latest_sql(
+        f"ms > (SELECT max(ms) FROM ({t.FEED_SQL}) WHERE ms <= {MIDDLE} AND NOT avpublicerad)")})
+    WHERE avpublicerad
+"""
+
+
+@query("s4_compacted_import", f"""
+    SELECT 'ads' AS held_in, id, removed, timestamp, headline, occupation_id FROM ({IMPORTED})
+    UNION ALL SELECT 'deleted', id, true, timestamp, NULL, NULL FROM ({REMOVED_LATER})
+""")
+def compacted_import(spark, sf_dir):
+    """Both tables get a new base after each import; what they hold is what it was without."""
+    feed, given = import_feed(spark, sf_dir), inputs(spark, sf_dir)
+    root = fresh_path(spark, "folded")
+    main, deleted = f"{root}/ads", f"{root}/deleted"
+    for rows in (feed.where(F.col("uppdateradTid") <= MIDDLE), feed):
+        imports.incremental_import(spark, rows, main, deleted, given, fold_after=1)
+    gone = snapshots.read_current(spark, deleted).select(
+        F.lit("deleted").alias("held_in"), "id", "removed", "timestamp",
+        F.lit(None).cast("string").alias("headline"),
+        F.lit(None).cast("string").alias("occupation_id"))
+    return shown(snapshots.read_current(spark, main)).select(
+        F.lit("ads").alias("held_in"), "id", "removed", "timestamp", "headline", "occupation_id"
+    ).unionByName(gone)
+
+
+COUNTED_NAMES = ("read", "write", "stream", "deleted")
+
+
+@query("r4_publish_after_crash", f"""
+    WITH early AS ({t.latest_sql(f"ms <= {MIDDLE} AND NOT avpublicerad")}),
+    late AS ({t.latest_sql("NOT avpublicerad")}),
+    sizes AS (
+        SELECT 'stopped' AS step, count(c_custkey) AS n FROM early JOIN customer ON c_custkey = annonsId
+        UNION ALL SELECT 'published', count(c_custkey) FROM late JOIN customer ON c_custkey = annonsId)
+    SELECT step, name, CASE name WHEN 'deleted' THEN 0 ELSE n END AS documents
+    FROM sizes, (VALUES ('read'), ('write'), ('stream'), ('deleted')) v(name)
+""")
+def publish_after_crash(spark, sf_dir):
+    """A rebuild that stops with everything written but its commit moves none of the four names;
+    the commit then moves all."""
+    feed, given = import_feed(spark, sf_dir), inputs(spark, sf_dir)
+    root = fresh_path(spark, "commits")
+    prefix = "ads_" + root.rsplit("-", 1)[1]
+    early = feed.where(F.col("uppdateradTid") <= MIDDLE)
+    imports.full_rebuild(spark, early, root, prefix, dt.datetime(2024, 2, 1, 3, 0), given)
+    live, _ = imports.documents(f.feed_changes(feed, 0), None, given)
+    snapshots.write_base(live, f"{root}/next")
+    counts = [_documents_shown(spark, prefix, "stopped")]
+    snapshots.publish_snapshot(spark, prefix, f"{root}/next", f"{root}/{prefix}-deleted")
+    counts.append(_documents_shown(spark, prefix, "published"))
+    return counts[0].unionByName(counts[1])
+
+
+def _documents_shown(spark, prefix, step) -> DataFrame:
+    """Counted now: a name that is read later shows what it shows then."""
+    counts = [s.document_count(spark.table(f"{prefix}_{name}")).select(
+        F.lit(step).alias("step"), F.lit(name).alias("name"), "documents") for name in COUNTED_NAMES]
+    return materialise(functools.reduce(DataFrame.unionByName, counts), "shown")
+
+
+ENRICHED_BODY = """
+    to_json(named_struct(
+        'annonsId', c_custkey, 'annonsrubrik', {headline}, 'avpublicerad', false,
+        'annonstextFormaterad', '<p>' || c_mktsegment || '</p>',
+        'arbetsplatsId', '' || c_custkey, 'organisationsnummer', '' || c_nationkey,
+        'yrkesroll', named_struct('varde', 'C' || c_custkey),
+        'publiceringsdatum', '2024-01-01 00:00:00'))
+"""
+KEPT_TERMS = f"""
+    SELECT doc_id, string_agg(list || ':' || term, '|' ORDER BY list, term) AS terms FROM (
+        SELECT DISTINCT doc_id, list, lower(concept_label) AS term
+        FROM ({t.KEPT_CANDIDATES_SQL})) GROUP BY 1
+"""
+
+
+@query("r1_import_enriched", f"""
+    WITH first AS ({FIRST}),
+    later AS ({t.latest_sql(f"ms > (SELECT max(ms) FROM ({t.FEED_SQL}) WHERE ms <= {MIDDLE} AND NOT avpublicerad)")}),
+    merged AS (SELECT *, true AS again FROM later UNION ALL
+               SELECT *, false FROM first WHERE annonsId NOT IN (SELECT annonsId FROM later)),
+    answered AS (SELECT DISTINCT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey),
+    logos AS (SELECT c_custkey AS k, coalesce(
+        CASE WHEN s_suppkey > 0 AND s_acctbal > 5000 THEN 'logo/w/' || s_suppkey END,
+        'logo/o/' || p_partkey) AS url FROM customer
+        LEFT JOIN supplier ON s_suppkey = c_custkey
+        LEFT JOIN part ON p_partkey = c_nationkey AND p_type = 'SMALL')
+    SELECT CAST(m.annonsId AS VARCHAR) AS id, avpublicerad AS removed, ms AS timestamp,
+           CASE WHEN NOT avpublicerad THEN CASE WHEN again THEN '' ELSE 'old ' END || c_name END
+               AS headline,
+           CASE WHEN NOT avpublicerad THEN url END AS logo_url,
+           CASE WHEN NOT avpublicerad AND l_orderkey IS NOT NULL THEN coalesce(terms, '') END
+               AS enriched,
+           NOT avpublicerad AND l_orderkey IS NULL AS waiting
+    FROM merged m LEFT JOIN customer ON c_custkey = m.annonsId LEFT JOIN logos ON k = m.annonsId
+    LEFT JOIN answered ON l_orderkey = m.annonsId
+    LEFT JOIN ({KEPT_TERMS}) ON doc_id = CAST(m.annonsId AS VARCHAR)
+    WHERE avpublicerad OR c_custkey IS NOT NULL
+""")
+def import_enriched(spark, sf_dir):
+    """Ads with logos and enrichment. The answers for open orders land after the first import and
+    are patched in by the second; ads that changed have a second body by then."""
+    customer, orders = t.table(spark, sf_dir, "customer"), t.table(spark, sf_dir, "orders")
+    body = lambda headline, version: customer.select(
+        F.col("c_custkey").alias("annonsId"), F.lit(version).alias("version"),
+        F.expr(ENRICHED_BODY.format(headline=headline)).alias("body"))
+    supplier, part = t.table(spark, sf_dir, "supplier"), t.table(spark, sf_dir, "part")
+    logos = supplier.where("s_acctbal > 5000").select(
+        F.lit("workplace").alias("kind"), t.text("s_suppkey").alias("key"),
+        t.text("s_suppkey", "logo/w/").alias("url")).unionByName(
+            part.where("p_type = 'SMALL'").select(
+                F.lit("organisation").alias("kind"), t.text("p_partkey").alias("key"),
+                t.text("p_partkey", "logo/o/").alias("url")))
+    answers = t.candidates(spark, sf_dir)
+    early = answers.join(orders.where("o_orderstatus = 'F'").select(
+        t.text("o_orderkey").alias("doc_id")), "doc_id", "left_semi")
+    first = dataclasses.replace(inputs(spark, sf_dir), raw=body("'old ' || c_name", 1), logos=logos,
+                                candidates=early)
+    second = dataclasses.replace(first, raw=first.raw.unionByName(body("c_name", 2)),
+                                 candidates=answers)
+    feed, root = import_feed(spark, sf_dir), fresh_path(spark, "enriched")
+    main, deleted = f"{root}/ads", f"{root}/deleted"
+    for rows, given in ((feed.where(F.col("uppdateradTid") <= MIDDLE), first), (feed, second)):
+        imports.incremental_import(spark, rows, main, deleted, given)
+    lists = F.expr("concat({})".format(", ".join(
+        f"transform(keywords.enriched.{name}, x -> '{name}:' || x)"
+        for name in ("location", "occupation", "skill", "trait"))))
+    waiting = snapshots.read_current(spark, imports.ledger_path(main)).where("open").select(
+        "id", F.lit(True).alias("waiting"))
+    return lookup_join(snapshots.read_current(spark, main), waiting, "id").select(
+        "id", s.is_removed().alias("removed"), "timestamp", "headline", "logo_url",
+        F.array_join(lists, "|").alias("enriched"),
+        F.coalesce("waiting", F.lit(False)).alias("waiting"))

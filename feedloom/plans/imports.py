@@ -4,27 +4,26 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-import os
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedloom import settings
 from feedloom.functions.dates import lenient_timestamp
 from feedloom.operators.candidates import enrichment_attach
+from feedloom.operators.joins import small_side
 from feedloom.operators.snapshot import (
-    FILTER_TYPE, batch_dedup, is_removed, last_timestamp, missing_live_rows, route_tombstones,
-    size_gate, tombstone_enrich, tombstones)
+    FILTER_TYPE, batch_dedup, is_removed, missing_live_rows, route_tombstones, tombstone_enrich,
+    tombstones)
+from feedloom.plans.commits import Conflict, read_state
 from feedloom.plans.normalise import Taxonomy, normalise_ads
 from feedloom.plans.snapshots import (
-    batch_name, ensure_table, path_exists, publish_snapshot, published_path, read_current,
-    write_base, write_batch)
+    append, ensure_table, fold, holds, known_table, located, publish_snapshot, published_path,
+    read_current, read_part, table_state, write_base, write_batch, write_part)
 from feedloom.session import materialise
 from feedloom.sources.feed import (
     attach_raw, batch_rows, feed_changes, is_unpublished, logo_resolve, mask_ad, parse_raw)
-from feedloom.sources.landing import observed
 
 log = logging.getLogger(__name__)
 
@@ -91,35 +90,99 @@ def document_schemas(feed: DataFrame, inputs: Inputs):
 def ensure_tables(spark: SparkSession, feed: DataFrame, main: str, deleted: str,
                   inputs: Inputs) -> None:
     """Empty main and removed tables, where there are none."""
-    if path_exists(spark, f"{main}/batches") and path_exists(spark, f"{deleted}/batches"):
+    if table_state(spark, main) and table_state(spark, deleted):
         return
     main_schema, deleted_schema = document_schemas(feed, inputs)
     ensure_table(spark, main, main_schema)
     ensure_table(spark, deleted, deleted_schema)
 
 
-def cursor(snapshot: DataFrame, manual: int | None = None) -> int:
-    """Feed time to load from: the newest in the snapshot unless one is given."""
-    return last_timestamp(snapshot).first()[0] if manual is None else manual
+def cursor(spark: SparkSession, main: str, manual: int | None = None) -> int:
+    """Feed time to load from: the newest that a batch of the snapshot held, unless one is given.
+
+    The log knows it; no row is read.
+    """
+    if manual is not None:
+        return manual
+    table = table_state(spark, main)
+    return table.newest if table else 0
+
+
+# --- Ads without an answer of the enrichment ---
+
+LEDGER = "id string, timestamp bigint, open boolean"
+
+
+def ledger_path(main: str) -> str:
+    """The table of ads that wait for their enrichment, next to the ads."""
+    return f"{main}-pending"
+
+
+def ledger_rows(ads: DataFrame, waiting: DataFrame) -> DataFrame:
+    """What a batch changes in the ledger: ads without an answer are open, and those that were
+    open before and are answered or removed now are not."""
+    unanswered = ~is_removed() & F.col("keywords.enriched").isNull()
+    now = ads.select("id", "timestamp", unanswered.alias("open"))
+    known = waiting.where("open").select("id", F.lit(True).alias("known"))
+    return now.join(small_side(known), "id", "left").where("open OR known").select(
+        "id", "timestamp", "open")
+
+
+def attach_late_answers(spark: SparkSession, main: str, candidates: DataFrame) -> int:
+    """Enrich the ads that were imported before their answers landed; returns how many.
+
+    Only open ads of the ledger are looked up, in the answers first and then in the snapshot. The
+    patched ads and the closed entries are one commit. If an import changed the tables meanwhile,
+    the patch is made again from the newer ads, so that no older ad comes back.
+    """
+    ledger, (root, _) = ledger_path(main), located(main)
+    while True:
+        state = read_state(spark, root)
+        tables = {path: known_table(state, path) for path in (main, ledger)}
+        waiting = read_current(spark, ledger, state=state).where("open")
+        answered = candidates.select(F.col("doc_id").alias("id")).join(
+            small_side(waiting.select("id")), "id", "left_semi").distinct()
+        answered = materialise(answered, "answered")
+        ads = read_current(spark, main, state=state).join(small_side(answered), "id", "left_semi")
+        patched = write_part(enrichment_attach(ads, candidates), main, tables[main])
+        if not patched.rows:
+            return 0
+        rows = read_part(spark, patched, tables[main])
+        closed = write_part(ledger_rows(rows, waiting), ledger, tables[ledger])
+        try:
+            append(spark, [patched, closed], seen=state)
+        except Conflict:
+            continue
+        return patched.rows
 
 
 def load_batch(spark: SparkSession, feed: DataFrame, main: str, deleted: str, inputs: Inputs,
                writer: str | None = None, number: int = 0) -> dict[str, int]:
     """Import feed rows as one batch of a snapshot; returns counts taken as the batch is written.
 
-    A batch sees the snapshot as it was before it, so repeating it after a failure, as the same
-    number of the same writer, gives the same rows and replaces what it wrote. Without a writer the
-    batch is one of its own.
+    Ads, removed ads and the ledger of pending ones change in one commit: a run that stops before
+    it has changed nothing. Repeated after that, as the same number of the same writer, it finds
+    its batch there and does nothing. Without a writer the batch is one of its own.
     """
-    writer = writer or f"load-{uuid.uuid4().hex}"
-    batch = batch_name(spark, main, writer, number)
-    known = read_current(spark, main, before=batch)
-    main_rows, removed_rows = documents(feed, known, inputs)
-    write_batch(removed_rows, deleted, batch_name(spark, deleted, writer, number))
-    seen = Observation()
-    write_batch(observed(main_rows, seen, live=F.count_if(~is_removed())), main, batch)
-    log.info("batch %s of %s: %s", batch, main, seen.get)
-    return seen.get
+    if writer and holds(spark, main, writer, number):
+        log.info("batch %s of %s is there already", number, writer)
+        return {"imported": 0, "live": 0}
+    if inputs.candidates is not None:
+        ensure_table(spark, ledger_path(main), spark.createDataFrame([], LEDGER).schema)
+    state = read_state(spark, located(main)[0])
+    tables = {path: known_table(state, path) for path in (main, deleted)}
+    main_rows, removed_rows = documents(feed, read_current(spark, main, state=state), inputs)
+    ads = write_part(main_rows, main, tables[main], live_ads=F.count_if(~is_removed()))
+    written = [ads, write_part(removed_rows, deleted, tables[deleted])]
+    if inputs.candidates is not None:
+        ledger = ledger_path(main)
+        changed = ledger_rows(read_part(spark, ads, tables[main]),
+                              read_current(spark, ledger, state=state))
+        written.append(write_part(changed, ledger, known_table(state, ledger)))
+    append(spark, written, writer, number)
+    counts = {"imported": ads.rows, "live": ads.counts["live_ads"]}
+    log.info("batch %s of %s: %s", number, main, counts)
+    return counts
 
 
 def reconcile(load: Callable[[DataFrame], object], feed: DataFrame,
@@ -143,29 +206,37 @@ def reconcile(load: Callable[[DataFrame], object], feed: DataFrame,
 
 def incremental_import(spark: SparkSession, feed: DataFrame, main: str, deleted: str,
                        inputs: Inputs, manual_cursor: int | None = None,
-                       prefix: str | None = None) -> bool:
+                       prefix: str | None = None, fold_after: int = settings.FOLD_AFTER) -> bool:
     """Import what changed since the snapshot's newest row. False if the size gate fails.
 
     The gate compares with what is published under ``prefix``, or else with what was last
-    published from the folder that ``main`` lies in.
+    published from the folder that ``main`` lies in. Tables with ``fold_after`` batches get a new
+    base at the end.
     """
     ensure_tables(spark, feed, main, deleted, inputs)
-    since = cursor(read_current(spark, main), manual_cursor)
-    changed = feed_changes(feed, since)
+    changed = feed_changes(feed, cursor(spark, main, manual_cursor))
     reconcile(lambda rows: load_batch(spark, rows, main, deleted, inputs), changed,
               lambda: read_current(spark, main))
+    if inputs.candidates is not None:
+        attach_late_answers(spark, main, inputs.candidates)
+    for path in (main, deleted, ledger_path(main)):
+        if table_state(spark, path):
+            fold(spark, path, least=fold_after)
     return gate(spark, main, prefix)
 
 
 def gate(spark: SparkSession, main: str, prefix: str | None = None,
-         share: float = settings.NEW_SNAPSHOT_SHARE) -> bool:
-    """Size of a snapshot against the published one, which is noted next to the snapshots and so
-    known to later sessions. With nothing published yet it passes."""
-    live = published_path(spark, os.path.dirname(main), prefix)
+         share: float = settings.NEW_SNAPSHOT_SHARE, needed: bool = False) -> bool:
+    """Size of a snapshot against the published one, as the log has them: no row is read.
+
+    With nothing published yet it passes, unless a published one is ``needed``.
+    """
+    live = published_path(spark, located(main)[0], prefix)
     if live is None:
         log.warning("nothing is published next to %s, so its size is not checked", main)
-        return True
-    return size_gate(read_current(spark, main), read_current(spark, live), share).first()["passed"]
+        return not needed
+    state = read_state(spark, located(main)[0])
+    return known_table(state, main).documents >= known_table(state, live).live * share
 
 
 def version_name(prefix: str, at: dt.datetime) -> str:
@@ -182,12 +253,16 @@ def full_rebuild(spark: SparkSession, feed: DataFrame, root: str, prefix: str, a
     published = feed_changes(feed, 0)
 
     def load(rows: DataFrame) -> None:
-        if path_exists(spark, f"{main}/base"):
+        if table_state(spark, main):
             load_batch(spark, rows, main, deleted, inputs)
             return
         live, removed = documents(rows, None, inputs)
         ensure_table(spark, deleted, removed.schema)
         write_base(live, main)
+        if inputs.candidates is not None:
+            ledger = ledger_path(main)
+            ensure_table(spark, ledger, spark.createDataFrame([], LEDGER).schema)
+            write_batch(ledger_rows(read_current(spark, main), read_current(spark, ledger)), ledger)
 
     reconcile(load, published, lambda: read_current(spark, main))
     passed = gate(spark, main, prefix)

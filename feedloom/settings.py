@@ -66,7 +66,6 @@ REMOVED_TO_DATE = "2100-12-31"
 
 # A new snapshot must hold at least this share of the live ads of the current one.
 NEW_SNAPSHOT_SHARE = 0.8
-# Most ids returned for one exact timestamp.
 
 # Names of published views, by suffix.
 READ_SUFFIX = "_read"
@@ -103,6 +102,9 @@ LOCAL_ZONE = "Europe/Stockholm"
 
 # --- Tuning ---
 
+# Batches of a table after which an import folds them into a new base.
+FOLD_AFTER = 48
+
 # Largest planned size of a side that may be sent to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A key with this share of the rows is joined apart from the others where no side fits above.

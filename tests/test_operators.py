@@ -88,35 +88,13 @@ def test_a_shrunken_rebuild_is_not_published(spark):
     for name, size in (("old", 10), ("small", 7), ("new", 8)):
         snapshots.write_base(ads(size), f"{root}/{name}")
     assert imports.gate(spark, f"{root}/small", "gated")
-    snapshots.note_published(spark, f"{root}/old", "gated")
+    assert not imports.gate(spark, f"{root}/small", "gated", needed=True)
+    snapshots.show(spark, "gated", f"{root}/old", f"{root}/old")
     for prefix in ("gated", None):
         assert not imports.gate(spark, f"{root}/small", prefix)
         assert imports.gate(spark, f"{root}/new", prefix)
 
 
-def test_a_batch_written_again_replaces_itself_and_no_other_writer(spark):
-    path = fresh_path(spark, "t")
-    row = lambda i, v: spark.createDataFrame([(i, v)], "id string, v int")
-    write = lambda df, writer, n=0: snapshots.write_batch(
-        df, path, snapshots.batch_name(spark, path, writer, n))
-    snapshots.ensure_table(spark, path, row("a", 1).schema)
-    snapshots.write_base(row("a", 1), path)
-    write(row("a", 2), "one")
-    second = snapshots.batch_name(spark, path, "two")
-    before = snapshots.read_current(spark, path, before=second)
-    write(row("a", 3), "two")
-    write(before.withColumn("v", F.col("v") + 5), "two")
-    assert rows(snapshots.read_current(spark, path)) == [("a", 7)]
-    assert snapshots.batch_name(spark, path, "two") == second
-    write(row("b", 1), "two", 1)
-    write(row("c", 1), "three")
-    write(row("a", 0), "one")
-    assert rows(snapshots.read_current(spark, path)) == [("a", 7), ("b", 1), ("c", 1)]
-    snapshots.ensure_table(spark, path, before.schema)
-    with pytest.raises(FileExistsError):
-        snapshots.write_base(row("a", 1), path)
-
-
 def test_reconciling_ends_when_the_number_of_missing_ads_no_longer_falls(spark):
     feed = spark.createDataFrame([(i, False, 1, None) for i in range(25)], f.FEED_SCHEMA)
     held: list[int] = []
