@@ -13,7 +13,7 @@ from feedloom.lens import tables as t
 from feedloom.lens.feeds import MIDDLE
 from feedloom.lens.lookups import EQUIVALENT_SQL
 from feedloom.lens.registry import query
-from feedloom.lens.texts import DATE_TEXT, RUN_DATE
+from feedloom.lens.texts import DATE_TEXT, RUN_DATE, TYPEAHEAD_SQL
 from feedloom.operators import snapshot as s
 from feedloom.operators.joins import lookup_join
 from feedloom.operators.keywords import keyword_rows
@@ -73,11 +73,10 @@ def parsed(spark, sf_dir) -> DataFrame:
 
 
 def normalised(spark, sf_dir) -> DataFrame:
-    """Concepts and typed ads are stored first, as they would be."""
+    """Concepts are stored first, as they would be."""
     concepts = materialise(t.concepts(spark, sf_dir), "concepts")
     pairs = t.skill_pairs(spark, sf_dir).unionByName(t.occupation_pairs(spark, sf_dir))
-    typed = materialise(parsed(spark, sf_dir), "typed-ads")
-    return n.normalise_ads(typed, n.prepare_taxonomy(concepts, pairs), RUN_DATE)
+    return n.normalise_ads(parsed(spark, sf_dir), n.prepare_taxonomy(concepts, pairs), RUN_DATE)
 
 
 JOINED = """
@@ -506,6 +505,19 @@ KEPT_TERMS = f"""
 def import_enriched(spark, sf_dir):
     """Ads with logos and enrichment. The answers for open orders land after the first import and
     are patched in by the second; ads that changed have a second body by then."""
+    main = _enriched_import(spark, sf_dir)
+    lists = F.expr("concat({})".format(", ".join(
+        f"transform(keywords.enriched.{name}, x -> '{name}:' || x)"
+        for name in ("location", "occupation", "skill", "trait"))))
+    waiting = snapshots.read_current(spark, imports.ledger_path(main)).where("open").select(
+        "id", F.lit(True).alias("waiting"))
+    return lookup_join(snapshots.read_current(spark, main), waiting, "id").select(
+        "id", s.is_removed().alias("removed"), "timestamp", "headline", "logo_url",
+        F.array_join(lists, "|").alias("enriched"),
+        F.coalesce("waiting", F.lit(False)).alias("waiting"))
+
+
+def _enriched_import(spark, sf_dir, **options) -> str:
     customer, orders = t.table(spark, sf_dir, "customer"), t.table(spark, sf_dir, "orders")
     body = lambda headline, version: customer.select(
         F.col("c_custkey").alias("annonsId"), F.lit(version).alias("version"),
@@ -527,13 +539,17 @@ def import_enriched(spark, sf_dir):
     feed, root = import_feed(spark, sf_dir), fresh_path(spark, "enriched")
     main, deleted = f"{root}/ads", f"{root}/deleted"
     for rows, given in ((feed.where(F.col("uppdateradTid") <= MIDDLE), first), (feed, second)):
-        imports.incremental_import(spark, rows, main, deleted, given)
-    lists = F.expr("concat({})".format(", ".join(
-        f"transform(keywords.enriched.{name}, x -> '{name}:' || x)"
-        for name in ("location", "occupation", "skill", "trait"))))
-    waiting = snapshots.read_current(spark, imports.ledger_path(main)).where("open").select(
-        "id", F.lit(True).alias("waiting"))
-    return lookup_join(snapshots.read_current(spark, main), waiting, "id").select(
-        "id", s.is_removed().alias("removed"), "timestamp", "headline", "logo_url",
-        F.array_join(lists, "|").alias("enriched"),
-        F.coalesce("waiting", F.lit(False)).alias("waiting"))
+        imports.incremental_import(spark, rows, main, deleted, given, **options)
+    return main
+
+
+@query("t9_dictionary_by_batches", f"""
+    WITH ads AS (SELECT id FROM ({IMPORTED}) WHERE NOT removed)
+    SELECT list, term, count(*) AS documents FROM ({TYPEAHEAD_SQL}) JOIN ads ON id = doc_id
+    GROUP BY 1, 2
+""")
+def dictionary_by_batches(spark, sf_dir):
+    """Each batch takes back the terms of the ads it replaces and adds those of its own; a late
+    answer adds its terms when it is patched in. The sums are what counting all ads gives."""
+    main = _enriched_import(spark, sf_dir, fold_after=2)
+    return snapshots.read_current(spark, imports.dictionary_path(main))

@@ -16,10 +16,10 @@ from feedloom.operators.joins import small_side
 from feedloom.operators.snapshot import (
     FILTER_TYPE, batch_dedup, is_removed, missing_live_rows, route_tombstones, tombstone_enrich,
     tombstones)
-from feedloom.plans.commits import Conflict, read_state
+from feedloom.plans.commits import Conflict, State, read_state
 from feedloom.plans.normalise import Taxonomy, normalise_ads
 from feedloom.plans.snapshots import (
-    append, ensure_table, fold, holds, known_table, located, publish_snapshot, published_path,
+    Written, append, ensure_table, fold, holds, known_table, located, publish_snapshot, published_path,
     read_current, read_part, table_state, write_base, write_batch, write_part)
 from feedloom.session import materialise
 from feedloom.sources.feed import (
@@ -43,8 +43,8 @@ class Inputs:
 def live_documents(batch: DataFrame, inputs: Inputs, store: bool = True) -> DataFrame:
     """Normalised, enriched ads of the live rows of a batch (one row per id).
 
-    The typed ads are stored, so that JSON is parsed once and later steps read the columns they
-    need. ``store=False`` runs no job, for a look at the schema.
+    Where ads are read twice (see ``normalise_ads``) the typed ads are stored, so that JSON is
+    parsed once. ``store=False`` runs no job, for a look at the schema.
     """
     raw = parse_raw(attach_raw(batch, inputs.raw))
     raw = raw.select(F.col("annonsId").cast("string").alias("id"), "given", F.col("ad")
@@ -54,7 +54,9 @@ def live_documents(batch: DataFrame, inputs: Inputs, store: bool = True) -> Data
                            F.col("ad.organisationsnummer"))
         raw = raw.withColumn("ad", F.col("ad").withField("logo_url", F.col("logo_url"))).drop(
             "logo_url")
-    typed = materialise(mask_ad(raw), "typed-ads") if store else mask_ad(raw)
+    typed = mask_ad(raw)
+    if store and inputs.taxonomy.in_place is None:
+        typed = materialise(typed, "typed-ads")
     ads = normalise_ads(typed, inputs.taxonomy, inputs.run_date)
     if inputs.candidates is not None:
         ads = enrichment_attach(ads, inputs.candidates)
@@ -128,29 +130,78 @@ def ledger_rows(ads: DataFrame, waiting: DataFrame) -> DataFrame:
         "id", "timestamp", "open")
 
 
+# --- Type-ahead dictionary ---
+
+DICTIONARY = "list string, term string, documents bigint"
+
+
+def dictionary_path(main: str) -> str:
+    """The table of type-ahead terms and the ads that hold them, next to the ads."""
+    return f"{main}-terms"
+
+
+def ad_terms(ads: DataFrame) -> DataFrame:
+    """(list, term) of each ad's type-ahead terms; removed and unanswered ads have none."""
+    lists = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("list"), F.col(f"keywords.enriched_typeahead_terms.{name}")
+                 .alias("terms")) for name in settings.KEYWORD_LISTS.values()]))
+    return ads.select(lists.alias("l")).select("l.list", F.explode("l.terms").alias("term"))
+
+
+def term_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What replacing ads changes in the dictionary: the old ones take their terms back."""
+    both = ad_terms(before).withColumn("documents", F.lit(-1).cast("long")).unionByName(
+        ad_terms(after).withColumn("documents", F.lit(1).cast("long")))
+    return both.groupBy("list", "term").agg(F.sum("documents").alias("documents")).where(
+        "documents <> 0")
+
+
+def ensure_side_tables(spark: SparkSession, main: str) -> None:
+    ensure_table(spark, ledger_path(main), spark.createDataFrame([], LEDGER).schema)
+    ensure_table(spark, dictionary_path(main), spark.createDataFrame([], DICTIONARY).schema,
+                 ("documents",))
+
+
+def side_parts(spark: SparkSession, state: State, main: str, ads: Written, replaced: DataFrame
+               ) -> list[Written]:
+    """Parts of the ledger and the dictionary that belong to a written part of ads.
+
+    ``replaced`` holds the ads that it replaces.
+    """
+    rows = read_part(spark, ads, known_table(state, main))
+    ledger, terms = ledger_path(main), dictionary_path(main)
+    waiting = read_current(spark, ledger, state=state)
+    return [write_part(ledger_rows(rows, waiting), ledger, known_table(state, ledger)),
+            write_part(term_changes(replaced, rows), terms, known_table(state, terms))]
+
+
+def replaced_ads(spark: SparkSession, state: State, main: str, ads: Written) -> DataFrame:
+    """The current ads that a written part replaces, found in the range of its keys."""
+    own = read_part(spark, ads, known_table(state, main)).select("id")
+    return read_current(spark, main, state=state).where(
+        F.col("id").between(ads.least, ads.most)).join(small_side(own), "id", "left_semi")
+
+
 def attach_late_answers(spark: SparkSession, main: str, candidates: DataFrame) -> int:
     """Enrich the ads that were imported before their answers landed; returns how many.
 
     Only open ads of the ledger are looked up, in the answers first and then in the snapshot. The
-    patched ads and the closed entries are one commit. If an import changed the tables meanwhile,
-    the patch is made again from the newer ads, so that no older ad comes back.
+    patched ads, the closed entries and their terms are one commit. If an import changed the tables
+    meanwhile, the patch is made again from the newer ads, so that no older ad comes back.
     """
-    ledger, (root, _) = ledger_path(main), located(main)
     while True:
-        state = read_state(spark, root)
-        tables = {path: known_table(state, path) for path in (main, ledger)}
-        waiting = read_current(spark, ledger, state=state).where("open")
+        state = read_state(spark, located(main)[0])
+        waiting = read_current(spark, ledger_path(main), state=state).where("open")
         answered = candidates.select(F.col("doc_id").alias("id")).join(
             small_side(waiting.select("id")), "id", "left_semi").distinct()
         answered = materialise(answered, "answered")
         ads = read_current(spark, main, state=state).join(small_side(answered), "id", "left_semi")
-        patched = write_part(enrichment_attach(ads, candidates), main, tables[main])
+        patched = write_part(enrichment_attach(ads, candidates), main, known_table(state, main))
         if not patched.rows:
             return 0
-        rows = read_part(spark, patched, tables[main])
-        closed = write_part(ledger_rows(rows, waiting), ledger, tables[ledger])
+        written = [patched, *side_parts(spark, state, main, patched, ads)]
         try:
-            append(spark, [patched, closed], seen=state)
+            append(spark, written, seen=state)
         except Conflict:
             continue
         return patched.rows
@@ -160,29 +211,33 @@ def load_batch(spark: SparkSession, feed: DataFrame, main: str, deleted: str, in
                writer: str | None = None, number: int = 0) -> dict[str, int]:
     """Import feed rows as one batch of a snapshot; returns counts taken as the batch is written.
 
-    Ads, removed ads and the ledger of pending ones change in one commit: a run that stops before
-    it has changed nothing. Repeated after that, as the same number of the same writer, it finds
-    its batch there and does nothing. Without a writer the batch is one of its own.
+    Ads, removed ads, the ledger of pending ones and the dictionary change in one commit: a run
+    that stops before it has changed nothing. Repeated after that, as the same number of the same
+    writer, it finds its batch there and does nothing. Without a writer the batch is one of its
+    own. What a batch changes in the dictionary depends on the ads it replaces, so with candidates
+    it is made again if another writer was faster.
     """
     if writer and holds(spark, main, writer, number):
         log.info("batch %s of %s is there already", number, writer)
         return {"imported": 0, "live": 0}
     if inputs.candidates is not None:
-        ensure_table(spark, ledger_path(main), spark.createDataFrame([], LEDGER).schema)
-    state = read_state(spark, located(main)[0])
-    tables = {path: known_table(state, path) for path in (main, deleted)}
-    main_rows, removed_rows = documents(feed, read_current(spark, main, state=state), inputs)
-    ads = write_part(main_rows, main, tables[main], live_ads=F.count_if(~is_removed()))
-    written = [ads, write_part(removed_rows, deleted, tables[deleted])]
-    if inputs.candidates is not None:
-        ledger = ledger_path(main)
-        changed = ledger_rows(read_part(spark, ads, tables[main]),
-                              read_current(spark, ledger, state=state))
-        written.append(write_part(changed, ledger, known_table(state, ledger)))
-    append(spark, written, writer, number)
-    counts = {"imported": ads.rows, "live": ads.counts["live_ads"]}
-    log.info("batch %s of %s: %s", number, main, counts)
-    return counts
+        ensure_side_tables(spark, main)
+    while True:
+        state = read_state(spark, located(main)[0])
+        main_rows, removed_rows = documents(feed, read_current(spark, main, state=state), inputs)
+        ads = write_part(main_rows, main, known_table(state, main),
+                         live_ads=F.count_if(~is_removed()))
+        written = [ads, write_part(removed_rows, deleted, known_table(state, deleted))]
+        if inputs.candidates is not None:
+            written += side_parts(spark, state, main, ads, replaced_ads(spark, state, main, ads))
+        try:
+            append(spark, written, writer, number,
+                   seen=None if inputs.candidates is None else state)
+        except Conflict:
+            continue
+        counts = {"imported": ads.rows, "live": ads.counts["live_ads"]}
+        log.info("batch %s of %s: %s", number, main, counts)
+        return counts
 
 
 def reconcile(load: Callable[[DataFrame], object], feed: DataFrame,
@@ -219,7 +274,7 @@ def incremental_import(spark: SparkSession, feed: DataFrame, main: str, deleted:
               lambda: read_current(spark, main))
     if inputs.candidates is not None:
         attach_late_answers(spark, main, inputs.candidates)
-    for path in (main, deleted, ledger_path(main)):
+    for path in (main, deleted, ledger_path(main), dictionary_path(main)):
         if table_state(spark, path):
             fold(spark, path, least=fold_after)
     return gate(spark, main, prefix)
@@ -260,9 +315,10 @@ def full_rebuild(spark: SparkSession, feed: DataFrame, root: str, prefix: str, a
         ensure_table(spark, deleted, removed.schema)
         write_base(live, main)
         if inputs.candidates is not None:
-            ledger = ledger_path(main)
-            ensure_table(spark, ledger, spark.createDataFrame([], LEDGER).schema)
-            write_batch(ledger_rows(read_current(spark, main), read_current(spark, ledger)), ledger)
+            ensure_side_tables(spark, main)
+            ads = read_current(spark, main)
+            write_batch(ledger_rows(ads, read_current(spark, ledger_path(main))), ledger_path(main))
+            write_batch(term_changes(ads.limit(0), ads), dictionary_path(main))
 
     reconcile(load, published, lambda: read_current(spark, main))
     passed = gate(spark, main, prefix)

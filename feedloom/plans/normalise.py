@@ -1,7 +1,8 @@
 """From raw ads to normalised ads.
 
-Every coded value of every slot becomes one row of a mention table, which is resolved with one
-join and folded back per ad. An ad is one document, so what is folded is bounded by the document.
+All coded values of all slots of an ad are one array of mentions. It is resolved where it stands
+against a table of codes whose size is checked, or beyond that bound with one join of a row per
+mention, folded back per ad. An ad is one document, so what is folded is bounded by the document.
 ``id`` must be unique (``batch_dedup`` before).
 """
 
@@ -18,7 +19,7 @@ from feedloom.functions.html import clean_html
 from feedloom.functions.requirements import (
     contacts, coordinate, experience_required, scope_default)
 from feedloom.functions.text import null_if_empty, null_safe, remote_work
-from feedloom.operators.joins import lookup_join
+from feedloom.operators.joins import lookup_join, planned_bytes
 from feedloom.operators.keywords import with_keywords
 from feedloom.operators.lookup import lookup_table
 from feedloom.operators.replacements import equivalents, occupation_cards
@@ -45,6 +46,8 @@ WEIGHTED_LISTS = {
     "work_experiences": ("yrkeserfarenheter", "yrkesroll"),
 }
 SIDES = ("must_have", "nice_to_have")
+# Codes that are compared one by one once the hash has led to them, about.
+CODES_PER_BUCKET = 4
 
 
 def _empty(element: str) -> str:
@@ -96,7 +99,43 @@ def mention_table(concepts: DataFrame, pairs: DataFrame) -> DataFrame:
         lambda x: x["e"]).alias("equivalents")).withColumn("lookup_type", F.lit("skill"))
     table = lookup_table(concepts).join(
         swaps.withColumnRenamed("for_id", "concept_id"), ["lookup_type", "concept_id"], "left")
-    return materialise(table, "mention-table")
+    return materialise(table.select(
+        "lookup_type", "concept_id", F.col("entry").cast(CONCEPT).alias("entry"),
+        F.coalesce("equivalents", F.expr(_empty(WEIGHTED))).alias("equivalents")), "mention-table")
+
+
+def _bucket(type_: str, value: str, buckets: int) -> str:
+    return f"int(pmod(xxhash64({type_}, {value}), {buckets}))"
+
+
+def code_table(table: DataFrame, limit: int | None = None) -> CodeTable | None:
+    """The mention table as one value: an array of small maps, in which a code is found by its hash.
+
+    None if the written table is larger than ``limit``; mentions are joined then.
+    """
+    size = planned_bytes(table)
+    if size is None or size > (settings.IN_PLACE_BYTES if limit is None else limit):
+        return None
+    buckets = max(1, table.count() // CODES_PER_BUCKET)
+    spark = table.sparkSession
+    filled = table.where("lookup_type IS NOT NULL AND concept_id IS NOT NULL").groupBy(
+        F.expr(_bucket("lookup_type", "concept_id", buckets)).alias("bucket")).agg(
+        F.map_from_entries(F.collect_list(F.struct(
+            F.struct("lookup_type", "concept_id").alias("key"),
+            F.struct("entry", "equivalents").alias("value")))).alias("codes"))
+    every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(
+        filled, "bucket", "left")
+    # One row, of a size that was checked above. Maps have no order: sort by the number alone.
+    whole = every.agg(F.transform(F.array_sort(
+        F.collect_list(F.struct("bucket", "codes")),
+        lambda x, y: x["bucket"] - y["bucket"]), lambda x: x["codes"]).alias("codes"))
+    return CodeTable(materialise(whole, "code-table"), buckets)
+
+
+@dataclass
+class CodeTable:
+    codes: DataFrame
+    buckets: int
 
 
 @dataclass
@@ -105,11 +144,13 @@ class Taxonomy:
 
     cards: DataFrame
     mentions: DataFrame
+    in_place: CodeTable | None = None
 
 
-def prepare_taxonomy(concepts: DataFrame, pairs: DataFrame) -> Taxonomy:
+def prepare_taxonomy(concepts: DataFrame, pairs: DataFrame, limit: int | None = None) -> Taxonomy:
     cards = occupation_cards(concepts, pairs, settings.SLOT_TYPES["yrkesroll"])
-    return Taxonomy(materialise(cards, "occupation-cards"), mention_table(concepts, pairs))
+    mentions = mention_table(concepts, pairs)
+    return Taxonomy(materialise(cards, "occupation-cards"), mentions, code_table(mentions, limit))
 
 
 # Slots with several values; the others hold one.
@@ -121,24 +162,42 @@ def _found(slot: str) -> str:
     return "found_" + slot.replace(".", "_")
 
 
-def resolve_mentions(ads: DataFrame, table: DataFrame, limit: int | None = None) -> DataFrame:
-    """``id`` and a column per slot: the entry of a single value, else the resolved mentions in
-    order of position. A slot nobody asks for is never gathered.
+def _looked_up(ads: DataFrame, table: CodeTable) -> DataFrame:
+    """``ads`` with the array ``mentions``, resolved where it stands: nothing is moved."""
+    where = _bucket("m.lookup_type", "m.concept_id", table.buckets)
+    known = (f"element_at(get(codes, {where}), named_struct('lookup_type', m.lookup_type, "
+             "'concept_id', m.concept_id))")
+    answered = (f"transform(transform({mentions_sql()}, m -> struct(m, {known} AS k)), x -> "
+                "named_struct('slot', x.m.slot, 'weight', x.m.weight, 'entry', x.k.entry, "
+                f"'equivalents', coalesce(x.k.equivalents, {_empty(WEIGHTED)})))")
+    return ads.withColumn("codes", table.codes.scalar()).withColumn(
+        "mentions", F.expr(answered)).drop("codes")
 
-    Equivalents of skills come along with the skill they belong to.
-    """
-    rows = ads.select("id", F.inline(F.expr(mentions_sql()))).where("concept_id IS NOT NULL OR "
-                                                                    "slot LIKE '%.%'")
+
+def _joined(ads: DataFrame, table: DataFrame, limit: int | None) -> DataFrame:
+    """The same by a join: a row per mention, one join, and one list per ad."""
+    rows = ads.select("id", F.posexplode(F.expr(mentions_sql())).alias("nth", "m")).select(
+        "id", "nth", "m.slot", "m.weight", "m.lookup_type", "m.concept_id").where(
+        "concept_id IS NOT NULL OR slot LIKE '%.%'")
     found = lookup_join(rows, table, ["lookup_type", "concept_id"], "left", limit)
-    entry = F.col("entry").cast(CONCEPT)
-    mention = F.struct("pos", entry.alias("entry"), "weight", F.coalesce(
+    mention = F.struct("nth", "slot", "weight", "entry", F.coalesce(
         "equivalents", F.expr(_empty(WEIGHTED))).alias("equivalents"))
-    here = lambda slot, value: F.when(F.col("slot") == slot, value)
-    return found.groupBy("id").agg(
-        *[F.first(here(slot, entry), ignorenulls=True).alias(_found(slot))
-          for slot in (*CODED, *PLACES)],
-        *[F.array_sort(F.collect_list(here(slot, mention))).alias(_found(slot))
-          for slot in LISTED])
+    listed = found.groupBy("id").agg(F.array_sort(F.collect_list(mention)).alias("mentions"))
+    return ads.join(listed, "id", "left")
+
+
+def resolve_mentions(ads: DataFrame, taxonomy: Taxonomy, limit: int | None = None) -> DataFrame:
+    """``ads`` with a column per slot: the entry of a single value, else the resolved mentions in
+    order of position. A slot nobody asks for is never cut out.
+
+    Equivalents of skills come along with the skill they belong to.
+    """
+    known = _joined(ads, taxonomy.mentions, limit) if taxonomy.in_place is None else _looked_up(
+        ads, taxonomy.in_place)
+    here = lambda slot: f"filter(mentions, m -> m.slot = '{slot}')"
+    return known.withColumns({
+        **{_found(slot): F.expr(f"get({here(slot)}, 0).entry") for slot in (*CODED, *PLACES)},
+        **{_found(slot): F.expr(here(slot)) for slot in LISTED}}).drop("mentions")
 
 
 def _weighted(slot: str) -> str:
@@ -190,7 +249,8 @@ def normalise_ads(raw: DataFrame, taxonomy: Taxonomy, run_date: dt.date,
                   limit: int | None = None) -> DataFrame:
     """Normalised ads of parsed raw ads (``id, ad, given`` and, for tombstones, a filter).
 
-    ``raw`` is read twice, once for the coded values alone: store it parsed where that is costly.
+    Where the taxonomy's codes fit the measured bound, ``raw`` is read once and no ad is moved.
+    Beyond it the coded values become rows: ``raw`` is then read twice, so store it parsed.
     """
     if "removed_ad_filter" not in raw.columns:
         raw = raw.withColumn("removed_ad_filter", F.lit(None).cast(FILTER_TYPE))
@@ -205,7 +265,7 @@ def normalise_ads(raw: DataFrame, taxonomy: Taxonomy, run_date: dt.date,
         "last_publication_date": lenient_timestamp(ad["sistaPubliceringsdatum"], run_date),
         "removed_date": lenient_timestamp(ad["avpubliceringsdatum"], run_date),
     })
-    ads = ads.join(resolve_mentions(raw, taxonomy.mentions, limit), "id", "left")
+    ads = resolve_mentions(ads, taxonomy, limit)
     given = F.col("given")
     hours = ad["arbetstidTyp"]["varde"]
     least, most = scope_default(hours)

@@ -12,6 +12,7 @@ the log, and moves when the log does.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import json
 import time
@@ -72,14 +73,16 @@ def parts_folder(path: str, table: Table) -> str:
     return f"{located(path)[0]}/{PARTS}/{digest}"
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> str:
-    """An empty table, where there is none yet."""
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
+                 adds: tuple[str, ...] = ()) -> str:
+    """An empty table, where there is none yet. Its batches replace rows by key, or, where columns
+    are named that it ``adds``, hold differences that are summed by the other columns."""
     root, name = located(path)
 
     def change(state: State):
         if name in state.tables:
             return False
-        state.tables[name] = Table(_nullable(schema).json())
+        state.tables[name] = Table(_nullable(schema).json(), adds=list(adds))
 
     commits.commit(spark, root, change)
     return path
@@ -107,9 +110,10 @@ def write_part(df: DataFrame, path: str, table: Table, key: str = "id", **counts
     wanted = columns_of(table)
     part = f"p-{uuid.uuid4().hex}"
     time_ = F.col("timestamp") if "timestamp" in df.columns else F.lit(0)
+    key_ = F.lit(None) if table.adds else F.col(key)
     measured = df.observe(
         seen, F.count(F.lit(1)).alias("rows"), _live(df.columns).alias("live"),
-        F.max(time_).alias("newest"), F.min(key).alias("least"), F.max(key).alias("most"),
+        F.max(time_).alias("newest"), F.min(key_).alias("least"), F.max(key_).alias("most"),
         *[c.alias(n) for n, c in counts.items()])
     measured.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted.fields]
                     ).write.parquet(f"{parts_folder(path, table)}/part={part}")
@@ -128,10 +132,10 @@ def read_part(spark: SparkSession, written: Written, table: Table) -> DataFrame:
     return _parts(spark, written.path, table, [written.part]).drop("part")
 
 
-def _replaced(spark: SparkSession, state: State, table: Table, written: Written, key: str
-              ) -> tuple[int, int]:
+def _replaced(spark: SparkSession, state: State, written: Written, key: str) -> tuple[int, int]:
     """Current rows that a part replaces, and how many of them are live. Only the range of keys
     that the part has is read, and only the key and the mark of removal."""
+    table = known_table(state, written.path)
     if not written.rows or not table.parts:
         return 0, 0
     own = read_part(spark, written, table).select(key)
@@ -154,17 +158,20 @@ def append(spark: SparkSession, written: list[Written], writer: str | None = Non
         tables = [known_table(state, one.path) for one in written]
         if writer and all(t.writers.get(writer, -1) >= number for t in tables):
             return False
+        before = copy.deepcopy(state)
         for one, table in zip(written, tables):
             if seen is not None and table.parts != known_table(seen, one.path).parts:
                 raise Conflict(f"{one.path} was changed meanwhile")
-            rows, live = _replaced(spark, state, table, one, key)
             if one.rows:
                 table.parts.append(Part(one.part, "batch"))
+            if writer:
+                table.writers[writer] = number
+            if table.adds:
+                continue
+            rows, live = _replaced(spark, before, one, key)
             table.documents += one.rows - rows
             table.live += one.live - live
             table.newest = max(table.newest, one.newest)
-            if writer:
-                table.writers[writer] = number
 
     return commits.commit(spark, root, change)
 
@@ -209,7 +216,8 @@ def fold(spark: SparkSession, path: str, key: str = "id", least: int = 1) -> boo
     table = known_table(state, path)
     if len(table.names("batch")) < least:
         return False
-    rows = read_current(spark, path, key, state).repartitionByRange(key).sortWithinPartitions(key)
+    order = [f for f in columns_of(table).fieldNames() if f not in table.adds] if table.adds else [key]
+    rows = read_current(spark, path, key, state).repartitionByRange(*order).sortWithinPartitions(*order)
     written = write_part(rows, path, table, key)
 
     def change(newer: State):
@@ -268,6 +276,11 @@ def read_current(spark: SparkSession, path: str, key: str = "id",
     """The rows that count, now or in an earlier state."""
     state = state or commits.read_state(spark, located(path)[0])
     table = known_table(state, path)
+    if table.adds:
+        parts = _parts(spark, path, table, [part.name for part in table.parts]).drop("part")
+        sums = parts.groupBy(*[c for c in parts.columns if c not in table.adds]).agg(
+            *[F.sum(c).alias(c) for c in table.adds])
+        return sums.where(" OR ".join(f"`{c}` <> 0" for c in table.adds)).select(*parts.columns)
     base = _parts(spark, path, table, table.names("base")).drop("part")
     newer = table.names("batch")
     if not newer:

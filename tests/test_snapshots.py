@@ -5,7 +5,7 @@ import json
 import pytest
 
 from feedloom.plans import commits, imports, normalise as n, snapshots
-from feedloom.plans.commits import Conflict, Part
+from feedloom.plans.commits import Conflict
 from feedloom.session import fresh_path
 from feedloom.sources import feed as f
 from pyspark.sql import functions as F
@@ -371,6 +371,63 @@ def test_a_patch_never_brings_back_an_older_ad(spark, concepts, pairs, monkeypat
     assert waiting(spark, main) == ["3"]
 
 
+def test_differences_are_summed_and_folded(spark):
+    path = fresh_path(spark, "sums") + "/terms"
+    counts = lambda *data: spark.createDataFrame(data, imports.DICTIONARY)
+    snapshots.ensure_table(spark, path, counts().schema, ("documents",))
+    for data in ([("a", "x", 2), ("a", "y", 1)], [("a", "x", 3), ("a", "y", -1)], [("b", None, 5)]):
+        snapshots.write_batch(counts(*data), path)
+    want = [("a", "x", 5), ("b", None, 5)]
+    assert rows(snapshots.read_current(spark, path)) == want
+    assert snapshots.fold(spark, path) and rows(snapshots.read_current(spark, path)) == want
+    snapshots.write_batch(counts(("a", "x", -5)), path)
+    assert rows(snapshots.read_current(spark, path)) == want[1:]
+    assert len(snapshots.table_state(spark, path).parts) == 2
+
+
+def dictionary(spark, main):
+    return rows(snapshots.read_current(spark, imports.dictionary_path(main)))
+
+
+def counted(spark, main):
+    return rows(imports.ad_terms(snapshots.read_current(spark, main)).groupBy("list", "term").count())
+
+
+def test_the_dictionary_follows_every_batch(spark, concepts, pairs):  # noqa: F811
+    given, (first, second) = ads_and_feeds(spark, concepts, pairs, candidates=answers(spark, 1, 2))
+    root = fresh_path(spark, "terms")
+    main, deleted = f"{root}/ads", f"{root}/deleted"
+    imports.incremental_import(spark, first, main, deleted, given)
+    assert dictionary(spark, main) == counted(spark, main) == [
+        ("skill", "skill 1", 1), ("skill", "skill 2", 1), ("skill", "t", 2)]
+    imports.incremental_import(spark, second, main, deleted, given, fold_after=1)
+    assert dictionary(spark, main) == counted(spark, main) == [
+        ("skill", "skill 2", 1), ("skill", "t", 1)]
+    imports.attach_late_answers(spark, main, answers(spark, 3))
+    assert dictionary(spark, main) == counted(spark, main) == [
+        ("skill", "skill 2", 1), ("skill", "skill 3", 1), ("skill", "t", 2)]
+
+
+def test_the_dictionary_holds_whichever_of_two_writers_is_faster(
+        spark, concepts, pairs, monkeypatch):  # noqa: F811
+    given, (first, second) = ads_and_feeds(spark, concepts, pairs, candidates=answers(spark, 1, 2, 3))
+    root = fresh_path(spark, "terms")
+    main, deleted = f"{root}/ads", f"{root}/deleted"
+    imports.incremental_import(spark, first, main, deleted, given)
+    append, turns = imports.append, []
+
+    def overtaken(*args, **named):
+        if not turns:
+            turns.append(1)
+            imports.load_batch(spark, second.where("annonsId = 2"), main, deleted, given)
+        return append(*args, **named)
+
+    monkeypatch.setattr(imports, "append", overtaken)
+    imports.load_batch(spark, second, main, deleted, given)
+    assert dictionary(spark, main) == counted(spark, main)
+    assert [r for r in dictionary(spark, main) if r[1] == "t"] == [("skill", "t", 2)]
+
+
 def test_saved_ads_become_a_snapshot(spark, concepts, pairs):  # noqa: F811
     given, (first, second) = ads_and_feeds(spark, concepts, pairs)
     root = fresh_path(spark, "saved")
@@ -382,4 +439,3 @@ def test_saved_ads_become_a_snapshot(spark, concepts, pairs):  # noqa: F811
     assert rows(snapshots.read_current(spark, f"{root}/ads").select("id", "timestamp")) == [
         ("1", 10), ("2", 22), ("3", 21)]
     assert snapshots.table_state(spark, f"{root}/ads").parts[0].kind == "base"
-    assert Part("x", "base") == Part("x", "base")
