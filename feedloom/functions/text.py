@@ -91,23 +91,48 @@ def shortest_first(names: Column) -> Column:
         F.length(x).alias("size"), i.alias("at"), x.alias("name"))))
 
 
+def named(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def employer_names(names: Column) -> Column:
     """The shortest company name and every other one that does not start with it."""
     given = F.filter(null_safe(names, F.array().cast("array<string>")), lambda x: x.isNotNull())
-    ranked = shortest_first(F.transform(given, company_name))
-    first = F.get(ranked, F.lit(0))
-    kept = F.filter(ranked, lambda r: (r["at"] == first["at"]) | (
-        (r["name"] != "") & ~F.startswith(r["name"], first["name"])))
-    return F.transform(kept, lambda r: r["name"])
 
+    def kept(ranked: Column) -> Column:
+        first = F.get(ranked, F.lit(0))
+        others = F.filter(ranked, lambda r: (r["at"] == first["at"]) | (
+            (r["name"] != "") & ~F.startswith(r["name"], first["name"])))
+        return F.transform(others, lambda r: r["name"])
 
-def label_split(label: Column) -> Column:
-    """Keywords of a taxonomy label. A hyphenated label is cut at slashes only, untrimmed."""
-    text = strip(F.replace(label, F.lit("m.fl."), F.lit("")))
+    return named(shortest_first(F.transform(given, company_name)), kept)
+
+
+def _cleaned_label(label: Column) -> Column:
+    return strip(F.replace(label, F.lit("m.fl."), F.lit("")))
+
+
+def _label_parts(text: Column) -> Column:
     hyphenated = F.transform(F.split(text, "/"), lambda w: F.lower(w))
     plain = F.transform(F.split(text, "/|, | och "), lambda w: strip(F.lower(w)))
-    parts = F.when(F.contains(text, F.lit("-")), hyphenated).otherwise(plain)
-    return F.when(F.length(label) > 0, parts).otherwise(F.array().cast("array<string>"))
+    # Most labels have nothing to be cut at, and looking for that is cheaper than a pattern.
+    whole = ~(F.contains(text, F.lit("/")) | F.contains(text, F.lit(", "))
+              | F.contains(text, F.lit(" och ")))
+    return (F.when(F.contains(text, F.lit("-")), hyphenated)
+            .when(whole, F.array(F.lower(text))).otherwise(plain))
+
+
+def label_split(label: Column) -> Column:
+    """Keywords of a taxonomy label. A hyphenated label is cut at slashes only, untrimmed."""
+    return F.when(F.length(label) > 0, _label_parts(_cleaned_label(label))).otherwise(
+        F.array().cast("array<string>"))
+
+
+def labels_split(labels: Column) -> Column:
+    """Keywords of several labels as one array; each label is cleaned once."""
+    cleaned = F.transform(F.filter(labels, lambda x: F.length(x) > 0), _cleaned_label)
+    return F.flatten(F.transform(cleaned, _label_parts))
 
 
 def mask_org_number(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from feedloom.functions.text import employer_names, label_split, trim_location
+from feedloom.functions.text import employer_names, labels_split, trim_location
 
 # Where the keywords of each list come from.
 KEYWORD_PATHS = {
@@ -59,11 +59,10 @@ def extracted_keywords(schema: T.StructType) -> Column:
     """Struct of the four keyword sets of an ad with this schema."""
     values = {name: F.concat(*[nested_values(schema, p) for p in paths])
               for name, paths in KEYWORD_PATHS.items()}
-    split = lambda c: F.flatten(F.transform(c, label_split))
     places = F.filter(F.transform(values["location"], trim_location), lambda p: p != "")
     return F.struct(
-        as_set(split(values["occupation"])).alias("occupation"),
-        as_set(split(values["skill"])).alias("skill"),
+        as_set(labels_split(values["occupation"])).alias("occupation"),
+        as_set(labels_split(values["skill"])).alias("skill"),
         as_set(places).alias("location"),
         as_set(employer_names(values["employer"])).alias("employer"))
 

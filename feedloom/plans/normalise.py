@@ -153,7 +153,8 @@ def prepare_taxonomy(concepts: DataFrame, pairs: DataFrame, limit: int | None =
     return Taxonomy(materialise(cards, "occupation-cards"), mentions, code_table(mentions, limit))
 
 
-# Slots with several values; the others hold one.
+# Slots with one value, in the order in which they start the mentions, and those with several.
+SINGLE = [*CODED, *PLACES]
 LISTED = ["driving_license", *[f"{side}.{field}" for side in SIDES
                                for field in (*WEIGHTED_LISTS, "education", "education_level")]]
 
@@ -192,11 +193,15 @@ def resolve_mentions(ads: DataFrame, taxonomy: Taxonomy, limit: int | None = Non
 
     Equivalents of skills come along with the skill they belong to.
     """
-    known = _joined(ads, taxonomy.mentions, limit) if taxonomy.in_place is None else _looked_up(
-        ads, taxonomy.in_place)
     here = lambda slot: f"filter(mentions, m -> m.slot = '{slot}')"
+    if taxonomy.in_place is None:
+        known = _joined(ads, taxonomy.mentions, limit)
+        one = {slot: f"get({here(slot)}, 0).entry" for slot in SINGLE}
+    else:
+        known = _looked_up(ads, taxonomy.in_place)
+        one = {slot: f"mentions[{place}].entry" for place, slot in enumerate(SINGLE)}
     return known.withColumns({
-        **{_found(slot): F.expr(f"get({here(slot)}, 0).entry") for slot in (*CODED, *PLACES)},
+        **{_found(slot): F.expr(sql) for slot, sql in one.items()},
         **{_found(slot): F.expr(here(slot)) for slot in LISTED}}).drop("mentions")
 
 
