@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from feedloom.lens import tables as t
 from feedloom.lens.registry import query
+from feedloom.operators.joins import lookup_join
 from feedloom.operators import snapshot as s
 from feedloom.session import fresh_path
 from feedloom.sources import feed as f, landing
@@ -45,6 +46,28 @@ def attach_details(spark, sf_dir):
     return rows.select("id", "updatedAt", "expiresAt", "name")
 
 
+@query("s2_landed_bodies", f"""
+    SELECT annonsId, ms AS "updatedAt", 'body ' || seq || ' of ' || c_name AS body
+    FROM ({t.latest_sql(f"ms > {MIDDLE}")}) JOIN customer ON c_custkey = annonsId
+    WHERE NOT avpublicerad
+""")
+def landed_bodies(spark, sf_dir):
+    """Every change lands a body on its day; the changes of the second half of the month find
+    theirs without reading the days before."""
+    feed = t.feed(spark, sf_dir)
+    customer = t.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("annonsId"), "c_name")
+    bodies = lookup_join(feed, customer, "annonsId", "inner").select(
+        "annonsId", F.struct("uppdateradTid", "seq").alias("version"),
+        F.concat(F.lit("body "), "seq", F.lit(" of "), "c_name").alias("body"),
+        F.timestamp_millis("uppdateradTid").cast("date").alias("day"))
+    path = f.land_bodies(bodies, fresh_path(spark, "bodies"), 4, F.col("day"))
+    raw = f.landed_bodies(
+        spark, path, "annonsId bigint, version struct<uppdateradTid:bigint,seq:bigint>, body string")
+    batch = f.batch_rows(feed.where(F.col("uppdateradTid") > MIDDLE))
+    return f.attach_raw(batch, raw, buckets=4)
+
+
 @query("s3_batch_dedup", f"""
     SELECT ms // 86400000 AS day, annonsId, avpublicerad, ms, seq FROM (
     {t.latest_sql(partition="annonsId, ms // 86400000")})

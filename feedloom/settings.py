@@ -107,6 +107,8 @@ FOLD_AFTER = 48
 
 # Largest planned size of a side that may be sent to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Buckets of ids that landed bodies are kept in, per day. A landing folder has one number for good.
+BODY_BUCKETS = 64
 # Largest written table of codes that goes to the ads as one value.
 IN_PLACE_BYTES = 16 * 1024 * 1024
 # A key with this share of the rows is joined apart from the others where no side fits above.

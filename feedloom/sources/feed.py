@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from feedloom import settings
 from feedloom.functions.text import mask_org_number, null_safe, strip_nul_json
 from feedloom.operators.joins import lookup_join, small_side
 from feedloom.operators.snapshot import batch_dedup
+from feedloom.session import materialise
 
 FEED_SCHEMA = "annonsId bigint, avpublicerad boolean, uppdateradTid bigint, avpubliceringsdatum string"
 
@@ -45,16 +49,64 @@ def attach_details(feed: DataFrame, details: DataFrame, limit: int | None = None
         "expiresAt": F.col("sistaPubliceringsdatum")})
 
 
-def attach_raw(feed: DataFrame, raw: DataFrame, limit: int | None = None) -> DataFrame:
+# --- Bodies, landed by day and bucket of their id ---
+
+def body_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col("annonsId").cast("bigint")), F.lit(buckets)).cast("int")
+
+
+def land_bodies(bodies: DataFrame, path: str, buckets: int = settings.BODY_BUCKETS,
+                landed: Column | None = None) -> str:
+    """Add bodies (``annonsId, body, ...``) to a landing folder, under the day they landed (today
+    unless given) and the bucket of their id. Each bucket of a call is one task's file per day."""
+    day = F.current_date() if landed is None else landed
+    rows = bodies.withColumns({"landed": day.cast("date"), "bucket": body_bucket(buckets)})
+    rows.repartition("landed", "bucket").sortWithinPartitions("landed", "bucket", "annonsId") \
+        .write.mode("append").partitionBy("landed", "bucket").parquet(path)
+    return path
+
+
+def landed_bodies(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The bodies of a landing folder; ``schema`` names their columns without day and bucket."""
+    return spark.read.schema(f"{schema}, landed date, bucket int").parquet(path)
+
+
+def of_batch(raw: DataFrame, wanted: DataFrame, buckets: int, limit: int | None = None) -> DataFrame:
+    """Landed bodies that a batch (``annonsId, updatedAt``) can ask for: of its ids, from the day
+    of its oldest change on.
+
+    A body is fetched after the change that announces it. Days and buckets are folders, of which
+    no others are read: the batch is asked for its oldest change and its buckets, which are no more
+    than there are folders a day.
+    """
+    asked = wanted.agg(F.min("updatedAt").alias("oldest"),
+                       F.collect_set(body_bucket(buckets)).alias("buckets")).first()
+    if asked["oldest"] is not None:
+        # Landing days may be counted in another zone than the feed's times.
+        first = dt.datetime.fromtimestamp(asked["oldest"] / 1000, dt.UTC).date()
+        raw = raw.where(F.col("landed") >= F.lit(first - dt.timedelta(days=1)))
+    keys = wanted.select("annonsId").distinct()
+    return raw.where(F.col("bucket").isin(asked["buckets"])).join(
+        small_side(keys, limit), "annonsId", "left_semi")
+
+
+def attach_raw(feed: DataFrame, raw: DataFrame, limit: int | None = None,
+               buckets: int = settings.BODY_BUCKETS) -> DataFrame:
     """Raw JSON bodies (``annonsId, body``) of the live feed rows: (annonsId, body, updatedAt).
 
     A body that landed more than once counts in its last ``version``, or without such a column in
-    the greatest text. The bodies are filtered by the ids of the feed before anything is shuffled.
+    the greatest text. The bodies are filtered by the ids of the feed before anything is shuffled;
+    of those that ``land_bodies`` wrote only the folders that the batch can ask for are read.
     """
     live = feed.where(~is_unpublished()).select(
         "annonsId", F.col("uppdateradTid").alias("updatedAt"))
     wanted = live.select("annonsId").distinct()
-    bodies = raw.join(small_side(wanted, limit), "annonsId", "left_semi")
+    if {"landed", "bucket"} <= set(raw.columns):
+        # Written, as it is read three times.
+        live = materialise(live, "live-rows")
+        bodies = of_batch(raw, live, buckets, limit).drop("landed", "bucket")
+    else:
+        bodies = raw.join(small_side(wanted, limit), "annonsId", "left_semi")
     order = F.struct(F.col("version"), F.col("body")) if "version" in raw.columns else F.col("body")
     bodies = bodies.groupBy("annonsId").agg(F.max_by("body", order).alias("body"))
     return live.join(bodies, "annonsId")

@@ -439,3 +439,36 @@ def test_saved_ads_become_a_snapshot(spark, concepts, pairs):  # noqa: F811
     assert rows(snapshots.read_current(spark, f"{root}/ads").select("id", "timestamp")) == [
         ("1", 10), ("2", 22), ("3", 21)]
     assert snapshots.table_state(spark, f"{root}/ads").parts[0].kind == "base"
+
+
+# --- Landed bodies ---
+
+def test_only_the_days_and_buckets_of_a_batch_are_read(spark):
+    path, day = fresh_path(spark, "bodies"), 24 * 3600 * 1000
+    for n, when in enumerate(("2024-01-01", "2024-01-10", "2024-01-11")):
+        bodies = spark.range(200).selectExpr("id AS annonsId", f"'{n} of ' || id AS body", f"{n} AS version")
+        f.land_bodies(bodies, path, 16, F.lit(when))
+    raw = f.landed_bodies(spark, path, "annonsId bigint, body string, version int")
+    start = 1704844800000  # 2024-01-10
+    feed = spark.createDataFrame([(7, False, start + day, None), (9, False, start + day, None),
+                                  (11, True, 0, None), (999, False, start + day, None),
+                                  (None, False, start + day, None)], f.FEED_SCHEMA)
+    found = f.attach_raw(feed, raw, buckets=16)
+    assert rows(found.select("annonsId", "body")) == [(7, "2 of 7"), (9, "2 of 9")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(landed" in plan and "bucket#" in plan
+    wanted = feed.where("annonsId IN (7, 9)").selectExpr("annonsId", "uppdateradTid AS updatedAt")
+    named = raw.withColumn("file", F.input_file_name())
+    files = [r[0] for r in f.of_batch(named, wanted, 16).select("file").distinct().collect()]
+    read = f.of_batch(raw, wanted, 16)._jdf.queryExecution().executedPlan().toString()
+    assert len(files) <= 4 and "2024-01-10" in read
+    days = {name.split("landed=")[1][:10] for name in files}
+    assert days == {"2024-01-10", "2024-01-11"}
+    assert f.attach_raw(feed.limit(0), raw, buckets=16).collect() == []
+
+
+def test_bodies_without_folders_are_found_as_before(spark):
+    feed = spark.createDataFrame([(1, False, 10, None), (2, True, 10, None)], f.FEED_SCHEMA)
+    raw = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)],
+                                "annonsId bigint, body string, version int")
+    assert rows(f.attach_raw(feed, raw).select("annonsId", "body")) == [(1, "b")]
