@@ -54,9 +54,3 @@ def contacts(people: Column) -> Column:
 
 def coordinate(c: Column) -> Column:
     return F.when(c != "", c.try_cast("double"))
-
-
-def valid_point(longitude: Column, latitude: Column) -> Column:
-    """[longitude, latitude] if both lie on the globe, else null."""
-    return F.when(longitude.between(-180, 180) & latitude.between(-90, 90),
-                  F.array(longitude, latitude))

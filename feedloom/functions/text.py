@@ -142,10 +142,6 @@ def mask_org_number(c: Column) -> Column:
     return F.when(~personal, c)
 
 
-def keyword_cap(c: Column, longest: int = settings.KEYWORD_MAX_LENGTH) -> Column:
-    return F.when(F.length(c) <= longest, c)
-
-
 def epoch_to_local(ms: Column, zone: str = settings.LOCAL_ZONE) -> Column:
     """Epoch milliseconds as local ISO text in ``zone``, whatever the session zone is."""
     instant = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(

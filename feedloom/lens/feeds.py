@@ -8,6 +8,7 @@ from feedloom.lens import tables as t
 from feedloom.lens.registry import query
 from feedloom.operators.joins import lookup_join
 from feedloom.operators import snapshot as s
+from feedloom.plans import snapshots
 from feedloom.session import fresh_path
 from feedloom.sources import feed as f, landing
 
@@ -330,15 +331,17 @@ def by_id(spark, sf_dir):
     FROM d WHERE removed
 """)
 def sink_null_values(spark, sf_dir):
+    """What the published names make of open values, on ads and on removed ads."""
     documents = t.documents(spark, sf_dir)
     row = lambda target, code: [
         F.lit(target).alias("target"), "id", code.alias("country_code"),
         F.col("workplace_address.country_concept_id").alias("country_id"),
         t.millis("publication_date").alias("shown_from"),
         t.millis("last_publication_date").alias("shown_to")]
-    main = s.with_null_values(documents).select(
+    main = documents.selectExpr(*snapshots.shown_sql(documents.schema)).select(
         *row("main", F.col("workplace_address.country_code")))
-    deleted = s.deleted_with_null_values(s.tombstones(documents)).select(
+    gone = s.tombstones(documents)
+    deleted = gone.selectExpr(*snapshots.shown_sql(gone.schema, removed=True)).select(
         *row("deleted", F.lit(None).cast("string")))
     return main.unionByName(deleted)
 

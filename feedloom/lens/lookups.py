@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import requirements as r, text as x
 from feedloom.lens import tables as t
 from feedloom.lens.registry import query
+from feedloom.plans import snapshots
 from feedloom.operators import lookup as l, replacements as p
 
 RESOLVED_SQL = f"""
@@ -246,12 +247,13 @@ def contacts(spark, sf_dir):
           FROM customer)
 """)
 def geo_validity(spark, sf_dir):
-    lon = F.col("c_acctbal") / 25
-    lat = F.col("c_nationkey") * F.lit(9.0) - 100
-    point = r.valid_point(lon, lat)
-    return t.table(spark, sf_dir, "customer").select(
-        "c_custkey", point.alias("point")).select(
-        "c_custkey", F.get("point", F.lit(0)).alias("lon"), F.get("point", F.lit(1)).alias("lat"))
+    """Points as the published names show them."""
+    point = F.array(F.col("c_acctbal") / 25, F.col("c_nationkey") * F.lit(9.0) - 100)
+    ads = t.table(spark, sf_dir, "customer").select(
+        "c_custkey", F.struct(point.alias("coordinates")).alias("workplace_address"))
+    shown = ads.selectExpr(*snapshots.shown_sql(ads.schema))
+    place = lambda i: F.get("workplace_address.coordinates", F.lit(i))
+    return shown.select("c_custkey", place(0).alias("lon"), place(1).alias("lat"))
 
 
 ORG_SQL = """CASE WHEN c_mktsegment = 'BUILDING' THEN '19' ELSE '' END ||

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import dates, html, text as x, tokens as k
 from feedloom.lens import tables as t
 from feedloom.lens.registry import query
+from feedloom.plans import snapshots
 from feedloom.operators import candidates as c, keywords as w, tokens as o
 
 # White space as the library sees it, for an engine whose \s is ASCII.
@@ -57,8 +58,11 @@ def strip_nul(spark, sf_dir):
     SELECT doc_id, CASE WHEN length(text) <= 256 THEN text END AS keyword FROM documents
 """)
 def keyword_cap(spark, sf_dir):
-    return t.texts(spark, sf_dir, "documents", "doc_id").select(
-        "doc_id", x.keyword_cap(F.col("text")).alias("keyword"))
+    """Keywords as the published names show them: over-long ones are left out."""
+    ads = t.texts(spark, sf_dir, "documents", "doc_id").select(
+        "doc_id", F.struct(F.array("text").alias("texts")).alias("keywords"))
+    return ads.selectExpr(*snapshots.shown_sql(ads.schema)).select(
+        "doc_id", F.get("keywords.texts", F.lit(0)).alias("keyword"))
 
 
 @query("k1_clean_html")

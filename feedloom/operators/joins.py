@@ -75,6 +75,11 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
     if not hot:
         return left.join(right, on, how)
     is_hot = hashed.isin(hot)
+    few = right.where(is_hot)
+    # A key that repeats on the right, against the promise, must not swell what is broadcast.
+    most = 2 * len(hot)
+    if few.limit(most + 1).count() > most:
+        return left.join(right, on, how)
     return (
-        left.where(is_hot).join(F.broadcast(right.where(is_hot)), on, how)
+        left.where(is_hot).join(F.broadcast(few), on, how)
         .unionByName(left.where(~is_hot).join(right.where(~is_hot), on, how)))

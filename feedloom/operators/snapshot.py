@@ -169,25 +169,6 @@ def ids_with_timestamp(ads: DataFrame, timestamp: int) -> DataFrame:
     return ads.where(F.col("timestamp") == timestamp).select("id")
 
 
-def with_null_values(ads: DataFrame) -> DataFrame:
-    """View of live ads in which an address without a country lies in Sweden."""
-    address = F.col("workplace_address")
-    filled = {"country_code": settings.DEFAULT_COUNTRY_CODE,
-              "country_concept_id": settings.DEFAULT_COUNTRY_CONCEPT}
-    for name, value in filled.items():
-        if name in ads.schema["workplace_address"].dataType.fieldNames():
-            address = address.withField(name, F.coalesce(F.col("workplace_address")[name], F.lit(value)))
-    return ads.withColumn("workplace_address", address)
-
-
-def deleted_with_null_values(deleted: DataFrame) -> DataFrame:
-    """View of removed ads whose open dates let them pass any date filter."""
-    date = lambda c, d: F.coalesce(F.col(c), F.lit(d).cast("timestamp_ntz"))
-    return with_null_values(deleted).withColumns({
-        "publication_date": date("publication_date", settings.REMOVED_FROM_DATE),
-        "last_publication_date": date("last_publication_date", settings.REMOVED_TO_DATE)})
-
-
 def missing_ids(wanted: DataFrame, snapshot: DataFrame, key: str = "id",
                 unique: bool = True) -> DataFrame:
     """Rows of ``wanted`` whose key the snapshot does not hold.

@@ -42,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured
     if not spark.sparkContext.getCheckpointDir():
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="feedloom-"))
     return spark.sparkContext.getCheckpointDir()

@@ -292,6 +292,25 @@ def test_a_full_ad(spark, concepts, pairs):
     assert words["occupation"] == ["field f3", "group g3", "job o1", "new o2", "new o3"]
 
 
+def test_codes_beyond_the_bound_are_joined_with_the_same_result(spark, concepts, pairs):
+    bodies = [{"annonsId": i, "arbetstidTyp": {"varde": "6YE1_gAC_R2G" if i % 2 else "unknown"},
+               "kompetenser": [{"varde": v, "vikt": 10 * (i % 3)} for v in ("s2", "zz", "s1", None)[i % 4:]],
+               "korkort": [{"varde": "b"}, {"varde": None}] if i % 3 else None,
+               "utbildningsinriktning": {"varde": "e", "vikt": 3}, "utbildningsniva": {"varde": None},
+               "arbetsplatsadress": {"kommun": {"varde": "k1"}, "land": {"varde": "se"}} if i % 2 else None}
+              for i in range(24)] + [{"annonsId": 99}]
+    raw = spark.createDataFrame([(str(m["annonsId"]), json.dumps(m)) for m in bodies],
+                                "id string, body string")
+    typed = f.parse_raw(raw)
+    in_place, joined = (n.prepare_taxonomy(concepts, pairs, limit) for limit in (None, 0))
+    assert in_place.in_place is not None and joined.in_place is None
+    found = [[json.dumps(r.asDict(True), default=str) for r in n.normalise_ads(typed, taxonomy, RUN_DATE)
+              .orderBy("id").collect()] for taxonomy in (in_place, joined)]
+    assert found[0] == found[1] and len(found[0]) == 25
+    empty = n.prepare_taxonomy(concepts.limit(0), pairs.limit(0))
+    assert n.normalise_ads(typed, empty, RUN_DATE).count() == 25
+
+
 # --- Enrichment ---
 
 def test_candidates_by_threshold_or_headline(spark):
@@ -359,3 +378,11 @@ def test_stream_equals_batches_and_a_finished_stream_adds_nothing(spark, concept
                                  f"{root}/cp")
     again.awaitTermination()
     assert rows(snapshots.read_current(spark, main).select(*shown)) == got
+
+
+def test_hot_keys_that_repeat_on_the_right_are_not_broadcast(spark):
+    left = spark.createDataFrame([(1,)] * 300 + [(2,)], "k int")
+    right = spark.createDataFrame([(1, n) for n in range(9)] + [(2, 0)], "k int, w int")
+    found = joins.lookup_join(left, right, "k", "inner", 0)
+    assert found.count() == 2701
+    assert "Union" not in found._jdf.queryExecution().executedPlan().toString()

@@ -48,6 +48,17 @@ def test_occupations_are_joined_without_moving_the_ads(spark):
     assert "SortMergeJoin" not in plan(spark, "j9_occupation_hierarchy")
 
 
+def test_ads_are_resolved_where_they_stand(spark):
+    text = plan(spark, "p1_normalise_ad")
+    # One exchange spreads the given orders over the cores; no ad is moved after that.
+    assert text.count("Exchange hashpartitioning") <= 1 and "SortMergeJoin" not in text
+    assert "Aggregate" not in text and "Generate" not in text
+
+
+def test_keywords_need_no_text_and_no_dates(spark):
+    assert "Python" not in plan(spark, "k7_extracted_keywords")
+
+
 def test_numbering_needs_no_window_over_the_rows(spark):
     assert "row_number" not in plan(spark, "j14_concept_id_assign")
 
