@@ -4,7 +4,6 @@ import math
 import random
 from collections import Counter
 
-import corpus_pipeline
 import numpy as np
 import pytest
 from feedloom.llm import components, lattice, simhash
