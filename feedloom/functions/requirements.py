@@ -33,6 +33,15 @@ def experience_required(no_experience_needed: Column) -> Column:
     return ~null_safe(no_experience_needed, False)
 
 
+def own_car(given: Column, access: Column) -> Column:
+    """Access to a car of one's own: no if the key is missing, unknown if it is null."""
+    return F.when(given, access).otherwise(False)
+
+
+def licence_required(licences: Column) -> Column:
+    return null_safe(F.size(licences) > 0, False)
+
+
 def contact(person: Column) -> Column:
     name = F.concat(null_safe(person["fornamn"], ""), F.lit(" "),
                     null_safe(person["efternamn"], ""))

@@ -8,6 +8,7 @@ import functools
 
 from pyspark.sql import DataFrame, functions as F
 
+from feedloom.functions import requirements as r
 from feedloom.functions.text import words
 from feedloom.lens import tables as t
 from feedloom.lens.feeds import MIDDLE
@@ -143,6 +144,20 @@ def normalise_ad(spark, sf_dir):
         t.millis("publication_date").alias("published"), "timestamp")
 
 
+@query("p4_requirement_flags", f"""
+    SELECT id, c_nationkey % 3 <> 0 AS experience_required, o_orderstatus <> 'P' AS licence_required,
+           c_nationkey % 2 = 0 AS own_car
+    FROM ({JOINED})
+""")
+def requirement_flags(spark, sf_dir):
+    """All flags, from keys that are there, null or missing."""
+    ad = F.col("ad")
+    return parsed(spark, sf_dir).select(
+        "id", r.experience_required(ad["ingenErfarenhetKravs"]).alias("experience_required"),
+        r.licence_required(ad["korkort"]).alias("licence_required"),
+        r.own_car(F.col("given.own_car"), ad["tillgangTillEgenBil"]).alias("own_car"))
+
+
 @query("p6_education_split", f"""
     WITH a AS ({JOINED})
     SELECT id, CASE WHEN coalesce(weight, 0) >= 10 THEN 'must_have' ELSE 'nice_to_have' END

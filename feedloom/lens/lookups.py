@@ -204,14 +204,6 @@ def scope_defaults(spark, sf_dir):
         "o_orderkey", least.alias("scope_min"), most.alias("scope_max"))
 
 
-@query("p4_requirement_flags", f"""
-    SELECT id, NOT coalesce(removed, false) AS experience_required FROM ({t.ADS_SQL})
-""")
-def requirement_flags(spark, sf_dir):
-    return t.ads(spark, sf_dir).select(
-        "id", r.experience_required(F.col("removed")).alias("experience_required"))
-
-
 @query("p7_contacts", """
     SELECT c_custkey,
            nullif(trim(coalesce(first_name, '') || ' ' || coalesce(last_name, '')), '') AS name,

@@ -299,10 +299,11 @@ def version_name(prefix: str, at: dt.datetime) -> str:
 
 
 def full_rebuild(spark: SparkSession, feed: DataFrame, root: str, prefix: str, at: dt.datetime,
-                 inputs: Inputs) -> tuple[str, bool]:
+                 inputs: Inputs, gate_needed: bool = False) -> tuple[str, bool]:
     """A new snapshot of everything published now; names move only if the size gate passes.
 
-    Ads whose bodies land meanwhile are loaded by further passes, as in an import.
+    Ads whose bodies land meanwhile are loaded by further passes, as in an import. The first
+    rebuild of a folder has nothing to be compared with and passes, unless a gate is needed.
     """
     main, deleted = f"{root}/{version_name(prefix, at)}", f"{root}/{prefix}-deleted"
     published = feed_changes(feed, 0)
@@ -321,7 +322,7 @@ def full_rebuild(spark: SparkSession, feed: DataFrame, root: str, prefix: str, a
             write_batch(term_changes(ads.limit(0), ads), dictionary_path(main))
 
     reconcile(load, published, lambda: read_current(spark, main))
-    passed = gate(spark, main, prefix)
+    passed = gate(spark, main, prefix, needed=gate_needed)
     if passed:
         publish_snapshot(spark, prefix, main, deleted)
     return main, passed

@@ -17,8 +17,8 @@ from feedloom import settings
 from feedloom.functions.dates import lenient_timestamp
 from feedloom.functions.html import clean_html
 from feedloom.functions.requirements import (
-    contacts, coordinate, experience_required, scope_default)
-from feedloom.functions.text import null_if_empty, null_safe, remote_work
+    contacts, coordinate, experience_required, licence_required, own_car, scope_default)
+from feedloom.functions.text import null_safe, remote_work
 from feedloom.operators.joins import lookup_join, planned_bytes
 from feedloom.operators.keywords import with_keywords
 from feedloom.operators.lookup import lookup_table
@@ -279,7 +279,7 @@ def normalise_ads(raw: DataFrame, taxonomy: Taxonomy, run_date: dt.date,
     live = ~null_safe(ad["avpublicerad"], False)
     licences = F.expr(f"transform(filter({_found('driving_license')}, m -> m.entry IS NOT NULL), "
                       "m -> m.entry)")
-    needs_licence = null_safe(F.size(ad["korkort"]) > 0, False)
+    needs_licence = licence_required(ad["korkort"])
     out = ads.select(
         "id", ad["externtAnnonsId"].alias("external_id"), ad["annonsrubrik"].alias("headline"),
         "application_deadline", ad["antalPlatser"].alias("number_of_vacancies"),
@@ -304,8 +304,7 @@ def normalise_ads(raw: DataFrame, taxonomy: Taxonomy, run_date: dt.date,
              url="ansokningssattWebbadress", other="ansokningssattAnnatSatt")
         .alias("application_details"),
         experience_required(ad["ingenErfarenhetKravs"]).alias("experience_required"),
-        F.when(given["own_car"], ad["tillgangTillEgenBil"]).otherwise(False)
-        .alias("access_to_own_car"),
+        own_car(given["own_car"], ad["tillgangTillEgenBil"]).alias("access_to_own_car"),
         needs_licence.alias("driving_license_required"),
         F.when(needs_licence, licences).alias("driving_license"),
         "occupation", "occupation_group", "occupation_field",
