@@ -127,8 +127,8 @@ DATE_TEXT = DATE_TEXT_SQL.format(
     FROM orders
 """)
 def lenient_date(spark, sf_dir):
-    return t.table(spark, sf_dir, "orders").select(
-        "o_orderkey", dates.lenient_date(F.expr(DATE_TEXT), RUN_DATE).alias("iso"))
+    given = t.table(spark, sf_dir, "orders").select("o_orderkey", F.expr(DATE_TEXT).alias("given"))
+    return given.select("o_orderkey", dates.lenient_date(F.col("given"), RUN_DATE).alias("iso"))
 
 
 NOISE_SQL = rf"^([0-9\-]|.+,|{WORD}+-\p{{Nd}}|\(|.*\)|{WORD}*\p{{Nd}})"

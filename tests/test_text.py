@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from dateutil import parser
 from pyspark.sql import functions as F
 
 from feedloom.functions import dates, requirements as r, text as x, tokens as k
@@ -88,10 +89,62 @@ def test_lenient_date(values, given, want):
     assert values(lambda c: dates.lenient_date(c, RUN_DATE), [given]) == [want]
 
 
+def _general_parser(text):
+    try:
+        return parser.parse(text, default=dt.datetime.combine(RUN_DATE, dt.time())).isoformat()
+    except (ValueError, OverflowError):
+        return None
+
+
+def _date_texts():
+    rng = random.Random(7)
+    name = lambda of: rng.choice([rng.choice(of), rng.choice(of)[:3]])
+    case = lambda text: rng.choice([str.lower, str.upper, str.title, str])(text)
+    for _ in range(4000):
+        y, m, d = rng.choice([2020, 2021, 1999, 31, "0007"]), rng.randint(0, 13), rng.randint(0, 32)
+        month, day = case(name(dates.MONTHS)), case(name(dates.DAYS))
+        date = rng.choice([
+            f"{y}-{m:02}-{d:02}", f"{y}/{m}/{d}", f"{y}-{m}/{d}", f"{y}{m:02}{d:02}",
+            f"{y}{m:02}{d:02}T", f"{d} {month} {y}", f"{d:02}-{month}-{y}", f"{month} {d}, {y}",
+            f"{day}, {month} {d} {y}", f"{day} {d} {month} {y}", f"{month} {d}", f"{day} {month} {d}",
+            f"{d}", f"{month} {y}", month, day, "", "soon", f"no {month}", f"{d}.{m}.{y}",
+            f"{y}-01-02\x01{m}\x0130\x01\x01"])
+        h, least = rng.randint(0, 25), rng.choice([30, 59, 61])
+        time = rng.choice([
+            "", "", f"{h}:{least}", f"{h:02}:{least}:07", f"{h:02}:30:07.{rng.choice(['5', '050', '000', '123456'])}", f"{h}:30 {case('pm')}", f"{h}:30:00{case('am')}", f"{h}:30+01:00", "10:3"])
+        yield date + rng.choice([" ", " ", "T", "  "]) * bool(date and time) + time
+
+
+def test_listed_forms_agree_with_the_general_parser(values):
+    """A form decides only how fast a text is read, never what it says."""
+    given = sorted(set(_date_texts()))
+    want = {text: _general_parser(text) for text in given}
+    listed = dict(zip(given, values(lambda c: dates.listed_date(c, RUN_DATE), given)))
+    assert {k: v for k, v in listed.items() if v is not None and v != want[k]} == {}
+    assert sum(v is not None for v in listed.values()) > len(given) / 6
+    nothing = dict(zip(given, values(dates.no_date, given)))
+    assert {k: want[k] for k, v in nothing.items() if v and want[k] is not None} == {}
+    assert nothing["soon"] and nothing[""]
+    assert dict(zip(given, values(lambda c: dates.lenient_date(c, RUN_DATE), given))) == want
+
+
+@pytest.mark.parametrize("given, want", [
+    ("2020-02-29 23:59:59", "2020-02-29T23:59:59"), ("5 March 2021", "2021-03-05T00:00:00"),
+    ("Sep 1, 2018 12:00:01 AM", "2018-09-01T00:00:01"), ("20190305T", "2019-03-05T00:00:00"),
+    ("Monday, may 3", "2021-05-03T00:00:00"), ("17", "2021-05-17T00:00:00"),
+    ("2021/3/5T7:08", "2021-03-05T07:08:00"), ("10:30:00.25", "2021-05-06T10:30:00.250000"),
+])
+def test_listed_forms_need_no_python(spark, values, given, want):
+    assert values(lambda c: dates.listed_date(c, RUN_DATE), [given]) == [want]
+    plan = spark.createDataFrame([(given,)], "v string").select(dates.listed_date(F.col("v"), RUN_DATE))
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_usual_dates_do_not_see_gaps_of_the_session_zone(spark, values):
     spark.conf.set("spark.sql.session.timeZone", "Europe/Stockholm")
     try:
-        assert values(dates.usual_date, ["2021-03-28 02:30:00"]) == ["2021-03-28T02:30:00"]
+        listed = lambda c: dates.listed_date(c, RUN_DATE)
+        assert values(listed, ["2021-03-28 02:30:00"]) == ["2021-03-28T02:30:00"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
