@@ -20,7 +20,7 @@ from feedloom.operators.joins import lookup_join
 from feedloom.operators.keywords import keyword_rows
 from feedloom.plans import imports, normalise as n, snapshots
 from feedloom.session import fresh_path, materialise
-from feedloom.sources import feed as f
+from feedloom.sources import feed as f, landing
 from feedloom.streaming import feed_stream as stream
 
 WEIGHT_SQL = """CASE o_orderpriority WHEN '1-URGENT' THEN 10 WHEN '2-HIGH' THEN 12
@@ -355,6 +355,18 @@ def full_rebuild(spark, sf_dir):
     return shown(spark.table(_rebuild(spark, sf_dir) + "_read"))
 
 
+@query("s8_rebuild_from_saved", REBUILT)
+def rebuild_from_saved(spark, sf_dir):
+    """The ads of two runs, saved one after the other, become a snapshot; no ad is made again."""
+    feed, given = import_feed(spark, sf_dir).where("NOT avpublicerad"), inputs(spark, sf_dir)
+    root = fresh_path(spark, "saved")
+    for name, rows in (("first", feed.where(F.col("uppdateradTid") <= MIDDLE)), ("second", feed)):
+        live, _ = imports.documents(f.feed_changes(rows, 0), None, given)
+        landing.save_enriched(live, f"{root}/saved/run={name}")
+    imports.rebuild_from_saved(spark, f"{root}/saved", f"{root}/ads")
+    return shown(snapshots.read_current(spark, f"{root}/ads"))
+
+
 @query("r1_rebuild_then_import", f"""
     WITH live AS ({t.latest_sql(f"ms <= {MIDDLE} AND NOT avpublicerad")})
     SELECT CAST(annonsId AS VARCHAR) AS id, ms AS timestamp FROM ({t.latest_sql(
