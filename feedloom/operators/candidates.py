@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom import settings
 from feedloom.functions.text import null_safe
-from feedloom.operators.joins import small_side
+from feedloom.operators.joins import lookup_join, small_side
 
 
 def _by_type(values: dict) -> Column:
@@ -117,4 +117,4 @@ def enrichment_attach(ads: DataFrame, candidates: DataFrame, typeahead: bool = T
     keywords = F.col("keywords")
     for c in columns:
         keywords = keywords.withField(c, F.col(c))
-    return ads.join(lists, "id", "left").withColumn("keywords", keywords).drop(*columns)
+    return lookup_join(ads, lists, "id").withColumn("keywords", keywords).drop(*columns)

@@ -1,6 +1,8 @@
 """Equi-joins whose plan depends on the size and the skew of their sides.
 
-A side is sent to all executors only if the optimizer's size for it is within a bound. Above that
+A side is sent to all executors only if its size is within a bound, as the optimizer has it and
+as rows in memory: files are compressed, and a few columns of a wide file take a larger share of it
+than the optimizer thinks, so files of some size are asked for their number of rows. Above that
 the join is shuffled on its keys, and the few keys that hold a large share of the left rows are
 taken out first: they match at most one right row each, so those rows are broadcast and the hot
 left rows are never shuffled. Which keys count as hot decides only the plan, not the result.
@@ -8,7 +10,9 @@ left rows are never shuffled. Which keys count as hot decides only the plan, not
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from feedloom import settings
 
@@ -21,14 +25,62 @@ def planned_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def held_bytes(df: DataFrame) -> int:
+    """About the bytes that the rows of ``df`` take in memory, at most: all rows of the files it is
+    read from, in its columns. Their number stands in the files; no row is read."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if read <= settings.UNCOUNTED_BYTES:
+        return read
+    paths = tuple(sorted(df.inputFiles()))
+    counted = tuple(p for p in paths if p.endswith(".parquet"))
+    if len(counted) < len(paths):
+        return read * UNCOUNTED_GROWTH
+    return _rows_in(df.sparkSession, counted) * (
+        ROW_BYTES + sum(_width(f.dataType) for f in df.schema.fields))
+
+
+#: A row's own bytes, and its place in a hash table.
+ROW_BYTES = 32
+#: What rows of files that do not know their number take, for a byte of the file.
+UNCOUNTED_GROWTH = 8
+
+
+@functools.lru_cache(256)
+def _rows_in(spark: SparkSession, paths: tuple[str, ...]) -> int:
+    """Rows of parquet files. Kept for a file that is asked for again: only a plan depends on it."""
+    return spark.read.schema("none int").option("recursiveFileLookup", "true").parquet(
+        *paths).count() if paths else 0
+
+
+def _width(kind: T.DataType) -> int:
+    """Usual bytes of a value in a row; a list counts as one element."""
+    if isinstance(kind, T.StructType):
+        return 16 + sum(_width(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return 24 + _width(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return 48 + _width(kind.keyType) + _width(kind.valueType)
+    return 32 if isinstance(kind, (T.StringType, T.BinaryType)) else 8
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    limit = settings.BROADCAST_BYTES if limit is None else limit
+    size = planned_bytes(df)
+    return size is not None and size <= limit and held_bytes(df) <= limit
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side that does not fit, marked for a shuffle where Spark, which sees the size of the files,
+    might broadcast it all the same."""
     size = planned_bytes(df)
-    return size is not None and size <= (settings.BROADCAST_BYTES if limit is None else limit)
+    return df.hint("merge") if size is not None and size <= settings.BROADCAST_BYTES else df
 
 
 def small_side(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """``df`` marked for broadcast if its size allows that, else unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+    """``df`` marked for broadcast if its size allows that, else for a shuffle."""
+    return F.broadcast(df) if fits_broadcast(df, limit) else shuffled(df)
 
 
 def hot_keys(df: DataFrame, key: Column, share: float | None = None) -> list[int]:
@@ -68,18 +120,18 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
     left, right = same_kinds(left, right, on)
     if fits_broadcast(right, limit):
         return left.join(F.broadcast(right), on, how)
-    if not unique or (limit != 0 and fits_broadcast(left, settings.SKEW_CHECK_BYTES)):
-        return left.join(right, on, how)
+    size = planned_bytes(left)
+    few_left = limit != 0 and size is not None and size <= settings.SKEW_CHECK_BYTES
     hashed = F.xxhash64(*on)
-    hot = hot_keys(left, hashed)
+    hot = hot_keys(left, hashed) if unique and not few_left else []
     if not hot:
-        return left.join(right, on, how)
+        return left.join(shuffled(right), on, how)
     is_hot = hashed.isin(hot)
     few = right.where(is_hot)
     # A key that repeats on the right, against the promise, must not swell what is broadcast.
     most = 2 * len(hot)
     if few.limit(most + 1).count() > most:
-        return left.join(right, on, how)
+        return left.join(shuffled(right), on, how)
     return (
         left.where(is_hot).join(F.broadcast(few), on, how)
-        .unionByName(left.where(~is_hot).join(right.where(~is_hot), on, how)))
+        .unionByName(left.where(~is_hot).join(shuffled(right.where(~is_hot)), on, how)))

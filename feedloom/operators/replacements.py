@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from feedloom.operators.joins import lookup_join
+from feedloom.operators.joins import lookup_join, small_side
 from feedloom.session import materialise
 
 
@@ -56,12 +56,12 @@ def occupation_rows(concepts: DataFrame, pairs: DataFrame,
     names = concepts.where((F.col("type") == type_) & F.col("parent").isNotNull()).select(
         "concept_id", "label", "legacy_ams_taxonomy_id", F.col("parent").alias("grp"))
     added = equivalents(pairs).join(
-        names.select(F.col("concept_id").alias("for_id")), "for_id", "left_semi")
-    newer = (
-        added.where("new_version")
-        .join(names.select("concept_id", F.col("grp").alias("new_grp")), "concept_id")
-        .groupBy("for_id").agg(F.max_by("new_grp", "list_pos").alias("new_grp")))
-    cards = names.withColumnRenamed("concept_id", "for_id").join(newer, "for_id", "left")
+        small_side(names.select(F.col("concept_id").alias("for_id"))), "for_id", "left_semi")
+    newer = lookup_join(
+        added.where("new_version"), names.select("concept_id", F.col("grp").alias("new_grp")),
+        "concept_id", "inner", unique=False,
+    ).groupBy("for_id").agg(F.max_by("new_grp", "list_pos").alias("new_grp"))
+    cards = lookup_join(names.withColumnRenamed("concept_id", "for_id"), newer, "for_id")
     cards = cards.withColumn("grp", F.coalesce("new_grp", "grp"))
 
     def level(kind, entry, pos=0):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from feedloom import settings
 from feedloom.functions.dates import lenient_timestamp
 from feedloom.operators.candidates import enrichment_attach
-from feedloom.operators.joins import small_side
+from feedloom.operators.joins import lookup_join, small_side
 from feedloom.operators.snapshot import (
     FILTER_TYPE, batch_dedup, is_removed, missing_live_rows, route_tombstones, tombstone_enrich,
     tombstones)
@@ -126,7 +126,7 @@ def ledger_rows(ads: DataFrame, waiting: DataFrame) -> DataFrame:
     unanswered = ~is_removed() & F.col("keywords.enriched").isNull()
     now = ads.select("id", "timestamp", unanswered.alias("open"))
     known = waiting.where("open").select("id", F.lit(True).alias("known"))
-    return now.join(small_side(known), "id", "left").where("open OR known").select(
+    return lookup_join(now, known, "id").where("open OR known").select(
         "id", "timestamp", "open")
 
 

@@ -19,7 +19,7 @@ from feedloom.functions.html import clean_html
 from feedloom.functions.requirements import (
     contacts, coordinate, experience_required, licence_required, own_car, scope_default)
 from feedloom.functions.text import null_safe, remote_work
-from feedloom.operators.joins import lookup_join, planned_bytes
+from feedloom.operators.joins import fits_broadcast, lookup_join
 from feedloom.operators.keywords import with_keywords
 from feedloom.operators.lookup import lookup_table
 from feedloom.operators.replacements import equivalents, occupation_cards
@@ -97,8 +97,8 @@ def mention_table(concepts: DataFrame, pairs: DataFrame) -> DataFrame:
             "concept_id", "label", F.lit(None).cast("int").alias("weight"),
             F.lit(None).cast("string").alias("legacy_ams_taxonomy_id")).alias("e")))),
         lambda x: x["e"]).alias("equivalents")).withColumn("lookup_type", F.lit("skill"))
-    table = lookup_table(concepts).join(
-        swaps.withColumnRenamed("for_id", "concept_id"), ["lookup_type", "concept_id"], "left")
+    table = lookup_join(lookup_table(concepts), swaps.withColumnRenamed("for_id", "concept_id"),
+                        ["lookup_type", "concept_id"])
     return materialise(table.select(
         "lookup_type", "concept_id", F.col("entry").cast(CONCEPT).alias("entry"),
         F.coalesce("equivalents", F.expr(_empty(WEIGHTED))).alias("equivalents")), "mention-table")
@@ -111,10 +111,9 @@ def _bucket(type_: str, value: str, buckets: int) -> str:
 def code_table(table: DataFrame, limit: int | None = None) -> CodeTable | None:
     """The mention table as one value: an array of small maps, in which a code is found by its hash.
 
-    None if the written table is larger than ``limit``; mentions are joined then.
+    None if the written table is larger than ``limit`` in memory; mentions are joined then.
     """
-    size = planned_bytes(table)
-    if size is None or size > (settings.IN_PLACE_BYTES if limit is None else limit):
+    if not fits_broadcast(table, settings.IN_PLACE_BYTES if limit is None else limit):
         return None
     buckets = max(1, table.count() // CODES_PER_BUCKET)
     spark = table.sparkSession

@@ -105,12 +105,14 @@ LOCAL_ZONE = "Europe/Stockholm"
 # Batches of a table after which an import folds them into a new base.
 FOLD_AFTER = 48
 
-# Largest planned size of a side that may be sent to every executor.
+# Largest size, planned and in memory, of a side that may be sent to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Files below this size are not asked for their number of rows.
+UNCOUNTED_BYTES = 256 * 1024
 # Buckets of ids that landed bodies are kept in, per day. A landing folder has one number for good.
 BODY_BUCKETS = 64
-# Largest written table of codes that goes to the ads as one value.
-IN_PLACE_BYTES = 16 * 1024 * 1024
+# Largest table of codes, in memory, that goes to the ads as one value.
+IN_PLACE_BYTES = 64 * 1024 * 1024
 # A key with this share of the rows is joined apart from the others where no side fits above.
 HOT_KEY_SHARE = 0.005
 # Left sides planned below this size are not searched for hot keys: one task can hold any of them.

@@ -109,7 +109,7 @@ def attach_raw(feed: DataFrame, raw: DataFrame, limit: int | None = None,
         bodies = raw.join(small_side(wanted, limit), "annonsId", "left_semi")
     order = F.struct(F.col("version"), F.col("body")) if "version" in raw.columns else F.col("body")
     bodies = bodies.groupBy("annonsId").agg(F.max_by("body", order).alias("body"))
-    return live.join(bodies, "annonsId")
+    return lookup_join(live, bodies, "annonsId", "inner")
 
 
 # --- Raw ads ---

@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
+from feedloom import settings
 from feedloom.operators import candidates as c, joins, lookup as l, replacements as p
 from feedloom.operators import snapshot as s, taxonomy as x
 from feedloom.plans import imports, normalise as n, snapshots
@@ -56,6 +57,16 @@ def test_broadcast_needs_a_size_within_the_bound(spark, tmp_path):
     assert not joins.fits_broadcast(right.join(right.withColumnRenamed("id", "o"), F.lit(True)))
 
 
+def test_a_broadcast_side_is_measured_as_rows_in_memory_and_not_as_a_file(spark, tmp_path):
+    spark.range(1_000_000, numPartitions=2).write.parquet(str(tmp_path / "ids"))
+    ids = spark.read.parquet(str(tmp_path / "ids"))
+    assert joins.planned_bytes(ids) < settings.BROADCAST_BYTES < joins.held_bytes(ids)
+    found = joins.lookup_join(ids.limit(9), ids, "id", unique=False)
+    for df in (found, ids.limit(9).join(joins.small_side(ids), "id", "left_semi")):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 9
+
+
 # --- Snapshots ---
 
 def test_upsert_is_idempotent_and_last_write_wins(spark):
