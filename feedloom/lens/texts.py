@@ -367,16 +367,16 @@ def simple_words(spark, sf_dir):
     SELECT lang, term, {COUNT} FROM ({grams_sql(DOCS_SIMPLE, 'left', 3, 30)}) GROUP BY 1, 2
 """)
 def prefix_grams(spark, sf_dir):
-    rows = o.prefix_tokens(_docs(spark, sf_dir), F.col("lang"), F.col("text"))
-    return o.term_frequency(rows.withColumnRenamed("doc_id", "lang"), "lang")
+    return o.gram_frequency(_docs(spark, sf_dir), {"lang": F.col("lang")},
+                            k.simple_words(F.col("text")), k.prefix_grams)
 
 
 @query("t4_suffix_grams", f"""
     SELECT lang, term, {COUNT} FROM ({grams_sql(DOCS_SIMPLE, 'right', 3, 30)}) GROUP BY 1, 2
 """)
 def suffix_grams(spark, sf_dir):
-    rows = o.suffix_tokens(_docs(spark, sf_dir), F.col("lang"), F.col("text"))
-    return o.term_frequency(rows.withColumnRenamed("doc_id", "lang"), "lang")
+    return o.gram_frequency(_docs(spark, sf_dir), {"lang": F.col("lang")},
+                            k.simple_words(F.col("text")), k.suffix_grams)
 
 
 STOP_SQL = ", ".join(f"'{s}'" for s in k.SWEDISH_STOPWORDS)

@@ -116,6 +116,17 @@ def term_frequency(tokens: DataFrame, *by: str) -> DataFrame:
     return tokens.groupBy(*by, "term").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
+def gram_frequency(df: DataFrame, by: dict[str, Column], words: Column, grams) -> DataFrame:
+    """How often the grams of words occur, as :func:`term_frequency` over all of them gives it.
+
+    Words are counted first, so that a word is cut once for all its occurrences.
+    """
+    counted = df.select(*[c.alias(n) for n, c in by.items()], F.explode(words).alias("word")).groupBy(
+        *by, "word").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(*by, "n", F.explode(grams(F.col("word"))).alias("term")).groupBy(
+        *by, "term").agg(F.sum("n").alias("occurrences"))
+
+
 def term_dictionary(terms: DataFrame) -> DataFrame:
     """(list, term, documents) for completion. A common term is merged per task before it moves."""
     return terms.select("doc_id", "list", "term").distinct().groupBy("list", "term").agg(
