@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from feedloom.operators.joins import lookup_join, small_side
+from feedloom import settings
+from feedloom.operators.joins import lookup_join, planned_bytes, small_side
 from feedloom.operators.snapshot import FILTER_TYPE
 from feedloom.session import spread
 
@@ -18,6 +19,13 @@ def texts(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
     return spread(table(spark, sf_dir, name), *keys)
 
 
+def slices(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A table from whose rows a task counts far more: each gets about so many bytes of the files."""
+    rows = table(spark, sf_dir, name)
+    most = planned_bytes(rows) // settings.SLICE_BYTES + 1
+    return rows.repartition(max(most, spark.sparkContext.defaultParallelism), *keys)
+
+
 def text(c: str, prefix: str = "") -> Column:
     value = F.col(c).cast("string")
     return F.concat(F.lit(prefix), value) if prefix else value

@@ -393,7 +393,8 @@ SHINGLES = f"""
 
 @query("t5_shingles", SHINGLES)
 def shingles(spark, sf_dir):
-    rows = o.shingle_tokens(_docs(spark, sf_dir, "conversations"), F.col("turn"), F.col("text"))
+    turns = t.slices(spark, sf_dir, "conversations", *KEYS["conversations"])
+    rows = o.shingle_tokens(turns, F.col("turn"), F.col("text"))
     return o.term_frequency(rows.withColumnRenamed("doc_id", "turn"), "turn")
 
 
@@ -418,7 +419,8 @@ LABEL_WORDS = r"""
 """)
 def label_grams(spark, sf_dir):
     label = F.expr("p_name || '-' || p_brand || '/' || p_type")
-    rows = o.label_tokens(_docs(spark, sf_dir, "part"), F.col("p_partkey"), label)
+    parts = t.slices(spark, sf_dir, "part", "p_partkey")
+    rows = o.label_tokens(parts, F.col("p_partkey"), label)
     return o.term_frequency(rows.withColumnRenamed("doc_id", "p_partkey"), "p_partkey")
 
 

@@ -107,6 +107,8 @@ FOLD_AFTER = 48
 
 # Largest size, planned and in memory, of a side that may be sent to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Bytes of files from which one task counts words or grams per document.
+SLICE_BYTES = 512 * 1024
 # Files below this size are not asked for their number of rows.
 UNCOUNTED_BYTES = 256 * 1024
 # Buckets of ids that landed bodies are kept in, per day. A landing folder has one number for good.

@@ -2,12 +2,14 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from feedloom import settings
+from feedloom.lens import QUERIES
 from feedloom.operators import candidates as c, joins, lookup as l, replacements as p
 from feedloom.operators import snapshot as s, taxonomy as x
 from feedloom.plans import imports, normalise as n, snapshots
@@ -67,6 +69,20 @@ def test_a_broadcast_side_is_measured_as_rows_in_memory_and_not_as_a_file(spark,
         assert df.count() == 9
 
 
+@pytest.mark.parametrize("name", ["t3_prefix_grams", "t4_suffix_grams"])
+def test_words_are_counted_before_they_are_cut_into_grams(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    assert "Aggregate" in plan.toString().split("Generate", 1)[1]
+
+
+@pytest.mark.parametrize("name", ["t5_shingles", "t7_label_grams"])
+def test_a_task_that_counts_gets_a_slice_of_the_input(spark, name, monkeypatch):
+    monkeypatch.setattr(settings, "SLICE_BYTES", 500)
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    dealt = re.search(r"RepartitionByExpression .*, (\d+)", plan.toString())
+    assert dealt and int(dealt.group(1)) > 8
+
+
 # --- Snapshots ---
 
 def test_upsert_is_idempotent_and_last_write_wins(spark):
