@@ -77,7 +77,10 @@ def normalised(spark, sf_dir) -> DataFrame:
     """Concepts are stored first, as they would be."""
     concepts = materialise(t.concepts(spark, sf_dir), "concepts")
     pairs = t.skill_pairs(spark, sf_dir).unionByName(t.occupation_pairs(spark, sf_dir))
-    return n.normalise_ads(parsed(spark, sf_dir), n.prepare_taxonomy(concepts, pairs), RUN_DATE)
+    taxonomy, ads = n.prepare_taxonomy(concepts, pairs), parsed(spark, sf_dir)
+    if taxonomy.in_place is None:  # read more than once: JSON is parsed once
+        ads = materialise(ads, "typed-ads")
+    return n.normalise_ads(ads, taxonomy, RUN_DATE)
 
 
 JOINED = """

@@ -83,6 +83,12 @@ def test_a_task_that_counts_gets_a_slice_of_the_input(spark, name, monkeypatch):
     assert dealt and int(dealt.group(1)) > 8
 
 
+def test_ads_that_are_read_more_than_once_are_parsed_once(spark, monkeypatch):
+    monkeypatch.setattr(settings, "IN_PLACE_BYTES", 0)
+    found = QUERIES["p8_workplace_address"](spark, "/root/testdata/sf0.001")
+    assert "arse_json" not in found._jdf.queryExecution().analyzed().toString().lower()
+
+
 # --- Snapshots ---
 
 def test_upsert_is_idempotent_and_last_write_wins(spark):
