@@ -19,11 +19,15 @@ from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 
 BLANK = "▁"
 #: Pairs of pieces whose fit is remembered.
 KNOWN_PAIRS = 1 << 18
+#: Units of text that a call of the library gets; longer texts take it more time a sign.
+TOGETHER = 512
 NEVER = -np.inf
 
 
@@ -91,6 +95,77 @@ def pieces_of(model: str) -> Pieces:
     return Pieces(model)
 
 
+class Units:
+    """The library's ids of many texts, of which it encodes each distinct unit once.
+
+    A unit is a word with one blank in front, or a line end with the word behind it. No piece
+    reaches across the start of a unit, so the ids of a text are those of its units.
+    """
+
+    def __init__(self, model: str):
+        self.tool, pieces = processor(model), pieces_of(model)
+        every = [self.tool.id_to_piece(i) for i in range(self.tool.get_piece_size())]
+        # Without bytes for what has no piece, unknown signs side by side would be one id.
+        self.cuts = len(pieces.bytes) == 256 and not any(
+            BLANK in piece.lstrip(BLANK) or "\n" in piece for piece in every)
+        # Within a unit no piece starts with a blank, or is a line end.
+        self.starts = np.array([piece[:1] == BLANK for piece in every])
+        self.starts[pieces.bytes.get(ord("\n"), 0)] = True
+
+    def _encoded(self, units: pa.Array, between: str, extra: int):
+        """Ids of units as running text, and where each unit starts among them."""
+        cuts = pa.array([*range(0, len(units), TOGETHER), len(units)], pa.int32())
+        ids, at, ahead = [np.empty(0, np.int32)], [np.empty(0, np.int64)], 0
+        for text in pc.binary_join(pa.ListArray.from_arrays(cuts, units), between).to_pylist():
+            found = np.array(self.tool.encode(text)[extra:], np.int32)
+            ids.append(found)
+            at.append(np.flatnonzero(self.starts[found]) + ahead)
+            ahead += len(found)
+        return np.concatenate(ids), np.concatenate(at)
+
+    def of(self, texts: pa.Array) -> pa.ListArray:
+        """Lists of ids of whole texts, none of them null."""
+        spaced = pc.replace_substring(texts, "\n", " \n")
+        odd = np.ones(len(texts), dtype=bool)
+        if self.cuts:
+            odd = pc.match_substring_regex(spaced, f"^$|  |^ | $|{BLANK}").to_numpy(
+                zero_copy_only=False)
+        words = pc.split_pattern(spaced.filter(pa.array(~odd)), " ")
+        coded = pc.dictionary_encode(words.flatten())
+        line = pc.starts_with(coded.dictionary, "\n")
+        first, first_at = self._encoded(coded.dictionary.filter(pc.invert(line)), " ", 0)
+        # The library puts a blank in front; a line end has none.
+        second, second_at = self._encoded(coded.dictionary.filter(line), "", 1)
+        line = line.to_numpy(zero_copy_only=False)
+        ids, begin = np.concatenate([first, second]), np.empty(len(line), dtype=np.int64)
+        size = np.empty(len(line), dtype=np.int64)
+        begin[~line], begin[line] = first_at, second_at + len(first)
+        size[~line] = np.diff(first_at, append=len(first))
+        size[line] = np.diff(second_at, append=len(second))
+        # From the units' ids to those of the texts, one after the other.
+        unit = coded.indices.to_numpy()
+        long = size[unit]
+        ends = np.cumsum(long)
+        values = ids[np.repeat(begin[unit] - ends + long, long) + np.arange(long.sum())]
+        last = words.offsets.to_numpy()
+        sizes = np.zeros(len(texts), dtype=np.int64)
+        sizes[~odd] = np.diff(np.concatenate([[0], ends])[last])
+        if odd.any():
+            whole = {at: np.array(self.tool.encode(texts[at].as_py()), np.int32)
+                     for at in np.flatnonzero(odd).tolist()}
+            parts = iter(np.split(values, np.cumsum(sizes[~odd])[:-1]))
+            values = np.concatenate([whole[at] if one else next(parts)
+                                     for at, one in enumerate(odd.tolist())])
+            sizes[odd] = [len(one) for one in whole.values()]
+        return pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
+
+
+@lru_cache(maxsize=2)
+def units_of(model: str) -> Units:
+    return Units(model)
+
+
 def states(pieces: Pieces, text: str, cut: int) -> list[tuple[int, int]]:
     """The pieces ``(start, end)`` of a text with start < cut <= end, in order."""
     out = []

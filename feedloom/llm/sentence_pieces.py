@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,27 +19,24 @@ from feedloom.session import materialise
 
 #: Characters from which a text is cut into chunks, and of a chunk.
 GIANT, CHUNK = 1 << 16, 1 << 14
-#: Bytes of text, or ids, that a call of the library gets; its lists take some forty times as much.
-CALL = 1 << 20
+#: Bytes of text that are encoded together, and ids that are decoded together; lists of ids take
+#: some forty times as much as the ids.
+TEXTS, IDS = 8 << 20, 1 << 20
 
+ENCODED = "doc_id long, ids array<int>, text_key long"
 
-def _few(batch: pa.RecordBatch, sizes: pa.Array) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``CALL`` together, or of one larger row."""
+
+def _few(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most`` together, or of one larger row."""
     start, held = 0, 0
     for at, size in enumerate(sizes.to_pylist()):
-        if at > start and held + (size or 0) > CALL:
+        if at > start and held + (size or 0) > most:
             yield batch.slice(start, at - start)
             start, held = at, 0
         held += size or 0
     yield batch.slice(start)
 
 
-def _lists(found: list[list[int]]) -> pa.Array:
-    offsets = np.cumsum([0, *[len(one) for one in found]]).astype(np.int32)
-    values = np.fromiter((i for one in found for i in one), dtype=np.int32, count=offsets[-1])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-
-
 def _cuts(length: int, longest: int, chunk: int) -> list[int]:
     """Chunk ends of a text; the last chunk is not shorter than a piece."""
     cuts = list(range(chunk, length, chunk))
@@ -52,28 +50,33 @@ def encode_pieces(docs: DataFrame, model: str, giant: int = GIANT, chunk: int =
 
     ``ids`` equals what the library gives for the whole text and a BPE ``model`` file; a null or
     empty text has none. ``text_key`` is a hash of the text, for checks. Texts up to ``giant``
-    characters go to the library. A longer one is cut into chunks of ``chunk`` characters, which
-    tasks share: they find a matrix each, a scan per text finds the states at the cuts, and the
-    chunks are encoded from these, see ``piece_scan``. Repeated and null ids give rows as any
-    others; further columns are left out.
+    characters go to the library, each distinct unit of a batch once (see ``piece_scan.Units``). A
+    longer one is cut into chunks of ``chunk`` characters, which tasks share: they find a matrix
+    each, a scan per text finds the states at the cuts, and the chunks are encoded from these, see
+    ``piece_scan``. Repeated and null ids give rows as any others; further columns are left out.
     """
+    usual, giants = _by_length(docs, giant)
+    return usual.mapInArrow(releasing(_encoder(model)), ENCODED).unionByName(
+        _encode_giants(giants, model, chunk))
+
+
+def _by_length(docs: DataFrame, giant: int) -> tuple[DataFrame, DataFrame]:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))
-    usual = rows.where(F.length("text") <= giant)
+    return rows.where(F.length("text") <= giant), rows.where(F.length("text") > giant)
+
 
+def _encoder(model: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = piece_scan.processor(model)
+        units = piece_scan.units_of(model)
         for batch in batches:
-            for few in _few(batch, pc.binary_length(batch.column("text"))):
-                found = tool.encode(few.column("text").to_pylist(), num_threads=1)
+            for few in _few(batch, pc.binary_length(batch.column("text")), TEXTS):
                 yield pa.RecordBatch.from_arrays(
-                    [few.column("doc_id"), _lists(found), few.column("text_key")],
+                    [few.column("doc_id"), units.of(few.column("text")), few.column("text_key")],
                     names=["doc_id", "ids", "text_key"])
 
-    out = "doc_id long, ids array<int>, text_key long"
-    return usual.mapInArrow(releasing(encode), out).unionByName(
-        _encode_giants(rows.where(F.length("text") > giant), model, chunk))
+    return encode
 
 
 def _encode_giants(rows: DataFrame, model: str, chunk: int) -> DataFrame:
@@ -142,38 +145,47 @@ def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
 
     A text comes back as it was, but for the sign U+2581, which the vocabulary uses for a blank.
     """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
+    return encoded.mapInArrow(releasing(_decoder(model)), f"{schema}, text string")
+
+
+def _decoder(model: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = piece_scan.processor(model)
         for batch in batches:
             at = batch.schema.get_field_index("ids")
-            for few in _few(batch, pc.list_value_length(batch.column(at))):
-                texts = tool.decode([ids or [] for ids in few.column(at).to_pylist()])
+            for few in _few(batch, pc.list_value_length(batch.column(at)), IDS):
+                # One text a call: a call for many makes threads.
+                texts = [tool.decode(ids.values.to_numpy(zero_copy_only=False).tolist())
+                         if ids.is_valid else "" for ids in few.column(at)]
                 yield pa.RecordBatch.from_arrays([*few.columns, pa.array(texts, pa.string())],
                                                  names=[*few.schema.names, "text"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(releasing(decode), f"{schema}, text string")
+    return decode
 
 
-def piece_digests(docs: DataFrame, model: str) -> DataFrame:
-    """``(doc_id, n_tokens, ids_crc32, restored)``: ids of every text, counted, summed up as
-    little-endian 32-bit integers, and decoded again."""
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [ids.values.to_numpy(zero_copy_only=False).astype("<u4")
+                 for ids in batch.column("ids")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([len(ids) for ids in found], pa.int64()),
+             pa.array([zlib.crc32(ids.tobytes()) for ids in found], pa.int64()),
+             batch.column("text_key"), batch.column("text")],
+            names=["doc_id", "n_tokens", "ids_crc32", "text_key", "text"])
 
-        for batch in batches:
-            lists = batch.column("ids")
-            values = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-            offsets = lists.offsets.to_numpy()
-            sums = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)),
-                 pa.array(np.array(sums, dtype=np.int64)), batch.column("text_key"),
-                 batch.column("text")],
-                names=["doc_id", "n_tokens", "ids_crc32", "text_key", "text"])
-
-    restored = decode_pieces(encode_pieces(docs, model), model)
-    return restored.mapInArrow(
-        releasing(digest), "doc_id long, n_tokens long, ids_crc32 long, text_key long, text string").select(
-        "doc_id", "n_tokens", "ids_crc32", (F.xxhash64("text") == F.col("text_key"))
-        .alias("restored"))
+
+def piece_digests(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+    """``(doc_id, n_tokens, ids_crc32, restored)``: ids of every text as ``encode_pieces`` gives
+    them, counted, summed up as little-endian 32-bit integers, and decoded again.
+
+    A task encodes, decodes and sums up in one Python worker; ids do not pass through Spark.
+    """
+    usual, giants = _by_length(docs, giant)
+    encode, decode, out = _encoder(model), _decoder(model), (
+        "doc_id long, n_tokens long, ids_crc32 long, text_key long, text string")
+    found = usual.mapInArrow(releasing(lambda rows: _digest(decode(encode(rows)))), out)
+    found = found.unionByName(_encode_giants(giants, model, chunk).mapInArrow(
+        releasing(lambda rows: _digest(decode(rows))), out))
+    return found.select("doc_id", "n_tokens", "ids_crc32",
+                        (F.xxhash64("text") == F.col("text_key")).alias("restored"))

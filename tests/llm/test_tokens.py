@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from feedloom.llm import katz, piece_scan, range_coder, sentence_pieces, token_files, wordpieces
 from feedloom.llm.queries import QUERIES
@@ -214,6 +215,32 @@ def _katz(rows):
     return out
 
 
+def test_units_give_the_ids_of_whole_texts_and_are_encoded_once(monkeypatch):
+    units, pick = piece_scan.Units(PIECE), random.Random(8)
+    parts = [" ", "  ", "\n", "\n\n", "\t", "a", "the", "é", "日", "\u2581", "🎉", "\x00", "<s>", "-"]
+    for size in (0, 1, 2, 400):
+        texts = ["".join(pick.choices(parts, k=pick.randrange(12))) for _ in range(size)]
+        assert units.of(pa.array(texts, pa.string())).to_pylist() == units.tool.encode(texts)
+
+    class Counting:
+        signs = 0
+
+        def encode(self, text):
+            self.signs += len(text)
+            return piece_scan.processor(PIECE).encode(text)
+
+    monkeypatch.setattr(units, "tool", Counting())
+    units.of(pa.array(["some words of a text\nand a line"] * 1000))
+    assert units.tool.signs < 100
+
+
+def test_digests_take_one_python_step_for_usual_texts(spark):
+    plan = sentence_pieces.piece_digests(odd.documents(spark), PIECE)
+    usual = plan._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")
+    # One for usual texts, one behind the chunks of giant ones.
+    assert len(usual) - 1 == 2
+
+
 @pytest.mark.parametrize("hot", [1 << 21, 4])
 def test_scores_are_those_of_the_definition(spark, monkeypatch, hot):
     monkeypatch.setattr(katz, "HOT", hot)
