@@ -13,6 +13,7 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.session import fresh_path
+from feedloom.session import dropping_shuffles, fresh_path
 
 #: Bytes of documents in a chunk, about; a longer document is a chunk of its own.
 CHUNK_BYTES = 4 << 20
@@ -75,22 +76,38 @@ def releasing(run):
     return released
 
 
-def chunk_table(docs: DataFrame, chunk_bytes: int | None = None) -> DataFrame:
-    """``(chunk, size, rows)``: all columns of ``docs`` (the last one the text), written."""
+def releasing_group(run):
+    """``run``, a function from a group's frame to a frame, giving memory back after each group."""
+    def released(frame: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return run(frame)
+        finally:
+            release()
+
+    return released
+
+
+def pack_rows(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, table.schema, options=options) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def chunk_table(docs: DataFrame, chunk_bytes: int | None = None, pack=pack_rows) -> DataFrame:
+    """``(chunk, size, rows)``, written: ``rows`` is what ``pack`` makes of all columns of ``docs``,
+    of which the last one is the text, and ``size`` the bytes of text."""
     limit = chunk_bytes or CHUNK_BYTES
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, held_size = TaskContext.get().partitionId() << 32, [], 0
 
         def chunk():
-            table = pa.Table.from_batches(held).combine_chunks()
-            sink = pa.BufferOutputStream()
-            options = pa.ipc.IpcWriteOptions(compression="zstd")
-            with pa.ipc.new_stream(sink, table.schema, options=options) as out:
-                out.write_table(table)
+            rows = pack(pa.Table.from_batches(held).combine_chunks())
             return pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), pa.array([held_size], pa.int64()),
-                 pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                 pa.array([rows], pa.binary())],
                 names=["chunk", "size", "rows"])
 
         for batch in batches:
@@ -122,7 +139,8 @@ def by_chunk(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     called = os.path.basename(path).replace("-", "_")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, "chunk").option("path", path).saveAsTable(called)
+    with dropping_shuffles(spark):
+        df.write.bucketBy(buckets, "chunk").option("path", path).saveAsTable(called)
     return spark.table(called)
 
 

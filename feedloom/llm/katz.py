@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm import chunks as C
-from feedloom.session import materialise
+from feedloom.session import discard, materialise
 
 #: Counts up to this are discounted.
 K = 5
@@ -108,27 +108,36 @@ def held_out(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 10 == 0
 
 
+def coded(table: pa.Table) -> bytes:
+    """The documents (doc_id, text) of a chunk as ids, tokens per text, hashes of distinct tokens,
+    and which of them each token is; every step reads these, and the texts only this one."""
+    hashes, parts, sizes = C.WordHashes(), [], []
+    end = np.array([END], dtype=np.uint64)
+    for text in table.column(1):
+        words = text.as_buffer().to_pybytes().lower().split() if text.is_valid else []
+        parts += [hashes.of(words), end]
+        sizes.append(len(words) + 1)
+    words, word_of = np.unique(np.concatenate(parts), return_inverse=True)
+    return C.pack_rows(pa.table({
+        "ids": pa.array([table.column(0).to_pylist()], pa.list_(pa.int64())),
+        "sizes": pa.array([C.squeeze(np.array(sizes))], pa.binary()),
+        "words": pa.array([C.squeeze_sorted(words)], pa.binary()),
+        "word_of": pa.array([C.squeeze(word_of)], pa.binary())}))
+
+
 class Opened:
     """The tokens of a chunk: hashes of words and text ends, and where each text begins."""
 
-    hashes = C.WordHashes()
-
     def __init__(self, rows: bytes):
-        table = C.open_rows(rows)
-        self.ids = table.column(0)
-        texts = table.column(1)
-        parts, sizes = [], []
-        end = np.array([END], dtype=np.uint64)
-        for text in texts:
-            words = text.as_buffer().to_pybytes().lower().split() if text.is_valid else []
-            parts += [self.hashes.of(words), end]
-            sizes.append(len(words) + 1)
-        self.sizes = np.array(sizes, dtype=np.int64)
+        row = C.open_rows(rows).combine_chunks()
+        sizes, words, word_of = (row.column(name)[0].as_py()
+                                 for name in ("sizes", "words", "word_of"))
+        self.ids = row.column("ids").chunk(0).flatten()
+        self.sizes = C.unsqueeze(sizes).astype(np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.held_out = np.array([held_out(i) for i in self.ids.to_pylist()], dtype=bool)
         self.training = np.repeat(~self.held_out, self.sizes)
-        self.tokens = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-        self.words, self.word_of = np.unique(self.tokens, return_inverse=True)
+        self.words, self.word_of = C.unsqueeze_sorted(words), C.unsqueeze(word_of).astype(np.int64)
 
     def training_counts(self, back: np.ndarray, size: int) -> np.ndarray:
         return np.bincount(back[self.training], minlength=size)
@@ -222,7 +231,7 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
     rows. Words are told apart by 64-bit hashes.
     """
     chunks = C.chunk_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                       F.col("text").cast("string").alias("text")))
+                                       F.col("text").cast("string").alias("text")), pack=coded)
     buckets = C.bucket_count(chunks)
     chunks = chunks.select("chunk", "rows")
 
@@ -255,10 +264,12 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
             "hot": [number[hot].tolist()], "hot_counts": [total[hot].tolist()]})
         return _stacked(answers, model)
 
-    asked = chunks.mapInArrow(ask_words, "bucket int, chunk long, keys binary, counts binary")
+    asked = chunks.mapInArrow(C.releasing(ask_words),
+                              "bucket int, chunk long, keys binary, counts binary")
     words = materialise(asked.groupBy("bucket").applyInPandas(
-        count_words, "chunk long, bucket int, counts binary, numbers binary, keys binary, "
-                     f"{STATISTICS}, hot array<long>, hot_counts array<long>"), "words")
+        C.releasing_group(count_words),
+        "chunk long, bucket int, counts binary, numbers binary, keys binary, "
+        f"{STATISTICS}, hot array<long>, hot_counts array<long>"), "words")
     model1 = words.where("chunk is null")
     tokens, vocabulary, spectrum = _statistics(model1)
     discounts1 = Discounts.of(spectrum)
@@ -389,11 +400,13 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
             return out
 
         asked = chunks.mapInArrow(
-            ask, "bucket int, chunk long, keys binary, counts binary, below binary, after binary")
+            C.releasing(ask),
+            "bucket int, chunk long, keys binary, counts binary, below binary, after binary")
         return materialise(asked.groupBy("bucket").applyInPandas(
-            count, "chunk long, bucket int, counts binary, numbers binary, keys binary, "
-                   f"below binary, after binary, {STATISTICS}, hot array<long>, "
-                   "hot_counts array<long>"), f"grams{len(levels) + 2}")
+            C.releasing_group(count),
+            "chunk long, bucket int, counts binary, numbers binary, keys binary, "
+            f"below binary, after binary, {STATISTICS}, hot array<long>, "
+            "hot_counts array<long>"), f"grams{len(levels) + 2}")
 
     def history_weights(chunks: DataFrame, model: DataFrame, levels: list[Level]) -> DataFrame:
         """Backoff weights of the last of ``levels``, for the chunks that ask for them."""
@@ -452,12 +465,14 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
                 out.append(pack_floats(np.where(found, weight[at], 1.0) if len(distinct)
                                        else np.ones(len(wanted))))
             return asked[["chunk", "bucket"]].assign(weights=out).astype({"chunk": "int64"})
-        sums = model.select("keys", "counts", "below", "after").mapInPandas(sum_histories, kind)
-        return chunks.mapInArrow(ask, kind).unionByName(sums).groupBy("bucket") \
-            .applyInPandas(weigh, "chunk long, bucket int, weights binary")
+        sums = model.select("keys", "counts", "below", "after").mapInPandas(
+            C.releasing(sum_histories), kind)
+        return chunks.mapInArrow(C.releasing(ask), kind).unionByName(sums).groupBy("bucket") \
+            .applyInPandas(C.releasing_group(weigh), "chunk long, bucket int, weights binary")
 
     answers = [C.listed(words.where("chunk is not null").select(
         "chunk", "bucket", "counts", "numbers"), "words")]
+    discard(words)
     weights, levels = [], []
     histories, hot = begin, [*hot_words, (begin, texts)]
     for n in range(2, order + 1):
@@ -473,6 +488,8 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
         answers.append(C.listed(grams.where("chunk is not null").select(*fields), f"grams{n}"))
         weights.append(C.listed(history_weights(
             C.joined(chunks, *answers), model, list(levels)), f"weights{n}"))
+        # The chunks have their answers, and weights are all that is asked of the model later.
+        discard(grams)
 
     def score(batches):
         for row in _each(batches):
@@ -492,7 +509,7 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
             add = [np.add.reduceat(one, opened.starts) if len(one) else np.empty(0) for one in (
                 np.log10(base), np.log10(chance), (count > 0).astype(np.int64))]
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(opened.ids.chunks), pa.array(opened.held_out),
+                [opened.ids, pa.array(opened.held_out),
                  pa.array(opened.sizes), pa.array(add[2].astype(np.int64)),
                  pa.array(np.full(len(opened.sizes), tokens, dtype=np.int64)),
                  pa.array(add[0]), pa.array(add[1])],
@@ -500,5 +517,6 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
                        "score"])
 
     return C.joined(chunks, *answers, *weights).mapInArrow(
-        score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-               "base_score double, score double")
+        C.releasing(score),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        "base_score double, score double")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,13 +54,43 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "feedloom", f"{name}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def dropping_shuffles(spark: SparkSession):
+    """Writes within remove their own shuffle files when they end: later steps read what is written.
+
+    Spark else keeps them until the driver happens to collect its garbage.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def materialise(df, name: str):
     """Write ``df`` to the shared folder and read it back: the lineage ends at durable files."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with dropping_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df) -> None:
+    """Delete the files of a table that ``materialise`` wrote and nothing will read any more."""
+    jvm = df.sparkSession._jvm
+    home = os.path.join(shared_dir(df.sparkSession), "feedloom").split(":", 1)[-1].lstrip("/")
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        if home not in path.toString():
+            raise ValueError(f"{folder} is not a table of this library's own")
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df, *keys: str):
     """Give costly per-row work one task per core where the scan has fewer splits than that.
 

@@ -2,6 +2,7 @@
 
 import functools
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -13,7 +14,7 @@ import pytest
 from feedloom.llm import katz, piece_scan, range_coder, sentence_pieces, token_files, wordpieces
 from feedloom.llm.queries import QUERIES
 from feedloom.llm.token_counts import pieces, token_counts
-from feedloom.session import fresh_path
+from feedloom.session import dropping_shuffles, fresh_path
 from llm import odd
 from tokenizers import Tokenizer
 
@@ -241,6 +242,33 @@ def test_digests_take_one_python_step_for_usual_texts(spark):
     assert len(usual) - 1 == 2
 
 
+def test_the_language_model_keeps_what_its_scores_need_and_reads_texts_once(spark, monkeypatch):
+    written = []
+    materialise, coded = katz.materialise, katz.coded
+
+    def write(df, name):
+        written.append(materialise(df, name))
+        return written[-1]
+
+    monkeypatch.setattr(katz, "materialise", write)
+    scores = katz.katz_scores(odd.documents(spark), order=3)
+    assert len(written) == 3 and scores.count() == len(odd.odd_rows())
+    for table in written:
+        assert not any(os.path.exists(name.split(":", 1)[-1]) for name in table.inputFiles())
+    rows = pa.table({"doc_id": [1, None], "text": ["A b a", None]})
+    opened = katz.Opened(coded(rows))
+    assert opened.ids.to_pylist() == [1, None] and opened.sizes.tolist() == [4, 1]
+    assert opened.word_of[0] == opened.word_of[2] and opened.word_of[3] == opened.word_of[4]
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with dropping_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key, None) == before
+
+
 @pytest.mark.parametrize("hot", [1 << 21, 4])
 def test_scores_are_those_of_the_definition(spark, monkeypatch, hot):
     monkeypatch.setattr(katz, "HOT", hot)
