@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.chunks import releasing
+from feedloom.llm.chunks import releasing, releasing_group
 from feedloom.llm.components import connected_components, forest
 from feedloom.operators.joins import small_side
 from feedloom.session import materialise
@@ -196,8 +196,8 @@ def links(keys: DataFrame) -> DataFrame:
         x, y = stars(found, np.flatnonzero(~guest), np.flatnonzero(guest))
         return pd.DataFrame({"a": found[x].view(np.int64), "b": found[y].view(np.int64)})
 
-    dealt = keys.select("fp").mapInPandas(deal, "shard long, guest boolean, fp long")
-    return dealt.groupBy("shard").applyInPandas(join, "a long, b long")
+    dealt = keys.select("fp").mapInPandas(releasing(deal), "shard long, guest boolean, fp long")
+    return dealt.groupBy("shard").applyInPandas(releasing_group(join), "a long, b long")
 
 
 def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
