@@ -1,5 +1,7 @@
+import pyarrow as pa
 import pytest
 
+from feedloom.functions import html
 from feedloom.functions.html import clean_html, html_text
 
 
@@ -38,3 +40,11 @@ def test_column_equals_function(values):
 def test_deep_and_long_pages_take_linear_time():
     assert html_text("<div>" * 3000 + "x") == "x"
     assert html_text("<p>y</p>" * 20_000).count("y") == 20_000
+
+
+def test_a_batch_of_pages_is_held_in_pieces():
+    given = [f"<p>{i}</p>" if i % 7 else None for i in range(10 * html.PIECE + 1)]
+    pieces = list(html._clean_html.func(iter([pa.array(given), pa.array([], pa.string())])))
+    assert max(map(len, pieces)) <= html.PIECE
+    assert [v for piece in pieces for v in piece.to_pylist()] == [
+        None if v is None else html_text(v) for v in given]
