@@ -13,6 +13,8 @@ import public_tokenizers
 CACHED_UNITS = 1_000_000
 #: Bytes of text in one call of the library.
 CALL_BYTES = 1 << 18
+#: Bytes of texts that are cut into units together; a longer text is cut alone.
+GROUP_BYTES = 1 << 20
 
 
 @lru_cache(maxsize=8)
@@ -85,31 +87,50 @@ def plain_blanks(data: bytes) -> bool:
                 or any(start in data for start in RARE_STARTS) and RARE_WIDE.search(data))
 
 
+# Line ends of which no other stands in front; with plain blanks a token starts there too.
+LINE_ENDS = re.compile(rb"(?<!\n)\n")
+
+
+def units(data: bytes) -> list[bytes]:
+    """Pieces of a text of plain blanks that no token crosses: cut at blanks, which are left out,
+    and in front of line ends."""
+    if b"\n\n" in data:
+        data = LINE_ENDS.sub(b" \n", data)
+    else:
+        data = data.replace(b"\n", b" \n")
+    return data.split(b" ")
+
+
 class IdCache(dict):
-    """Ids, as bytes, of the units ``" " + key`` of a byte-level vocabulary file."""
+    """Ids, as bytes, of units of a byte-level vocabulary file: ``" " + key``, or the key alone if
+    that starts with a line end."""
 
     def __init__(self, name: str):
         super().__init__()
         self.tool = tokenizer(name)
-        # Within a unit no token starts with a blank.
-        self.starts = np.array([self.tool.id_to_token(i)[:1] == "\u0120"
+        # Within a unit no token starts with a blank, nor with a line end if it has one at most.
+        self.starts = np.array([self.tool.id_to_token(i)[:1] in ("\u0120", "\u010a")
                                 for i in range(self.tool.get_vocab_size())])
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, needed: set[bytes]) -> None:
         """Encode what is missing as running text, and cut the ids where a unit starts."""
-        new = [word for word in set(words) if word not in self]
+        new = needed.difference(self)
         if len(self) + len(new) > CACHED_UNITS:
             self.clear()
-            new = list(set(words))
-        for call in calls(new):
-            text = b" " + b" ".join(call)
-            ids = self.encode(text.decode("utf-8"))
+            new = needed
+        apart = [unit for unit in new if unit.startswith(b"\n\n") or unit == b"\n"]
+        for call in calls(apart):
+            self.update(zip(call, [ids.tobytes() for ids in self.encode(call)]))
+        for call in calls(list(new.difference(apart))):
+            ids, = self.encode([(b" " + b" ".join(call)).replace(b" \n", b"\n")])
             at = np.flatnonzero(self.starts[ids]).tolist()
             raw = ids.tobytes()
             self.update(zip(call, [raw[4 * i:4 * j] for i, j in zip(at, [*at[1:], len(ids)])]))
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tool.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.tool.encode_batch_fast([text.decode("utf-8") for text in texts],
+                                            add_special_tokens=False)
+        return [np.array(one.ids, dtype="<u4") for one in found]
 
 
 @lru_cache(maxsize=4)
@@ -120,21 +141,24 @@ def id_cache(name: str) -> IdCache:
 def byte_level_ids(name: str, texts: list[bytes]) -> list[np.ndarray]:
     """Ids of whole texts, equal to the library's for a byte-level vocabulary file."""
     cache = id_cache(name)
-    out = []
+    out, some, held = [], [], 0
     for data in texts:
-        if not plain_blanks(data):
-            out.append(cache.encode(data.decode("utf-8")))
-            continue
-        first, *words = data.split(b" ")
-        try:
-            found = b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            cache.learn(words)
-            found = b"".join(map(cache.__getitem__, words))
-        # Nothing stands in front of the first unit, so the cache does not hold it.
-        out.append(np.concatenate([cache.encode(first.decode("utf-8")),
-                                   np.frombuffer(found, dtype="<u4")]))
-    return out
+        if some and held + len(data) > GROUP_BYTES:
+            out += _group_ids(cache, some)
+            some, held = [], 0
+        some.append(data)
+        held += len(data)
+    return out + _group_ids(cache, some)
+
+
+def _group_ids(cache: IdCache, texts: list[bytes]) -> list[np.ndarray]:
+    cut = [units(data) if plain_blanks(data) else None for data in texts]
+    cache.learn(set().union(*[found[1:] for found in cut if found]))
+    # Nothing stands in front of the first unit, so the cache does not hold it.
+    heads = iter(cache.encode([found[0] for found in cut if found]))
+    return [np.concatenate([next(heads), np.frombuffer(
+        b"".join(map(cache.__getitem__, found[1:])), dtype="<u4")])
+        if found else cache.encode([data])[0] for data, found in zip(texts, cut)]
 
 
 def word_lengths(name: str, text: bytes) -> int:

@@ -50,6 +50,24 @@ def test_a_full_cache_starts_anew(monkeypatch):
         assert got == [one.ids for one in byte.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_units_end_at_line_ends_and_are_learned_together(monkeypatch):
+    texts = ["x one.\nTo two", "\none.\n\nTo\n", "y one. two\nTo\n\n\nz one.", "a  b\nTo", "", "\n"]
+    given = [text.encode() for text in texts]
+    wordpieces.id_cache.cache_clear()
+    learned, learn = [], wordpieces.IdCache.learn
+    monkeypatch.setattr(wordpieces.IdCache, "learn",
+                        lambda self, words: learned.append(words) or learn(self, words))
+    byte = Tokenizer.from_file(public_tokenizers.path(BYTE))
+    want = [one.ids for one in byte.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in wordpieces.byte_level_ids(BYTE, given)] == want
+    assert len(learned) == 1
+    held = set(wordpieces.id_cache(BYTE))
+    assert {b"one.", b"\nTo", b"two"} <= held and b"one.\nTo" not in held
+    monkeypatch.setattr(wordpieces, "GROUP_BYTES", 4)
+    wordpieces.id_cache.cache_clear()
+    assert [ids.tolist() for ids in wordpieces.byte_level_ids(BYTE, given)] == want
+
+
 @pytest.mark.parametrize("bits", [16, 32])
 def test_ids_come_back_from_their_blocks(bits):
     pick = np.random.default_rng(1)
