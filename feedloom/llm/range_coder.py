@@ -32,6 +32,8 @@ CONFIDENCE = 4
 STATES = (CONFIDENCE + 1) ** 2
 #: Events that the order-0 counts stand for in the mixture, in units of a context's event.
 PRIOR, UNIT = 32.0, 16.0
+#: Ids below this are numbered by a table of their first places.
+SMALL = 1 << 16
 MAGIC = b"CMRC2\x00\x00\x00"
 _U = np.uint64
 _ADDED_UP = np.triu(np.ones((EVENTS, EVENTS), dtype=np.float32))
@@ -39,26 +41,29 @@ _STEPS = np.arange(1, EVENTS + 1, dtype=np.float32)
 _WIDTH = np.array([0, 0, 0, *CLASS_BITS], dtype=np.int64)
 _CLASS = NUMBERS + np.searchsorted([1 << bits for bits in CLASS_BITS], np.arange(BLOCK + 1),
                                    side="right")
+_EDGES = np.arange(1, EVENTS + 1, dtype=np.int32)
+# What a guess of each confidence gains if it is wrong, and if it is right.
+_SURER = np.array([-1] * 8 + [int(sure < CONFIDENCE) for sure in range(8)], dtype=np.int32)
 _MASK, _WORD = _U(0xFFFFFFFF), _U(32)
 
 
 class Model:
     """Adaptive state of a number of blocks.
 
-    A prediction is held as a number and, in its last three bits, a confidence; those of order 2
-    lie in front of those of order 1.
+    A prediction is held as a number and, in its last three bits, a confidence: 16 bits in all.
+    Those of order 2 lie in front of those of order 1.
     """
 
     def __init__(self, blocks: int, size: int):
         self.width, self.offset = size + 1, blocks * BLOCK
-        self.after = np.zeros(blocks * (BLOCK + self.width), dtype=np.int32)
+        self.after = np.zeros(blocks * (BLOCK + self.width), dtype=np.uint16)
         self.counts = np.zeros((blocks * STATES, EVENTS), dtype=np.float32)
         self.counts0 = np.full((blocks, EVENTS), 0.125, dtype=np.float32)
         self.flat = self.counts.reshape(-1)
         # Numbers start at 1; 0 stands before the first id.
-        self.last = np.zeros(blocks, dtype=np.int64)
-        self.before = np.zeros(blocks, dtype=np.int64)
-        self.seen = np.zeros(blocks, dtype=np.int64)
+        self.last = np.zeros(blocks, dtype=np.int32)
+        self.before = np.zeros(blocks, dtype=np.int32)
+        self.seen = np.zeros(blocks, dtype=np.int32)
         self.steps = 0
         self.shorten(blocks)
 
@@ -78,7 +83,7 @@ class Model:
         np.bitwise_and(self.before * 40503 + self.last * 60493 >> 3, BLOCK - 1, out=at[0])
         at[1] = self.last
         at += self.row_slot
-        self.held = self.after.take(at)
+        self.held = self.after.take(at).astype(np.int32)
         self.sure, self.guess = self.held & 7, self.held >> 3
         self.context = self.sure[0] * (CONFIDENCE + 1) + self.sure[1] + self.row_state
         # Whole numbers, so that adding them up in any order gives the same, on any machine.
@@ -91,10 +96,10 @@ class Model:
     def event_of(self, number: np.ndarray) -> np.ndarray:
         """Event for known next numbers."""
         event = _CLASS.take(number)
-        event[number > self.seen] = NEW
-        right = self.guess == number
-        event[right[1]] = ORDER1
-        event[right[0]] = ORDER2
+        np.putmask(event, number > self.seen, NEW)
+        self.right = self.guess == number
+        np.putmask(event, self.right[1], ORDER1)
+        np.putmask(event, self.right[0], ORDER2)
         return event
 
     def update(self, event: np.ndarray, number: np.ndarray) -> None:
@@ -103,10 +108,9 @@ class Model:
         self.steps += 1
         self.seen += event == NEW
         # A right guess grows sure, a wrong one loses, and is replaced at the bottom.
-        right = self.guess == number
-        kept = self.held + np.where(right, self.sure < CONFIDENCE, -1)
-        fresh = (number << 3 | 1).astype(np.int32)
-        self.after[self.at] = np.where(right | (self.sure > 1), kept, fresh)
+        kept = self.held + _SURER.take(self.right << 3 | self.sure)
+        np.copyto(kept, number << 3 | 1, where=~(self.right | (self.sure > 1)))
+        self.after[self.at] = kept
         self.before, self.last = self.last, number
 
 
@@ -126,16 +130,25 @@ def interval(upper: np.ndarray, event: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return start, end
 
 
-def event_at(upper: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Event whose interval holds a cumulated frequency."""
+def event_at(upper: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Event whose interval holds a cumulated frequency, and that interval."""
     edges = (upper * _scale(upper)[:, None]).astype(np.int32)
-    edges += np.arange(1, EVENTS + 1, dtype=np.int32)
+    edges += _EDGES
     edges[:, -1] = 1 << SCALE
-    return (edges > target[:, None]).argmax(axis=1)
+    event = (edges > target[:, None]).argmax(axis=1)
+    flat, at = edges.reshape(-1), np.arange(0, edges.size, EVENTS) + event
+    return event, np.where(event > 0, flat.take(at - 1, mode="wrap"), 0), flat.take(at)
 
 
 def _numbers(ids: np.ndarray) -> np.ndarray:
     """Numbers from 1 by first appearance."""
+    if len(ids) and int(ids.max()) < SMALL:
+        # The last place written counts, so places are written from the last to the first.
+        places = np.arange(len(ids))
+        table = np.empty(SMALL, dtype=np.int64)
+        table[ids[::-1]] = places[::-1]
+        first = table[ids]
+        return np.cumsum(first == places)[first]
     values, first, back = np.unique(ids, return_index=True, return_inverse=True)
     number = np.empty(len(values), dtype=np.int64)
     number[np.argsort(first, kind="stable")] = np.arange(1, len(values) + 1)
@@ -204,7 +217,7 @@ def encode(ids: np.ndarray, id_bits: int = 16) -> bytes:
         if used.max() + 8 > room:
             room *= 2
             words = np.concatenate([words, np.zeros_like(words)], axis=1)
-        number = numbers[step, :active].astype(np.int64)
+        number = numbers[step, :active].astype(np.int32)
         plain = whole[step, :active].astype(np.uint64)
         upper = model.predict()
         event = model.event_of(number)
@@ -257,7 +270,7 @@ def decode(data) -> np.ndarray:
     read, size = np.cumsum(used) - used, int(lengths.max())
     out = np.zeros((size, blocks), dtype=np.uint32)
     width = size + 2
-    names = np.zeros(blocks * width, dtype=np.uint32)
+    names = np.zeros(blocks * width, dtype=np.uint16 if id_bits == 16 else np.uint32)
     code = body[read] << _WORD | body[read + 1]
     read += 2
     model, coder, active = Model(blocks, size), Coder(blocks), blocks
@@ -283,16 +296,16 @@ def decode(data) -> np.ndarray:
         upper = model.predict()
         unit = coder.range >> _U(SCALE)
         target = ((code - coder.low) // np.maximum(unit, _U(1))).astype(np.int32)
-        np.clip(target, 0, (1 << SCALE) - 1, out=target)
-        event = event_at(upper, target)
-        coder.narrow(*interval(upper, event), unit)
+        np.minimum(np.maximum(target, 0, out=target), (1 << SCALE) - 1, out=target)
+        event, begin, end = event_at(upper, target)
+        coder.narrow(begin, end, unit)
         new = event == NEW
         length = _WIDTH.take(event)
         if id_bits == 16:
             length[new] = 16
         value = bits(length.astype(np.uint64))
         take(*coder.shift())
-        number = np.minimum(value.astype(np.int64), size)
+        number = np.minimum(value, _U(size)).astype(np.int32)
         np.copyto(number, model.guess[1], where=event == ORDER1)
         np.copyto(number, model.guess[0], where=event == ORDER2)
         np.copyto(number, model.seen + 1, where=new)
@@ -304,6 +317,7 @@ def decode(data) -> np.ndarray:
         name = np.arange(active) * width + number
         names[name[new]] = value[new]
         out[step, :active] = names.take(name)
+        model.right = model.guess == number
         model.update(event, number)
     parts = [out[:lengths[i], i].astype("<u4") for i in range(blocks)]
     for i, part in enumerate(parts):

@@ -15,8 +15,6 @@ from feedloom.llm import range_coder, wordpieces
 
 #: Ids in a segment, about: a row of a file, made of whole documents.
 SEGMENT = 8 << 20
-#: Documents encoded at once.
-BATCH = 256
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
@@ -53,12 +51,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int)
 
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
-            for start in range(0, len(batch), BATCH):
-                few = batch.slice(start, BATCH)
-                texts = [text.as_buffer().to_pybytes() if text.is_valid else b""
-                         for text in few.column(1)]
-                for name, found in zip(few.column(0).to_pylist(),
-                                       wordpieces.byte_level_ids(vocabulary, texts)):
+            names_of = iter(batch.column(0).to_pylist())
+            for few in wordpieces.parts(batch.column(1), wordpieces.GROUP_BYTES):
+                texts = [text.as_buffer().to_pybytes() if text.is_valid else b"" for text in few]
+                for found, name in zip(wordpieces.byte_level_ids(vocabulary, texts), names_of):
                     if names and held + len(found) + 1 > SEGMENT:
                         yield segment()
                         names, ids, held, seq = [], [], 0, seq + 1

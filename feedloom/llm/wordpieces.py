@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Units kept per Python worker; the cache starts anew beyond that.
 CACHED_UNITS = 1_000_000
 #: Bytes of text in one call of the library.
 CALL_BYTES = 1 << 18
 #: Bytes of texts that are cut into units together; a longer text is cut alone.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 8 << 20
 
 
 @lru_cache(maxsize=8)
@@ -41,6 +44,15 @@ def calls(units: list, size=len) -> list[list]:
     return out if out[0] else []
 
 
+def parts(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """A column of texts in parts of about so many bytes, a longer text with no more than those."""
+    held = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy().astype(np.int64))
+    edges = [0, *(np.flatnonzero(np.diff(held // size)) + 1).tolist(), len(texts)]
+    for start, end in zip(edges, edges[1:]):
+        if end > start:
+            yield texts.slice(start, end - start)
+
+
 class UnitCache(dict):
     """What ``encode`` gives per unit, kept between batches of a Python worker."""
 
@@ -84,48 +96,75 @@ def plain_blanks(data: bytes) -> bool:
     return not (data.startswith(b" ") or data.endswith(b" ")
                 or any(two in data for two in BLANKS_IN_A_ROW)
                 or len(data.translate(None, RARE_ASCII)) < len(data)
-                or any(start in data for start in RARE_STARTS) and RARE_WIDE.search(data))
+                or not data.isascii() and any(start in data for start in RARE_STARTS)
+                and RARE_WIDE.search(data))
 
 
 # Line ends of which no other stands in front; with plain blanks a token starts there too.
 LINE_ENDS = re.compile(rb"(?<!\n)\n")
 
 
-def units(data: bytes) -> list[bytes]:
-    """Pieces of a text of plain blanks that no token crosses: cut at blanks, which are left out,
-    and in front of line ends."""
+def spaced(data: bytes) -> bytes:
+    """A text of plain blanks with one more in front of line ends: between blanks lie pieces, its
+    units, that no token crosses."""
     if b"\n\n" in data:
-        data = LINE_ENDS.sub(b" \n", data)
-    else:
-        data = data.replace(b"\n", b" \n")
-    return data.split(b" ")
+        return LINE_ENDS.sub(b" \n", data)
+    return data.replace(b"\n", b" \n")
 
 
-class IdCache(dict):
-    """Ids, as bytes, of units of a byte-level vocabulary file: ``" " + key``, or the key alone if
-    that starts with a line end."""
+class IdCache:
+    """Ids of units of a byte-level vocabulary file: ``" " + unit``, or the unit alone if that starts
+    with a line end. Units and ids are Arrow arrays, so that those of many texts are looked up at once.
+    """
 
     def __init__(self, name: str):
-        super().__init__()
         self.tool = tokenizer(name)
         # Within a unit no token starts with a blank, nor with a line end if it has one at most.
         self.starts = np.array([self.tool.id_to_token(i)[:1] in ("\u0120", "\u010a")
                                 for i in range(self.tool.get_vocab_size())])
+        self.clear()
 
-    def learn(self, needed: set[bytes]) -> None:
-        """Encode what is missing as running text, and cut the ids where a unit starts."""
-        new = needed.difference(self)
-        if len(self) + len(new) > CACHED_UNITS:
+    def clear(self) -> None:
+        self.units = pa.array([], pa.large_binary())
+        self.ids = pa.array([], pa.large_list(pa.uint32()))
+
+    def __iter__(self):
+        return iter(self.units.to_pylist())
+
+    def learn(self, needed: pa.Array) -> pa.Array:
+        """The ids of distinct units. What is missing is encoded as running text, and the ids are cut
+        where a unit starts."""
+        place = self._places(needed)
+        if len(self.units) + np.count_nonzero(place < 0) > CACHED_UNITS:
             self.clear()
-            new = needed
-        apart = [unit for unit in new if unit.startswith(b"\n\n") or unit == b"\n"]
-        for call in calls(apart):
-            self.update(zip(call, [ids.tobytes() for ids in self.encode(call)]))
-        for call in calls(list(new.difference(apart))):
-            ids, = self.encode([(b" " + b" ".join(call)).replace(b" \n", b"\n")])
-            at = np.flatnonzero(self.starts[ids]).tolist()
-            raw = ids.tobytes()
-            self.update(zip(call, [raw[4 * i:4 * j] for i, j in zip(at, [*at[1:], len(ids)])]))
+            place = self._places(needed)
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            new = needed.take(pa.array(missing))
+            lone = pc.or_(pc.starts_with(new, "\n\n"), pc.equal(new, b"\n"))
+            running, apart = new.filter(pc.invert(lone)), new.filter(lone)
+            ids, lengths = [], []
+            for call in self._calls(running):
+                one, = self.encode([(b" " + b" ".join(call)).replace(b" \n", b"\n")])
+                ids.append(one)
+                lengths.append(np.diff(np.append(np.flatnonzero(self.starts[one]), len(one))))
+            for call in self._calls(apart):
+                ids += self.encode(call)
+                lengths.append(np.array([len(one) for one in ids[-len(call):]]))
+            order = np.argsort(lone.to_numpy(zero_copy_only=False), kind="stable")
+            place[missing[order]] = len(self.units) + np.arange(len(new))
+            self.units = pa.concat_arrays([self.units, running, apart])
+            self.ids = pa.concat_arrays([self.ids, pa.LargeListArray.from_arrays(
+                np.cumsum(np.concatenate([[0], *lengths])), np.concatenate(ids))])
+        return self.ids.take(pa.array(place))
+
+    def _places(self, needed: pa.Array) -> np.ndarray:
+        return pc.index_in(needed, value_set=self.units).fill_null(-1).to_numpy().copy()
+
+    @staticmethod
+    def _calls(units: pa.Array) -> Iterator[list[bytes]]:
+        for part in parts(units, CALL_BYTES):
+            yield part.to_pylist()
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         found = self.tool.encode_batch_fast([text.decode("utf-8") for text in texts],
@@ -152,13 +191,19 @@ def byte_level_ids(name: str, texts: list[bytes]) -> list[np.ndarray]:
 
 
 def _group_ids(cache: IdCache, texts: list[bytes]) -> list[np.ndarray]:
-    cut = [units(data) if plain_blanks(data) else None for data in texts]
-    cache.learn(set().union(*[found[1:] for found in cut if found]))
+    plain = [plain_blanks(data) for data in texts]
     # Nothing stands in front of the first unit, so the cache does not hold it.
-    heads = iter(cache.encode([found[0] for found in cut if found]))
-    return [np.concatenate([next(heads), np.frombuffer(
-        b"".join(map(cache.__getitem__, found[1:])), dtype="<u4")])
-        if found else cache.encode([data])[0] for data, found in zip(texts, cut)]
+    cut = [spaced(data).partition(b" ") for data, one in zip(texts, plain) if one]
+    heads = iter(cache.encode([head for head, _, _ in cut]))
+    units = pc.split_pattern(pa.array([rest if blank else None for _, blank, rest in cut],
+                                      pa.large_binary()), " ")
+    ends = np.cumsum(pc.list_value_length(units).fill_null(0).to_numpy(zero_copy_only=False))
+    coded = units.flatten().dictionary_encode()
+    each = cache.learn(coded.dictionary).take(coded.indices)
+    places, ids = each.offsets.to_numpy(), each.values.to_numpy()
+    rests = iter(np.split(ids, places[ends])[:-1])
+    return [np.concatenate([next(heads), next(rests)]) if one else cache.encode([data])[0]
+            for data, one in zip(texts, plain)]
 
 
 def word_lengths(name: str, text: bytes) -> int:

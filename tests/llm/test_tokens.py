@@ -68,6 +68,36 @@ def test_units_end_at_line_ends_and_are_learned_together(monkeypatch):
     assert [ids.tolist() for ids in wordpieces.byte_level_ids(BYTE, given)] == want
 
 
+def test_distinct_units_of_many_texts_are_looked_up_at_once(spark, monkeypatch):
+    wordpieces.id_cache.cache_clear()
+    learned, learn = [], wordpieces.IdCache.learn
+    monkeypatch.setattr(wordpieces.IdCache, "learn",
+                        lambda self, units: learned.append(units.to_pylist()) or learn(self, units))
+    texts = [b"x one.\ntwo\nTo one." + b" two three" * 200_000, b"", b"y", b"z two\nTo\n\nx"]
+    byte = Tokenizer.from_file(public_tokenizers.path(BYTE))
+    want = [one.ids for one in byte.encode_batch([text.decode() for text in texts],
+                                                 add_special_tokens=False)]
+    assert [ids.tolist() for ids in wordpieces.byte_level_ids(BYTE, texts)] == want
+    assert [sorted(units) for units in learned] == [
+        [b"\n\nx", b"\nTo", b"\ntwo", b"one.", b"three", b"two"]]
+    assert [len(part) for part in wordpieces.parts(pa.array([b"ab", None, b"", b"abc", b"a"]), 3)
+            ] == [3, 1, 1]
+    monkeypatch.setattr(wordpieces, "GROUP_BYTES", 5)
+    docs = spark.createDataFrame([(i, "ab " * (i % 3)) for i in range(20)], "doc_id long, text string")
+    path = fresh_path(spark, "token-files")
+    token_files.write_token_files(docs.coalesce(1), path, BYTE, 0)
+    assert {(r.doc_id, tuple(r.ids)) for r in token_files.read_token_files(spark, path).collect()} == {
+        (r.doc_id, (*byte.encode(r.text, add_special_tokens=False).ids, 0)) for r in docs.collect()}
+
+
+def test_coded_bytes_stay_as_they_are():
+    """Files that were written before can be read, so a faster coder gives the same bytes."""
+    pick = np.random.default_rng(1)
+    ids = (pick.zipf(1.3, 300_000) % 50000).astype("<u4")
+    assert [zlib.crc32(range_coder.encode(ids[:n])) for n in (9000, 300_000)] == [1657293917, 3559649200]
+    assert range_coder.Model(2, 9).after.nbytes == 2 * 2 * (range_coder.BLOCK + 10)
+
+
 @pytest.mark.parametrize("bits", [16, 32])
 def test_ids_come_back_from_their_blocks(bits):
     pick = np.random.default_rng(1)
