@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -44,7 +44,7 @@ def live_documents(batch: DataFrame, inputs: Inputs, store: bool = True) -> Data
     """Normalised, enriched ads of the live rows of a batch (one row per id).
 
     Where ads are read twice (see ``normalise_ads``) the typed ads are stored, so that JSON is
-    parsed once. ``store=False`` runs no job, for a look at the schema.
+    parsed once. ``store=False`` is for a look at the schema.
     """
     raw = parse_raw(attach_raw(batch, inputs.raw))
     raw = raw.select(F.col("annonsId").cast("string").alias("id"), "given", F.col("ad")
@@ -74,8 +74,14 @@ def removed_documents(batch: DataFrame, current: DataFrame, inputs: Inputs) -> D
 
 def documents(feed: DataFrame, current: DataFrame | None, inputs: Inputs, store: bool = True
               ) -> tuple[DataFrame, DataFrame]:
-    """(main rows, removed rows) of a set of feed rows."""
+    """(main rows, removed rows) of a set of feed rows.
+
+    The last rows per ad are stored: the feed is read once for the bodies, live and removed ads, and
+    the size of the batch decides how it is joined. ``store=False`` stores nothing.
+    """
     batch = batch_rows(feed)
+    if store:
+        batch = materialise(batch, "batch-rows")
     live = live_documents(batch, inputs, store)
     known = live.limit(0) if current is None else current
     gone = removed_documents(batch, known, inputs)
@@ -85,7 +91,10 @@ def documents(feed: DataFrame, current: DataFrame | None, inputs: Inputs, store:
 
 
 def document_schemas(feed: DataFrame, inputs: Inputs):
-    main, removed = documents(feed, None, inputs, store=False)
+    """Columns of both tables, from no rows: else hot keys would be looked for in the whole feed."""
+    none = {name: df.limit(0) for name in ("raw", "logos", "candidates")
+            if (df := getattr(inputs, name)) is not None}
+    main, removed = documents(feed.limit(0), None, replace(inputs, **none), store=False)
     return main.schema, removed.schema
 
 

@@ -4,6 +4,8 @@ import json
 
 import pytest
 
+from feedloom import settings
+from feedloom.operators import joins
 from feedloom.plans import commits, imports, normalise as n, snapshots
 from feedloom.plans.commits import Conflict
 from feedloom.session import fresh_path
@@ -215,6 +217,27 @@ def test_an_import_that_stops_anywhere_leaves_both_tables_as_they_were(
     assert both(spark, root) == done
 
 
+def test_columns_are_found_without_rows_and_a_batch_is_stored(
+        spark, concepts, pairs, monkeypatch):  # noqa: F811
+    given, (first, second) = ads_and_feeds(spark, concepts, pairs)
+    given.taxonomy.in_place = None
+    looked, search = [], joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda *of: looked.append(1) or search(*of))
+    # As with sides and feeds of any size.
+    monkeypatch.setattr(settings, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(settings, "SKEW_CHECK_BYTES", 1)
+    imports.documents(first, None, given, store=False)
+    assert looked
+    looked.clear()
+    main, deleted = imports.document_schemas(first, given)
+    assert not looked
+    rows_of = imports.documents(second, None, given)
+    assert [one.schema for one in rows_of] == [main, deleted]
+    assert rows_of[1].inputFiles() and all("batch-rows" in name for name in rows_of[1].inputFiles())
+    assert [rows(one.select("id", "timestamp")) for one in rows_of] == [
+        [("1", 20), ("2", 22), ("3", 21)], [("1", 20)]]
+
+
 def test_cursor_and_gate_read_no_rows(spark, concepts, pairs, monkeypatch):  # noqa: F811
     given, (first, _) = ads_and_feeds(spark, concepts, pairs)
     root = fresh_path(spark, "counts")
